@@ -61,19 +61,27 @@ def expand_counts(
     shared out, so no task and no array grows with the largest key.
     """
     span = every * _CHUNK
+    step = F.lit(every).cast("bigint")
     bounded = df.withColumn("_from", first.cast("bigint")).withColumn("_to", last.cast("bigint"))
     size = F.col("_to") - F.col("_from")
-    small = bounded.filter((size >= 0) & (size < span))
-    chunks = (
-        bounded.filter(size >= span)
-        .withColumn("_from", F.explode(F.sequence("_from", "_to", F.lit(span).cast("bigint"))))
-        .withColumn("_to", F.least("_to", F.col("_from") + span - 1))
-    )
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = chunks.repartition(partitions, *df.columns, "_from")
-    step = F.lit(every).cast("bigint")
-    return (
-        small.unionByName(spread)
-        .withColumn(name, F.explode(F.sequence("_from", "_to", step)))
-        .drop("_from", "_to")
-    )
+
+    def spread(rows: DataFrame) -> DataFrame:
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        starts = F.sequence("_from", "_to", F.lit(span).cast("bigint"))
+        return (
+            rows.filter(size >= 0)
+            .withColumn("_from", F.explode(starts))
+            .withColumn("_to", F.least("_to", F.col("_from") + span - 1))
+            .repartition(partitions, *df.columns, "_from")
+        )
+
+    if df.isStreaming:  # a union would run the stateful operator below it twice
+        chunks = spread(bounded)
+    else:  # rows of one chunk need no shuffle; both sides reuse the one below
+        small = bounded.filter((size >= 0) & (size < span))
+        chunks = small.unionByName(spread(bounded.filter(size >= span)))
+    return chunks.withColumn(name, F.explode(F.sequence("_from", "_to", step))).drop("_from", "_to")
+
+
+def _pane_number(count: str, every: int) -> Column:
+    return F.expr(f"`{count}` div {every}").alias("pane")

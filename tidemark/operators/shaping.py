@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tidemark.functions.payload import decode_utf8, encode_json, parse_json
 from tidemark.functions.times import format_time, pane_timestamp
 from tidemark.operators.ranking import ranks_to_list
-from tidemark.schemas import GLOBAL_EVENTS, HOT_TOPICS
+from tidemark.schemas import GLOBAL_EVENTS, HOT_TOPICS, HOT_TOPICS_OUTPUT
 
 _ENVELOPE = T.StructType(
     [T.StructField("category", T.StringType()), T.StructField("output", T.StringType())]
@@ -73,3 +73,25 @@ def route(
     )
     return envelopes.filter(mine)
 
+
+def routed_hot_topics(envelopes: DataFrame) -> DataFrame:
+    """The hot-topics records with typed fields, beside the other columns."""
+    record = parse_json(_output_of(HOT_TOPICS), HOT_TOPICS_OUTPUT, strict=True)
+    kept = route(envelopes, HOT_TOPICS).withColumn("_record", record)
+    return kept.select(*_beside_output(envelopes), "_record.*")
+
+
+def routed_counts(envelopes: DataFrame) -> DataFrame:
+    """The counter's values as ``events``, beside the other columns."""
+    events = _output_of(GLOBAL_EVENTS).cast("bigint").alias("events")
+    return route(envelopes, GLOBAL_EVENTS).select(*_beside_output(envelopes), events)
+
+
+def _output_of(category: str) -> Column:
+    # Catalyst may test a parsed field before the route's own filter, so never parse a
+    # record of another category.
+    return F.when(F.col("category") == category, F.col("output"))
+
+
+def _beside_output(envelopes: DataFrame) -> list[str]:
+    return [c for c in envelopes.columns if c not in ("category", "output")]

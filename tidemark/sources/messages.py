@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.schemas import TOPIC_MESSAGE
+from tidemark.workspace import is_single_file
 
 
 def read_message_files(
@@ -61,16 +62,12 @@ def stream_table(
 ) -> DataFrame:
     """The same table as a file stream."""
     path = f"{folder}/{name}.parquet"
-    schema = spark.read.parquet(path).schema
-    return with_instants(
-        read_message_files(
-            spark,
-            path,
-            streaming=True,
-            schema=schema,
-            max_files_per_trigger=max_files_per_trigger,
-        )
-    )
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if is_single_file(spark, path):  # a file stream watches a folder
+        path, reader = folder, reader.option("pathGlobFilter", f"{name}.parquet")
+    return with_instants(reader.parquet(path))
 
 
 def with_instants(df: DataFrame) -> DataFrame:

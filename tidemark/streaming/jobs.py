@@ -71,7 +71,7 @@ def start_hot_topics(
     checkpoint: str,
     n: int = TOP,
     size: str = WINDOW,
-    watermark: str = WATERMARK,
+    watermark: str | None = WATERMARK,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Early rankings: after each batch, the new record of every window it touched.

@@ -7,11 +7,12 @@ the key's whole count so far.
 
 from __future__ import annotations
 
-import time
+import sys
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,33 +30,35 @@ def stream_count_panes(
     after_seconds: float | None = None,
     name: str = "running_count",
 ) -> DataFrame:
-    """``*keys, running_count, fired_by`` for every pane, in append mode.
+    """``*keys, running_count, fired_by`` for every pane, in append mode; no keys for one global count.
 
     Keys are cut down to one row per Arrow batch in the map tasks, so the state operator
     sees a key at most once per batch of rows. It answers with ranges of counts, which are
     turned into panes afterwards, outside the task that holds the key.
     """
     use_rocksdb_state(df.sparkSession)
-    keyed = df.select(*keys)
+    given = list(keys)
+    keys = given or ["all_rows"]
+    keyed = df.select(*given) if given else df.select(F.lit(0).alias("all_rows"))
     counted = keyed.mapInArrow(
-        _count_rows(list(keys)), T.StructType([*keyed.schema.fields, _field("_rows")])
+        _count_rows(keys), T.StructType([*keyed.schema.fields, _field("rows_added")])
     )
     ranges = T.StructType(
         [
             *keyed.schema.fields,
-            _field("_first"),
-            _field("_last"),
+            _field("first_count"),
+            _field("last_count"),
             T.StructField("fired_by", T.StringType()),
         ]
     )
     fired = counted.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=PaneTrigger(list(keys), every, after_seconds),
+        statefulProcessor=PaneTrigger(keys, every, after_seconds),
         outputStructType=ranges,
         outputMode="append",
         timeMode="None" if after_seconds is None else "ProcessingTime",
     )
-    panes = expand_counts(fired, F.col("_first"), F.col("_last"), every, name)
-    return panes.select(*keys, name, "fired_by")
+    panes = expand_counts(fired, F.col("first_count"), F.col("last_count"), every, name)
+    return panes.select(*given, name, "fired_by")
 
 
 def _field(name: str) -> T.StructField:
@@ -67,7 +70,7 @@ def _count_rows(keys: list[str]):
         for batch in batches:
             groups = pa.Table.from_batches([batch]).group_by(keys)
             counts = groups.aggregate([([], "count_all")])
-            yield from counts.select([*keys, "count_all"]).rename_columns([*keys, "_rows"]).to_batches()
+            yield from counts.select([*keys, "count_all"]).rename_columns([*keys, "rows_added"]).to_batches()
 
     return count
 
@@ -85,7 +88,7 @@ class PaneTrigger(StatefulProcessor):
         self.progress = handle.getValueState("progress", "total bigint, pending bigint")
 
     def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803
-        new = sum(int(frame["_rows"].sum()) for frame in rows)
+        new = sum(int(frame["rows_added"].sum()) for frame in rows)
         total, pending = self.progress.get() if self.progress.exists() else (0, 0)
         fired, left = divmod(pending + new, self.every)
         self.progress.update((total + new, left))
@@ -115,8 +118,12 @@ class PaneTrigger(StatefulProcessor):
 
     def _panes(self, key, first: int, last: int, fired_by: str) -> pd.DataFrame:
         row = dict(zip(self.keys, key, strict=True))
-        return pd.DataFrame([{**row, "_first": first, "_last": last, "fired_by": fired_by}])
+        return pd.DataFrame([{**row, "first_count": first, "last_count": last, "fired_by": fired_by}])
 
 
 def _millis(timer) -> int:
     return timer[0] if isinstance(timer, tuple) else timer
+
+
+# Ship this module's worker code inside the task, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

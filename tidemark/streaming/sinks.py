@@ -3,16 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.payload import parse_json
 from tidemark.operators.ranking import latest_by_key
-from tidemark.operators.shaping import decode_delivery, route
-from tidemark.schemas import GLOBAL_EVENTS, HOT_TOPICS, HOT_TOPICS_OUTPUT
+from tidemark.operators.shaping import decode_delivery, routed_counts, routed_hot_topics
+from tidemark.schemas import HOT_TOPICS_OUTPUT
 from tidemark.streaming.store import ChangeLog
 
 Publisher = Callable[[DataFrame, int], None]
@@ -67,10 +65,19 @@ def publish_kafka(servers: str, topic: str, **options: str) -> Publisher:
     return publish
 
 
+def read_deliveries(spark: SparkSession, path: str, *, streaming: bool = True) -> DataFrame:
+    """Published JSON lines below ``path`` as a subscriber gets them: base64 ``data``."""
+    reader = (spark.readStream if streaming else spark.read).option("recursiveFileLookup", "true")
+    return reader.text(path).select(
+        F.base64(F.encode("value", "UTF-8")).alias("data"),
+        F.col("_metadata.file_modification_time").alias("publish_ts"),
+    )
+
+
 class ResultStore:
     """The two stored tables: ``hot_topics``, one row per record time, and one-row ``stats``."""
 
-    def __init__(self, spark, path: str):
+    def __init__(self, spark: SparkSession, path: str):
         self.hot_topics = ChangeLog(spark, f"{path}/hot_topics", STORED_TOPICS, ["timestamp"], "day")
         self.stats = ChangeLog(spark, f"{path}/stats", STORED_STATS, ["id"], "block")
 
@@ -82,37 +89,27 @@ class ResultStore:
         """
         envelopes = decode_delivery(deliveries).persist()
         try:
-            topics = _topic_rows(route(envelopes, HOT_TOPICS))
-            stats = _stats_rows(route(envelopes, GLOBAL_EVENTS), batch_id)
+            topics = _topic_rows(routed_hot_topics(envelopes))
+            stats = _stats_rows(routed_counts(envelopes), batch_id)
             self.hot_topics.write(topics, batch_id)
             self.stats.write(stats, batch_id)
         finally:
             envelopes.unpersist()
 
 
-def _topic_rows(envelopes: DataFrame) -> DataFrame:
-    record = parse_json(F.col("output"), HOT_TOPICS_OUTPUT, strict=True)
-    rows = envelopes.withColumn("_record", record).select("publish_ts", "_record.*")
+def _topic_rows(records: DataFrame) -> DataFrame:
     mentions = F.aggregate("topics", F.lit(0).cast("bigint"), lambda sum_, t: sum_ + t["score"])
-    latest = latest_by_key(rows, ["timestamp"], ["publish_ts", mentions])
+    latest = latest_by_key(records, ["timestamp"], ["publish_ts", mentions])
     return latest.withColumns(
         {"last_updated": F.current_timestamp(), "day": F.substring("window.start", 1, 10)}
     )
 
 
-def _stats_rows(envelopes: DataFrame, batch_id: int) -> DataFrame:
-    counted = envelopes.select(
-        F.lit("stats").alias("id"), F.col("output").cast("bigint").alias("events"), "publish_ts"
-    )
-    latest = latest_by_key(counted, ["id"], ["publish_ts", "events"])
+def _stats_rows(counts: DataFrame, batch_id: int) -> DataFrame:
+    latest = latest_by_key(counts.withColumn("id", F.lit("stats")), ["id"], ["publish_ts", "events"])
     return latest.withColumns(
         {
             "last_updated": F.current_timestamp(),
             "block": F.lit(str(batch_id // _BATCHES_PER_PART)),
         }
     )
-
-
-def each_batch(*steps: Publisher) -> Publisher:
-    """Run several writers on each batch, in order."""
-    return lambda batch, batch_id: reduce(lambda _, step: step(batch, batch_id), steps, None)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.ranking import latest_by_key
-from tidemark.workspace import freeze, path_exists
+from tidemark.workspace import delete_folder, freeze, path_exists
 
 
 class ChangeLog:
@@ -73,7 +73,5 @@ class ChangeLog:
             return
         kept = freeze(self.current([part]), "compact").drop("version")
         self.write(kept, versions[-1])
-        filesystem_path = self.spark._jvm.org.apache.hadoop.fs.Path
         for version in versions[:-1]:
-            old = filesystem_path(f"{self.path}/{self.part}={part}/version={version}")
-            old.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(old, True)
+            delete_folder(self.spark, f"{self.path}/{self.part}={part}/version={version}")

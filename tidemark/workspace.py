@@ -41,6 +41,21 @@ def freeze(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _located(spark: SparkSession, path: str):
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    filesystem, location = _located(spark, path)
+    return filesystem.exists(location)
+
+
+def is_single_file(spark: SparkSession, path: str) -> bool:
+    filesystem, location = _located(spark, path)
+    return filesystem.getFileStatus(location).isFile()
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    filesystem, location = _located(spark, path)
+    filesystem.delete(location, True)
