@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.once import once
 from tidemark.functions.payload import decode_utf8, has_key, is_unusable, parse_json
 from tidemark.operators.ranking import first_by_key
 from tidemark.schemas import MESSAGE
@@ -36,6 +37,11 @@ def keep_with_key(df: DataFrame, key: str, *, text: str = "text", strict: bool =
     return df.filter(present)
 
 
+def null_without_key(df: DataFrame, key: str, *, text: str = "text") -> DataFrame:
+    """Keep every row, but only the text that `keep_with_key` would keep."""
+    return df.withColumn(text, F.when(has_key(F.col(text), key), F.col(text)))
+
+
 def quarantine(df: DataFrame, *, text: str = "text") -> DataFrame:
     """The rows no plan can use: undecodable, broken, or not a JSON object."""
     return df.filter(is_unusable(F.col(text)))
@@ -45,8 +51,9 @@ def parse_messages(
     df: DataFrame, schema: T.StructType = MESSAGE, *, text: str = "text", strict: bool = False
 ) -> DataFrame:
     """Replace the text by the fields of ``schema``. Pass a narrow schema for a narrow parse."""
-    parsed = df.withColumn("_message", parse_json(F.col(text), schema, strict))
-    return parsed.select(*(c for c in df.columns if c != text), "_message.*")
+    others = [c for c in df.columns if c != text]
+    message = once(parse_json(F.col(text), schema, strict)).alias("_message")
+    return df.select(*others, message).select(*others, "_message.*")
 
 
 def drop_duplicate_messages(

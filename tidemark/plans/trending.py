@@ -6,10 +6,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.times import event_time
 from tidemark.operators.counts import WINDOW, count_all, count_per_window
-from tidemark.operators.intake import decode_messages, keep_with_key, parse_messages
+from tidemark.operators.intake import (
+    decode_messages,
+    keep_with_key,
+    null_without_key,
+    parse_messages,
+)
 from tidemark.operators.panes import last_panes
 from tidemark.operators.ranking import top_n
 from tidemark.operators.shaping import bind_category, encode_envelope, format_hot_topics
@@ -43,9 +49,17 @@ def topic_mentions(
 
     ``time="event"`` puts the message's own time in ``publish_ts``.
     """
+    group = GROUP_ONLY if by_country or strict else TOPICS_ONLY
     event = time == "event"
-    schema = MESSAGE if event else GROUP_ONLY if by_country or strict else TOPICS_ONLY
-    parsed = parse_messages(venue_messages(messages, strict=strict), schema, strict=strict)
+    schema = T.StructType([*group.fields, MESSAGE["timestamp"]]) if event else group
+    decoded = decode_messages(messages, strict=strict)
+    if strict:
+        kept = keep_with_key(decoded, REQUIRED_KEY, strict=True)
+    else:
+        # A message without the key parses to nothing and so has no topics. As one
+        # projection this decodes each payload once; filter, then parse, would do it twice.
+        kept = null_without_key(decoded, REQUIRED_KEY)
+    parsed = parse_messages(kept, schema, strict=strict)
     if event:
         parsed = parsed.withColumn("publish_ts", event_time(F.col("timestamp")))
     carried = ["publish_ts", *keep]

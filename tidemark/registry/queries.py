@@ -9,8 +9,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.functions.times import format_time, pane_timestamp
+from tidemark.functions.times import event_time, format_time, pane_timestamp
 from tidemark.operators import ranking
 from tidemark.operators.counts import count_per_window
 from tidemark.operators.intake import (
@@ -34,7 +35,7 @@ from tidemark.plans import trending
 from tidemark.schemas import GLOBAL_EVENTS, HOT_TOPICS, MESSAGE
 from tidemark.session import prepare
 from tidemark.sources.event_records import messages_from_events, raw_records_from_events
-from tidemark.sources.messages import read_table, stream_table
+from tidemark.sources.messages import read_table, spread, stream_table
 from tidemark.sources.records import project_records, with_attributes
 from tidemark.streaming import jobs, sinks
 from tidemark.streaming.panes import stream_count_panes
@@ -58,7 +59,12 @@ def query(function: Query) -> Query:
 
 
 def _messages(spark: SparkSession, folder: str, *keep: str) -> DataFrame:
-    return messages_from_events(read_table(spark, folder, "events"), *keep)
+    return messages_from_events(_events(spark, folder), *keep)
+
+
+def _events(spark: SparkSession, folder: str) -> DataFrame:
+    events = read_table(spark, folder, "events")
+    return spread(events.select("event_id", "ts", "user_id", "event_type", "props"))
 
 
 def _message_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -123,8 +129,9 @@ def topics_per_country(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def event_time_windows(spark: SparkSession, folder: str) -> DataFrame:
-    parsed = parse_messages(trending.venue_messages(_messages(spark, folder)), MESSAGE)
-    timed = parsed.select(F.timestamp_millis(F.col("timestamp").cast("bigint")).alias("event_ts"))
+    fields = T.StructType([MESSAGE["timestamp"]])
+    parsed = parse_messages(trending.venue_messages(_messages(spark, folder)), fields)
+    timed = parsed.select(event_time(F.col("timestamp")).alias("event_ts"))
     return _with_text_window(count_per_window(timed, time="event_ts", name="events"))
 
 
@@ -173,7 +180,7 @@ def counter_panes_fired(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def envelope_projection(spark: SparkSession, folder: str) -> DataFrame:
-    raw = raw_records_from_events(read_table(spark, folder, "events"))
+    raw = raw_records_from_events(_events(spark, folder))
     records = with_attributes(project_records(raw))
     return records.select(
         "event_id",

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.once import once
+
 # Country by user, fixed values of the test data's reshaping rule.
 COUNTRIES = ("us", "gb", "fr", "de", "es")
 
@@ -55,11 +57,11 @@ def messages_from_events(events: DataFrame, *keep: str) -> DataFrame:
     """``value`` (bytes) and ``timestamp`` (publish time), plus any columns to keep."""
     text = _payload("event_id", "timestamp", F.lit(""))
     return events.select(
-        *keep, F.encode(text, "UTF-8").alias("value"), F.col("ts").alias("timestamp")
+        *keep, once(F.encode(text, "UTF-8")).alias("value"), F.col("ts").alias("timestamp")
     )
 
 
 def raw_records_from_events(events: DataFrame) -> DataFrame:
     """``text``: records as they come before projection, with fields it must drop."""
     event = F.concat(F.lit(',"event":{"name":"'), F.col("event_type"), F.lit('"},"guests":0'))
-    return events.select(_payload("rsvp_id", "mtime", event).alias("text"))
+    return events.select(once(_payload("rsvp_id", "mtime", event)).alias("text"))

@@ -70,6 +70,16 @@ def stream_table(
     return with_instants(reader.parquet(path))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of a batch source that comes in fewer splits than that.
+
+    JSON work is bound by the processor, and a few unsplittable files would leave most of
+    a cluster idle. A source with enough splits is left alone: no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def with_instants(df: DataFrame) -> DataFrame:
     """Watermarks reject zone-less timestamps, so cast them all on the way in."""
     return df.select(

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.once import once
+
 # Message field <- raw field. Fixed values of the two formats.
 _FIELDS = {
     "event_id": "rsvp_id",
@@ -23,7 +25,8 @@ def project_records(raw: DataFrame, text: str = "text") -> DataFrame:
     that was absent stays absent and one that was null stays null. Other columns of
     ``raw`` are kept.
     """
-    parsed = raw.withColumn("_record", F.parse_json(text))
+    others = [c for c in raw.columns if c != text]
+    parsed = raw.select(*others, once(F.parse_json(text)).alias("_record"))
     payload = F.struct(
         *(
             F.variant_get("_record", f"$.{source}", "variant").alias(target)
@@ -31,7 +34,7 @@ def project_records(raw: DataFrame, text: str = "text") -> DataFrame:
         )
     )
     return parsed.select(
-        *(c for c in raw.columns if c != text),
+        *others,
         F.variant_get("_record", "$.rsvp_id", "bigint").alias("event_id"),
         F.variant_get("_record", "$.mtime", "bigint").alias("timestamp"),
         F.to_json(payload).alias("value"),

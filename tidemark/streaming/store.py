@@ -34,11 +34,15 @@ class ChangeLog:
         self.schema = T.StructType([*schema.fields, T.StructField("version", T.LongType())])
 
     def write(self, rows: DataFrame, version: int) -> None:
-        """Add one batch's rows, at most one per key. Safe to repeat."""
+        """Add one batch's rows, at most one per key. Safe to repeat.
+
+        Rebalancing by part keeps files few without forcing a large part into one task.
+        """
         fields = [f for f in self.schema.fields if f.name != "version"]
         (
             rows.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in fields))
             .withColumn("version", F.lit(version).cast("bigint"))
+            .hint("rebalance", F.col(self.part))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(self.part, "version")
@@ -50,7 +54,8 @@ class ChangeLog:
         paths = [self.path] if parts is None else [f"{self.path}/{self.part}={p}" for p in parts]
         paths = [p for p in paths if path_exists(self.spark, p)]
         if not paths:
-            return self.spark.createDataFrame([], self.schema)
+            nothing = (F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields)
+            return self.spark.range(0).select(*nothing)
         reader = self.spark.read.schema(self.schema).option("basePath", self.path)
         rows = reader.parquet(*paths)
         return rows if before is None else rows.filter(F.col("version") < before)
