@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import positions
 from tidemark.operators.positions import with_positions
 from tidemark.operators.ranking import (
+    _cut_in_place,
     first_by_key,
     largest,
     largest_per_key,
@@ -119,6 +120,25 @@ def test_large_n_equals_small_n_path(spark):
             spark.conf.set(threshold, before)
 
 
+@pytest.mark.parametrize("n", [3, 150, 1200])
+def test_every_n_agrees_with_brute_force_on_a_hot_key(spark, n):
+    data = [(9 if i % 3 else i % 5, i * 7919 % 211, i) for i in range(4000)]
+    frame = spark.createDataFrame(data, "k int, v int, id int").repartition(6)
+    order = sorted(data, key=lambda r: (-r[1], r[2]))
+    assert rows(top_n(frame, n, "v", ties="id"), "id") == sorted([(r[2],) for r in order[:n]], key=repr)
+    best = [r for k in {r[0] for r in data} for r in [r for r in order if r[0] == k][:n]]
+    got = rows(top_n(frame, n, "v", per=["k"], ties="id"), "k", "v", "id")
+    assert got == sorted(best, key=repr)
+
+
+def test_large_global_n_is_cut_before_any_shuffle(spark):
+    frame = spark.range(0, 50_000, 1, 8).select((F.col("id") * 7919 % 50_000).alias("v"))
+    cut = _cut_in_place(frame, 1200, [F.col("v").desc()])
+    assert cut.count() == 8 * 1200
+    assert "Exchange" not in cut._jdf.queryExecution().executedPlan().toString()
+    assert rows(top_n(frame, 1200, "v"), "v") == sorted([(v,) for v in range(48_800, 50_000)], key=repr)
+
+
 def test_each_map_task_sends_at_most_n_rows_per_group(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(1000).select((F.col("id") % 2).alias("k"), "id").write.parquet(path)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.workspace import freeze
 
 # `monotonically_increasing_id` puts the partition in the bits above these.
-_ROW_BITS = 33
+ROW_BITS = 33
 
 
 def with_positions(
@@ -37,7 +37,7 @@ def with_positions(
         .drop("_source")
         .withColumn("_at", F.monotonically_increasing_id())
     )
-    frozen = freeze(placed.withColumn("_slice", F.shiftright("_at", _ROW_BITS)), "positions")
+    frozen = freeze(placed.withColumn("_slice", F.shiftright("_at", ROW_BITS)), "positions")
 
     sizes = frozen.groupBy(*per, "_slice").agg(
         F.count(F.lit(1)).alias("_rows"), F.min("_at").alias("_first")

@@ -10,7 +10,10 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.positions import with_positions
+from tidemark.operators.positions import ROW_BITS, with_positions
+
+# Up to this n, one task merges what all map tasks kept of a group.
+_MERGED_AT_ONCE = 100
 
 Ordering = str | Column | Sequence[str | Column]
 
@@ -45,7 +48,9 @@ def top_n(
     the best ranked.
 
     Up to Spark's group-limit threshold each map task sends at most ``n`` rows per group,
-    so no group, however large, arrives whole. Beyond it ranks come from `with_positions`.
+    so no group, however large, arrives whole. A larger ``n`` is cut in two steps, so that
+    no task gets ``n`` rows from every map task, and beyond the threshold the ranks come
+    from `with_positions`, which has no largest group.
     """
     if n < 1:
         raise ValueError("n must be at least 1")
@@ -56,15 +61,41 @@ def top_n(
         latest = [c.desc_nulls_last() for c in _columns(seq)] + order
         df = _head_by_key(df, keys, latest)
 
-    if n <= _pruning_limit(df):
-        position = F.row_number().over(Window.partitionBy(*per).orderBy(*order))
-        ranked = df.withColumn(rank, position)
+    pruned = n <= _pruning_limit(df)
+    if pruned and n > _MERGED_AT_ONCE:
+        df = _cut_by_shares(df, n, order, per)
+    elif not pruned and not per:
+        df = _cut_in_place(df, n, order)
+    if pruned:
+        ranked = df.withColumn(rank, F.row_number().over(Window.partitionBy(*per).orderBy(*order)))
     else:
         ranked = with_positions(df, order, per, rank)
     cut = ranked.filter(F.col(rank) <= n)
     return cut.withColumn(rank, F.col(rank).cast("bigint"))
 
 
+def _cut_by_shares(
+    df: DataFrame, n: int, order: Sequence[Column], per: Sequence[str]
+) -> DataFrame:
+    """Keep each group's best ``n`` of every share of the map tasks: all of its best ``n`` overall
+    are among them. Which tasks make up a share does not matter to what is ranked later."""
+    shares = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shared = df.withColumn("_share", F.spark_partition_id() % shares)
+    place = F.row_number().over(Window.partitionBy(*per, "_share").orderBy(*order))
+    return shared.withColumn("_place", place).filter(F.col("_place") <= n).select(*df.columns)
+
+
+def _cut_in_place(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
+    """Keep the best ``n`` rows of each partition, without a shuffle."""
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    return (
+        df.sortWithinPartitions(*order)
+        .withColumn("_row", row)
+        .filter(F.col("_row") < n)
+        .select(*df.columns)
+    )
+
+
 def _head_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     position = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("_position", position).filter("_position = 1").drop("_position")
