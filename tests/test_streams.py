@@ -100,23 +100,36 @@ def test_waiting_rows_are_shown_by_the_timer(spark, tmp_path):
     messages(spark, [message([], event_id=i) for i in range(5)]).coalesce(1).write.parquet(path)
     source = decode_messages(read_message_files(spark, path, streaming=True))
     panes = stream_count_panes(source, [], 2, after_seconds=1)
+    timed = _run_until(spark, panes, "timed_panes", 3, tmp_path)
+    assert rows(timed) == [(2, "count"), (4, "count"), (5, "time")]
+
+
+def test_panes_with_state_that_expires(spark, stream, batch, tmp_path):
+    """A long enough memory changes nothing."""
+    panes = stream_count_panes(trending.topic_mentions(stream), ["topic_key"], 5, forget_after_seconds=3600)
+    expected = rows(count_panes(trending.topic_mentions(batch), ["topic_key"], 5).drop("pane"))
+    got = _run_until(spark, panes, "expiring_panes", len(expected), tmp_path)
+    assert rows(got.drop("fired_by")) == expected
+
+
+def _run_until(spark, df, name, count, tmp_path):
+    """Timers and expiry keep a query running with no input, so wait for the rows instead."""
     query = (
-        panes.writeStream.format("memory")
-        .queryName("timed_panes")
+        df.writeStream.format("memory")
+        .queryName(name)
         .option("checkpointLocation", str(tmp_path / "c"))
         .trigger(processingTime="1 second")
         .start()
     )
-    timed = spark.table("timed_panes")
     try:
         for _ in range(120):
-            if timed.count() >= 3:
+            if query.exception() or spark.table(name).count() >= count:
                 break
             time.sleep(0.5)
-        time.sleep(3)  # the timer must not fire again with nothing waiting
+        time.sleep(3)  # nothing more may come
     finally:
         query.stop()
-    assert rows(timed) == [(2, "count"), (4, "count"), (5, "time")]
+    return spark.table(name)
 
 
 def test_stream_drops_duplicates_by_id(spark, tmp_path):
@@ -201,7 +214,8 @@ def test_publish_store_pipeline(spark, stream, batch, tmp_path):
         trigger=NOW,
     ).awaitTermination()
     store = sinks.ResultStore(spark, str(tmp_path / "store"))
-    deliveries = sinks.read_deliveries(spark, str(tmp_path / "out"))
+    published = read_json_lines(spark, str(tmp_path / "out"), streaming=True)
+    deliveries = sinks.as_deliveries(published)
     jobs.start_store(deliveries, store, checkpoint=str(tmp_path / "c2"), trigger=NOW).awaitTermination()
     assert rows(store.stats.current(), "events") == rows(trending.events_count(batch))
 

@@ -35,7 +35,7 @@ from tidemark.plans import trending
 from tidemark.schemas import GLOBAL_EVENTS, HOT_TOPICS, MESSAGE
 from tidemark.session import prepare
 from tidemark.sources.event_records import messages_from_events, raw_records_from_events
-from tidemark.sources.messages import read_table, spread, stream_table
+from tidemark.sources.messages import read_json_lines, read_table, spread, stream_table
 from tidemark.sources.records import project_records, with_attributes
 from tidemark.streaming import jobs, sinks
 from tidemark.streaming.panes import stream_count_panes
@@ -238,7 +238,7 @@ def tapped_messages(spark: SparkSession, folder: str) -> DataFrame:
     kept = trending.venue_messages(_messages(spark, folder))
     sinks.tap(kept, seen, "publish_ts").write.format("noop").mode("overwrite").save()
     report = seen.get
-    row = (int(report["rows"]), str(report["first"])[:19], str(report["last"])[:19])
+    row = (report["rows"], report["first"], report["last"])
     return spark.createDataFrame([row], "rows bigint, first string, last string")
 
 
@@ -466,7 +466,7 @@ def stream_store(spark: SparkSession, folder: str) -> DataFrame:
     )
     counter.awaitTermination()
     topics.awaitTermination()
-    deliveries = sinks.read_deliveries(spark, f"{out}/values")
+    deliveries = sinks.as_deliveries(read_json_lines(spark, f"{out}/values", streaming=True))
     store = sinks.ResultStore(spark, f"{out}/tables")
     jobs.start_store(
         deliveries, store, checkpoint=f"{out}/stored", trigger=AT_ONCE

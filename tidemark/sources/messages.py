@@ -32,8 +32,11 @@ def read_json_lines(
     streaming: bool = False,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """One payload per line; the file's modification time stands in for publish time."""
-    reader = spark.readStream if streaming else spark.read
+    """One payload per line, from all files below ``path``.
+
+    The file's modification time stands in for publish time.
+    """
+    reader = (spark.readStream if streaming else spark.read).option("recursiveFileLookup", "true")
     if streaming and max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.text(path).select(

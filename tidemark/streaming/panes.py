@@ -22,16 +22,25 @@ from tidemark.operators.panes import expand_counts
 from tidemark.session import use_rocksdb_state
 
 
+_PROGRESS = "total bigint, pending bigint"
+
+
 def stream_count_panes(
     df: DataFrame,
     keys: Sequence[str],
     every: int,
     *,
     after_seconds: float | None = None,
+    forget_after_seconds: float | None = None,
     name: str = "running_count",
 ) -> DataFrame:
     """``*keys, running_count, fired_by`` for every pane, in append mode; no keys for one global count.
 
+    ``forget_after_seconds`` drops the state of a key that long after its last row. With a
+    window among the keys, set it to the window's size plus the lateness to allow, so that
+    state is kept only for windows that can still grow. Either time setting makes Spark run
+    batches without input, so such a query does not end by itself under ``availableNow``.
+
     Keys are cut down to one row per Arrow batch in the map tasks, so the state operator
     sees a key at most once per batch of rows. It answers with ranges of counts, which are
     turned into panes afterwards, outside the task that holds the key.
@@ -52,10 +61,10 @@ def stream_count_panes(
         ]
     )
     fired = counted.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=PaneTrigger(keys, every, after_seconds),
+        statefulProcessor=PaneTrigger(keys, every, after_seconds, forget_after_seconds),
         outputStructType=ranges,
         outputMode="append",
-        timeMode="None" if after_seconds is None else "ProcessingTime",
+        timeMode="ProcessingTime" if after_seconds or forget_after_seconds else "None",
     )
     panes = expand_counts(fired, F.col("first_count"), F.col("last_count"), every, name)
     return panes.select(*given, name, "fired_by")
@@ -78,18 +87,25 @@ def _count_rows(keys: list[str]):
 class PaneTrigger(StatefulProcessor):
     """Per key: the count so far, how much of it came after the last pane, and one timer."""
 
-    def __init__(self, keys: list[str], every: int, after_seconds: float | None):
+    def __init__(
+        self,
+        keys: list[str],
+        every: int,
+        after_seconds: float | None,
+        forget_after_seconds: float | None,
+    ):
         self.keys = keys
         self.every = every
-        self.after_ms = None if after_seconds is None else int(after_seconds * 1000)
+        self.after_ms = after_seconds and int(after_seconds * 1000)
+        self.ttl_ms = forget_after_seconds and int(forget_after_seconds * 1000)
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.progress = handle.getValueState("progress", "total bigint, pending bigint")
+        self.progress = handle.getValueState("progress", _PROGRESS, self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803
         new = sum(int(frame["rows_added"].sum()) for frame in rows)
-        total, pending = self.progress.get() if self.progress.exists() else (0, 0)
+        total, pending = self.progress.get() or (0, 0)
         fired, left = divmod(pending + new, self.every)
         self.progress.update((total + new, left))
         if self.after_ms is not None:
@@ -99,7 +115,7 @@ class PaneTrigger(StatefulProcessor):
             yield self._panes(key, first, first + (fired - 1) * self.every, "count")
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # noqa: N802, N803
-        total, pending = self.progress.get()
+        total, pending = self.progress.get() or (0, 0)
         if pending:
             self.progress.update((total, 0))
             yield self._panes(key, total, total, "time")

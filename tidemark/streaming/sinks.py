@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.times import format_time
 from tidemark.operators.ranking import latest_by_key
 from tidemark.operators.shaping import decode_delivery, routed_counts, routed_hot_topics
 from tidemark.schemas import HOT_TOPICS_OUTPUT
@@ -42,7 +43,8 @@ def tap(df: DataFrame, name: str | Observation, time: str | None = None) -> Data
     """
     measures: list[Column] = [F.count(F.lit(1)).alias("rows")]
     if time is not None:
-        measures += [F.min(time).alias("first"), F.max(time).alias("last")]
+        first, last = format_time(F.min(time)), format_time(F.max(time))
+        measures += [first.alias("first"), last.alias("last")]
     return df.observe(name, *measures)
 
 
@@ -65,12 +67,10 @@ def publish_kafka(servers: str, topic: str, **options: str) -> Publisher:
     return publish
 
 
-def read_deliveries(spark: SparkSession, path: str, *, streaming: bool = True) -> DataFrame:
-    """Published JSON lines below ``path`` as a subscriber gets them: base64 ``data``."""
-    reader = (spark.readStream if streaming else spark.read).option("recursiveFileLookup", "true")
-    return reader.text(path).select(
-        F.base64(F.encode("value", "UTF-8")).alias("data"),
-        F.col("_metadata.file_modification_time").alias("publish_ts"),
+def as_deliveries(messages: DataFrame) -> DataFrame:
+    """Messages as a subscriber gets them: base64 ``data`` and ``publish_ts``."""
+    return messages.select(
+        F.base64("value").alias("data"), F.col("timestamp").alias("publish_ts")
     )
 
 
