@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,9 +63,27 @@ def drop_duplicate_messages(
 ) -> DataFrame:
     """One message per id, the earliest. Off in the ready-made plans.
 
-    A stream forgets an id once the watermark is ``delay`` past it.
+    A stream keeps the first to arrive, and forgets an id once the watermark is ``delay``
+    past it. Either way each map task sends on few copies of an id delivered very often.
     """
     if df.isStreaming:
-        return df.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
+        fewer = df.mapInArrow(_first_per_batch(key), df.schema)
+        return fewer.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
     others: Sequence[str] = [c for c in df.columns if c not in (key, time)]
     return first_by_key(df, [key], [time, *others])
+
+
+def _first_per_batch(key: str):
+    """Keep the first row of each key in every Arrow batch.
+
+    A stream cannot combine before its shuffle by itself, so all copies of an id would go
+    to the one task that holds its state.
+    """
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            numbered = pa.table({"key": batch.column(key), "row": np.arange(batch.num_rows)})
+            first = numbered.group_by("key").aggregate([("row", "min")])["row_min"]
+            yield batch.take(first.combine_chunks())
+
+    return keep
