@@ -68,6 +68,25 @@ def test_early_rankings_end_as_the_batch_ranking(spark, stream, batch, tmp_path)
     assert published > expected.select("window_start").distinct().count()
 
 
+def test_rankings_of_panes_end_as_in_batch(spark, stream, batch, tmp_path):
+    place = {"rankings": str(tmp_path / "r"), "checkpoint": str(tmp_path / "c")}
+    publish = sinks.publish_files(str(tmp_path / "out"))
+    jobs.start_hot_topics(stream, publish, n=3, every=5, trigger=NOW, **place).awaitTermination()
+    expected = trending.hot_topics_by_panes(batch, n=3)
+    current = jobs.rankings_log(spark, place["rankings"]).current()
+    assert rows(current.select(*expected.columns)) == rows(expected)
+
+
+def test_counter_published_at_each_firing(spark, stream, batch, tmp_path):
+    out = str(tmp_path / "out")
+    jobs.start_counter(
+        stream, sinks.publish_files(out), every=50, checkpoint=str(tmp_path / "c"), trigger=NOW
+    ).awaitTermination()
+    counts = spark.read.text(out).select(F.get_json_object("value", "$.output").cast("int"))
+    total = trending.events_count(batch).first()[0]
+    assert rows(counts) == sorted([(c,) for c in range(50, total + 1, 50)], key=repr)
+
+
 def test_final_rankings_come_once_per_closed_window(spark, stream, batch, tmp_path):
     out = str(tmp_path / "out")
     jobs.start_final_hot_topics(

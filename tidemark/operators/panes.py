@@ -48,10 +48,6 @@ def fired_panes(
     return fired.select(*df.columns, _pane_number(name, every), name)
 
 
-def _pane_number(count: str, every: int) -> Column:
-    return F.expr(f"`{count}` div {every}").alias("pane")
-
-
 def expand_counts(
     df: DataFrame, first: Column, last: Column, every: int, name: str
 ) -> DataFrame:

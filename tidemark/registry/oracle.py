@@ -117,6 +117,16 @@ WHERE rank <= {n}"""
 
 _COUNT = "SELECT CAST(count(*) AS BIGINT) AS events FROM events WHERE user_id % 4 <> 0"
 
+_SHOWN_TOPICS = f"""WITH {_scores(_DAY)},
+shown AS (SELECT * REPLACE (score - score % 5 AS score) FROM scores WHERE score >= 5),
+ranked AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (
+             PARTITION BY window_start ORDER BY score DESC, topic_key, topic_name) AS rank
+    FROM shown)
+  WHERE rank <= 10
+) {_RANKED_ROWS}"""
+
 ORACLE: dict[str, str] = {
     "venue_events_count": f"{_COUNT} HAVING count(*) > 0",
     "hot_topics_10min": _hot_topics(_TEN_MINUTES),
@@ -148,15 +158,7 @@ GROUP BY window_start""",
     "topic_count_panes": f"""WITH {_PANES}
 SELECT window_start, window_end, topic_key, topic_name, pane, running_count FROM panes""",
     "topic_panes_fired": f"WITH {_PANES} SELECT * FROM panes",
-    "hot_topics_from_panes": f"""WITH {_scores(_DAY)},
-shown AS (SELECT * REPLACE (score - score % 5 AS score) FROM scores WHERE score >= 5),
-ranked AS (
-  SELECT * FROM (
-    SELECT *, row_number() OVER (
-             PARTITION BY window_start ORDER BY score DESC, topic_key, topic_name) AS rank
-    FROM shown)
-  WHERE rank <= 10
-) {_RANKED_ROWS}""",
+    "hot_topics_from_panes": _SHOWN_TOPICS,
     "latest_pane_per_topic": f"""WITH {_PANES}
 SELECT window_start, window_end, topic_key, topic_name,
        max(pane) AS pane, max(running_count) AS running_count
@@ -261,6 +263,7 @@ SELECT c_custkey, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal,
 FROM customer""",
     "stream_counter": _COUNT,
     "stream_hot_topics": _hot_topics(_TEN_MINUTES),
+    "stream_hot_topics_from_panes": _SHOWN_TOPICS,
     "stream_store": f"""WITH {_documents(_DAY)}
 SELECT timestamp, window_start, topics, CAST(NULL AS BIGINT) AS events FROM documents
 UNION ALL

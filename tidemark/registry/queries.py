@@ -445,6 +445,23 @@ def stream_hot_topics(spark: SparkSession, folder: str) -> DataFrame:
     return _ranked_rows(current.drop("version", "day"))
 
 
+@query
+def stream_hot_topics_from_panes(spark: SparkSession, folder: str) -> DataFrame:
+    """Early rankings of what the count trigger shows, as they stand at the end."""
+    out = scratch_path(spark, "pane-topics")
+    jobs.start_hot_topics(
+        _message_stream(spark, folder),
+        sinks.publish_files(f"{out}/values"),
+        rankings=f"{out}/rankings",
+        checkpoint=f"{out}/state",
+        size=DAY,
+        every=trending.PANE,
+        trigger=AT_ONCE,
+    ).awaitTermination()
+    current = jobs.rankings_log(spark, f"{out}/rankings").current()
+    return _ranked_rows(current.drop("version", "day"))
+
+
 @query
 def stream_store(spark: SparkSession, folder: str) -> DataFrame:
     """Count and rank, publish, deliver, and upsert: the stored tables at the end."""

@@ -13,7 +13,6 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.counts import WINDOW, count_all
-from tidemark.operators.shaping import format_hot_topics
 from tidemark.plans.trending import (
     TOP,
     count_envelopes,
@@ -22,9 +21,11 @@ from tidemark.plans.trending import (
     topic_mentions,
     topic_scores,
     venue_messages,
+    with_window,
 )
 from tidemark.schemas import RANKED_TOPIC
 from tidemark.session import use_rocksdb_state
+from tidemark.streaming.panes import stream_count_panes
 from tidemark.streaming.sinks import Publisher, ResultStore, tap
 from tidemark.streaming.store import ChangeLog
 
@@ -48,19 +49,31 @@ def _start(df: DataFrame, mode: str, step: Publisher, checkpoint: str, trigger:
 
 
 def start_counter(
-    messages: DataFrame, publish: Publisher, *, checkpoint: str, trigger: dict | None = None
+    messages: DataFrame,
+    publish: Publisher,
+    *,
+    checkpoint: str,
+    every: int | None = None,
+    after_seconds: float | None = None,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
     """The running number of messages with a venue, published after each batch that adds some.
 
-    State is one row, fed by partial counts.
+    State is one row, fed by partial counts. With ``every`` (and ``after_seconds``) the count
+    is published each time that trigger fires instead.
     """
     use_rocksdb_state(messages.sparkSession)
-    counted = count_all(tap(venue_messages(messages), "venue_messages", "publish_ts"))
+    kept = tap(venue_messages(messages), "venue_messages", "publish_ts")
+    if every is None:
+        counted, mode = count_all(kept), "update"
+    else:
+        panes = stream_count_panes(kept, [], every, after_seconds=after_seconds, name="events")
+        counted, mode = panes, "append"
 
     def step(batch: DataFrame, batch_id: int) -> None:
         publish(count_envelopes(batch.filter("events > 0")), batch_id)
 
-    return _start(counted, "update", step, checkpoint, trigger or {"processingTime": EARLY})
+    return _start(counted, mode, step, checkpoint, trigger or {"processingTime": EARLY})
 
 
 def start_hot_topics(
@@ -72,17 +85,27 @@ def start_hot_topics(
     n: int = TOP,
     size: str = WINDOW,
     watermark: str | None = WATERMARK,
+    every: int | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Early rankings: after each batch, the new record of every window it touched.
 
+    With ``every``, scores are those the count trigger shows: a topic's count each time its
+    window gains that many mentions. Nothing is late then, and ``watermark`` is not used.
+
     Scores only grow, so a topic this batch did not touch and that was not ranked before
     cannot be ranked now: the old ranking of the touched windows plus the changed scores
     decides. ``rankings`` is where those rankings are logged.
     """
     use_rocksdb_state(messages.sparkSession)
-    scores = topic_scores(topic_mentions(messages), size=size, watermark=watermark)
     keys = ["window_start", "window_end", "topic_key", "topic_name"]
+    mentions = topic_mentions(messages)
+    if every is None:
+        scores, mode = topic_scores(mentions, size=size, watermark=watermark), "update"
+    else:
+        windowed = with_window(mentions, size)
+        scores = stream_count_panes(windowed, keys, every, latest_only=True, name="score")
+        mode = "append"
 
     def step(changed: DataFrame, batch_id: int) -> None:
         log = rankings_log(changed.sparkSession, rankings)
@@ -104,7 +127,7 @@ def start_hot_topics(
         finally:
             changed.unpersist()
 
-    return _start(scores, "update", step, checkpoint, trigger or {"processingTime": EARLY})
+    return _start(scores, mode, step, checkpoint, trigger or {"processingTime": EARLY})
 
 
 def start_final_hot_topics(

@@ -32,10 +32,13 @@ def stream_count_panes(
     *,
     after_seconds: float | None = None,
     forget_after_seconds: float | None = None,
+    latest_only: bool = False,
     name: str = "running_count",
 ) -> DataFrame:
     """``*keys, running_count, fired_by`` for every pane, in append mode; no keys for one global count.
 
+    ``latest_only`` leaves out panes that a later one of the same key and batch repeats.
+
     ``forget_after_seconds`` drops the state of a key that long after its last row. With a
     window among the keys, set it to the window's size plus the lateness to allow, so that
     state is kept only for windows that can still grow. Either time setting makes Spark run
@@ -66,6 +69,8 @@ def stream_count_panes(
         outputMode="append",
         timeMode="ProcessingTime" if after_seconds or forget_after_seconds else "None",
     )
+    if latest_only:
+        return fired.select(*given, F.col("last_count").alias(name), "fired_by")
     panes = expand_counts(fired, F.col("first_count"), F.col("last_count"), every, name)
     return panes.select(*given, name, "fired_by")
 
