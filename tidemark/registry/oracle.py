@@ -256,7 +256,7 @@ SELECT 'HOT_TOPICS' AS category, CAST(epoch(window_end) AS BIGINT) + 999 AS time
        topic_key, topic_name, score
 FROM ranked
 UNION ALL
-SELECT 'GLOBAL_EVENTS', NULL, NULL, NULL, NULL, NULL, events FROM ({_COUNT})""",
+SELECT 'GLOBAL_EVENTS', 0, NULL, 0, NULL, NULL, events FROM ({_COUNT})""",
     "table_sink_roundtrip": """
 SELECT c_custkey, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal,
        'c_custkey:INTEGER, c_nationkey:INTEGER, c_acctbal:FLOAT' AS declared
@@ -265,9 +265,9 @@ FROM customer""",
     "stream_hot_topics": _hot_topics(_TEN_MINUTES),
     "stream_hot_topics_from_panes": _SHOWN_TOPICS,
     "stream_store": f"""WITH {_documents(_DAY)}
-SELECT timestamp, window_start, topics, CAST(NULL AS BIGINT) AS events FROM documents
+SELECT timestamp, window_start, topics, CAST(0 AS BIGINT) AS events FROM documents
 UNION ALL
-SELECT NULL, NULL, NULL, events FROM ({_COUNT})""",
+SELECT 0, NULL, NULL, events FROM ({_COUNT})""",
     "stream_final_hot_topics": f"""WITH {_documents(_DAY)}
 SELECT {_DOCUMENT_MESSAGE} AS value FROM documents
 WHERE window_end <= (SELECT max(ts) FROM kept) - INTERVAL 1 HOUR""",

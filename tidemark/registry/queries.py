@@ -395,7 +395,8 @@ def category_envelope_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     counted = routed_counts(delivered).select(
         F.lit(GLOBAL_EVENTS).alias("category"), F.col("events").alias("score")
     )
-    return rows.unionByName(counted, allowMissingColumns=True)
+    together = rows.unionByName(counted, allowMissingColumns=True)
+    return together.fillna(0, ["timestamp", "rank"])
 
 
 @query
@@ -492,9 +493,10 @@ def stream_store(spark: SparkSession, folder: str) -> DataFrame:
         "timestamp",
         F.col("window.start").alias("window_start"),
         F.to_json("topics").alias("topics"),
-        F.lit(None).cast("bigint").alias("events"),
     )
-    return records.unionByName(store.stats.current().select("events"), allowMissingColumns=True)
+    stats = store.stats.current().select("events")
+    together = records.unionByName(stats, allowMissingColumns=True)
+    return together.fillna(0, ["timestamp", "events"])
 
 
 @query
