@@ -125,6 +125,11 @@ def test_projection_keeps_absent_null_and_unknown_inner_fields(spark):
     assert sorted(values, key=len) == [base, {**base, "venue": None}]
 
 
+def test_projection_takes_the_last_of_repeated_keys(spark):
+    frame = project_records(texts(spark, '{"rsvp_id":1,"rsvp_id":2,"mtime":3}'))
+    assert rows(frame) == [(2, 3, '{"event_id":2,"timestamp":3}')]
+
+
 def test_attributes_are_required_strings(spark):
     whole = with_attributes(project_records(texts(spark, '{"rsvp_id":5,"mtime":9}')))
     assert rows(whole, "attributes.event_id", "attributes.timestamp") == [("5", "9")]

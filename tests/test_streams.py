@@ -8,7 +8,7 @@ from tidemark.operators.intake import decode_messages, drop_duplicate_messages,
 from tidemark.operators.panes import count_panes
 from tidemark.operators.tables import stream_to_table
 from tidemark.plans import trending
-from tidemark.sources.messages import read_json_lines, read_message_files
+from tidemark.sources.messages import read_json_lines, read_message_files, read_table, stream_table
 from tidemark.streaming import jobs, sinks
 from tidemark.streaming.panes import stream_count_panes
 from tidemark.streaming.store import ChangeLog
@@ -254,3 +254,17 @@ def test_change_log_reads_only_named_parts(spark, tmp_path):
 def test_windows_are_text_in_utc(batch):
     top = trending.hot_topics(batch).select(as_text("window_start")).distinct()
     assert ("2024-05-01 12:00:00",) in rows(top)
+
+
+def test_table_streams_from_a_file_or_a_folder(spark, tmp_path):
+    """On a cluster a table is a folder of files; here it is one file."""
+    given = "/root/testdata/sf0.001"
+    events = read_table(spark, given, "events")
+    events.repartition(5).write.parquet(str(tmp_path / "events.parquet"))
+    expected = rows(events.select("event_id"))
+    for folder in (given, str(tmp_path)):
+        streamed = stream_table(spark, folder, "events", "event_id", max_files_per_trigger=2)
+        out = str(tmp_path / f"out{len(folder)}")
+        writer = streamed.writeStream.format("parquet").option("path", out)
+        writer.option("checkpointLocation", f"{out}-c").trigger(**NOW).start().awaitTermination()
+        assert rows(spark.read.schema("event_id bigint").parquet(out)) == expected

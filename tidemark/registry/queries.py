@@ -48,6 +48,7 @@ QUERIES: dict[str, Query] = {}
 DAY = "1 day"
 TOPIC_WINDOW = ["window_start", "window_end", "topic_key", "topic_name"]
 AT_ONCE = {"availableNow": True}
+EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "props"]
 
 
 def query(function: Query) -> Query:
@@ -63,12 +64,11 @@ def _messages(spark: SparkSession, folder: str, *keep: str) -> DataFrame:
 
 
 def _events(spark: SparkSession, folder: str) -> DataFrame:
-    events = read_table(spark, folder, "events")
-    return spread(events.select("event_id", "ts", "user_id", "event_type", "props"))
+    return spread(read_table(spark, folder, "events").select(*EVENT_COLUMNS))
 
 
 def _message_stream(spark: SparkSession, folder: str) -> DataFrame:
-    return messages_from_events(stream_table(spark, folder, "events"))
+    return messages_from_events(stream_table(spark, folder, "events", *EVENT_COLUMNS))
 
 
 def _daily_mentions(messages: DataFrame, *keep: str) -> DataFrame:

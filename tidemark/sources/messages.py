@@ -61,16 +61,22 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def stream_table(
-    spark: SparkSession, folder: str, name: str, max_files_per_trigger: int | None = None
+    spark: SparkSession,
+    folder: str,
+    name: str,
+    *columns: str,
+    max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """The same table as a file stream."""
+    """Columns of the same table as a file stream, spread if its files so far are few."""
     path = f"{folder}/{name}.parquet"
-    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    table = spark.read.parquet(path)
+    reader = spark.readStream.schema(table.schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if is_single_file(spark, path):  # a file stream watches a folder
         path, reader = folder, reader.option("pathGlobFilter", f"{name}.parquet")
-    return with_instants(reader.parquet(path))
+    stream = with_instants(reader.parquet(path)).select(*columns or "*")
+    return stream.repartition(_cores(spark)) if _has_few_splits(table) else stream
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -79,8 +85,15 @@ def spread(df: DataFrame) -> DataFrame:
     JSON work is bound by the processor, and a few unsplittable files would leave most of
     a cluster idle. A source with enough splits is left alone: no shuffle.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(_cores(df.sparkSession)) if _has_few_splits(df) else df
+
+
+def _cores(spark: SparkSession) -> int:
+    return spark.sparkContext.defaultParallelism
+
+
+def _has_few_splits(df: DataFrame) -> bool:
+    return df.rdd.getNumPartitions() < _cores(df.sparkSession)
 
 
 def with_instants(df: DataFrame) -> DataFrame:

@@ -60,7 +60,8 @@ def start_counter(
     """The running number of messages with a venue, published after each batch that adds some.
 
     State is one row, fed by partial counts. With ``every`` (and ``after_seconds``) the count
-    is published each time that trigger fires instead.
+    is published each time that trigger fires instead; a query with ``after_seconds`` needs a
+    processing-time trigger, as it never runs out of batches.
     """
     use_rocksdb_state(messages.sparkSession)
     kept = tap(venue_messages(messages), "venue_messages", "publish_ts")
