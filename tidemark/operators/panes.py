@@ -1,4 +1,7 @@
-"""Count-triggered accumulating panes: the running count of a key each time it grows by n."""
+"""Count-triggered accumulating panes: the running count of a key each time it grows by n.
+
+These replay the trigger over a batch; `tidemark.streaming.panes` runs it on a stream.
+"""
 
 from __future__ import annotations
 
@@ -42,7 +45,7 @@ def fired_panes(
     order_by: Sequence[Column],
     name: str = "running_count",
 ) -> DataFrame:
-    """Panes with the row that fired each: every ``every``-th row of a key. Batch only."""
+    """Panes with the row that fired each: every ``every``-th row of a key."""
     numbered = with_positions(df, order_by, keys, name)
     fired = numbered.filter(F.col(name) % every == 0)
     return fired.select(*df.columns, _pane_number(name, every), name)

@@ -1,6 +1,7 @@
 """The top-N family: global or per key, largest or smallest, one entry per key.
 
-Ranks are total: ``ties`` columns decide between equal scores, smallest first.
+Ranks are total: ``ties`` columns decide between equal scores, smallest first. All of it is for
+batch frames, those of a stream's ``foreachBatch`` included.
 """
 
 from __future__ import annotations
