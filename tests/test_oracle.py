@@ -10,7 +10,7 @@ import pytest
 import __spark_entry__ as driver
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLE = driver.queries(), driver.oracle_sql()
+QUERIES, ORACLE = driver.QUERIES, driver.ORACLE
 
 
 @pytest.fixture(scope="module")
