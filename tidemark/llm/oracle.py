@@ -1,3 +1,46 @@
 """DuckDB SQL with the same result as the query of that name, where SQL can express it."""
 
-ORACLE: dict[str, str] = {}
+MIX = r"""
+WITH sized AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
+), per_source AS (
+  SELECT source, sum(size)::BIGINT AS source_size, sum(CASE WHEN size > 0 THEN sqrt(size::DOUBLE) * size END) AS spread
+  FROM sized GROUP BY source
+), placed AS (
+  SELECT *, row_number() OVER (ORDER BY source ASC NULLS LAST) - 1 AS place FROM per_source
+), weighed AS (
+  SELECT *, [5, 2, 1][(place % 3 + 1)::INT] AS weight, 2.0::DOUBLE * source_size AS cap FROM placed
+), capped AS (
+  SELECT *, cap / weight AS reached_at FROM weighed
+), levels AS (
+  SELECT *,
+    (1.5::DOUBLE * (sum(source_size) OVER ())::DOUBLE - coalesce(sum(cap) OVER before, 0)) /
+    (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0))::DOUBLE AS level
+  FROM capped
+  WINDOW before AS (ORDER BY reached_at, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), level AS (
+  SELECT arg_min(level, (reached_at, place)) AS level FROM levels WHERE level <= reached_at
+), plan AS (
+  SELECT source, source_size, spread, least(cap, (SELECT level FROM level) * weight) AS target FROM levels
+), parts AS (
+  SELECT *, coalesce(floor(target / nullif(source_size, 0)), 0)::BIGINT AS whole FROM plan
+), lefts AS (
+  SELECT *, target - whole * source_size AS words_left FROM parts
+), chances AS (
+  SELECT s.doc_id, s.source, s.size, p.source_size, p.target, p.whole, p.words_left,
+    (('0x' || substr(md5(concat_ws(':', 'mix-1', s.doc_id::VARCHAR)), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS u,
+    CASE WHEN s.size > 0 AND p.words_left > 0
+      THEN least(0.999::DOUBLE, p.words_left * sqrt(s.size::DOUBLE) / p.spread) END AS chance
+  FROM sized s JOIN lefts p ON s.source IS NOT DISTINCT FROM p.source
+), odds AS (
+  SELECT *, (u / (1 - u)) / (chance / (1 - chance)) AS odds FROM chances
+), ranked AS (
+  SELECT *, sum(CASE WHEN odds IS NOT NULL THEN size END) OVER (
+    PARTITION BY source ORDER BY odds NULLS LAST, doc_id NULLS FIRST ROWS UNBOUNDED PRECEDING) AS so_far FROM odds
+)
+SELECT doc_id, size, source_size, target,
+  (size * (whole + CASE WHEN odds IS NOT NULL AND so_far - size / 2.0::DOUBLE <= words_left THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM ranked
+"""
+
+ORACLE: dict[str, str] = {"op8_mixing": MIX}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, secrets, simhash
+from tidemark.llm import bpe, licenses, mixing, secrets, simhash
 
 BYTE_BPE = "byte_bpe_50k.json"
 
@@ -28,8 +28,18 @@ def secret_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.secret_spans(_table(spark, sf_dir, "documents")))
 
 
+def license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(licenses.license_spans(_table(spark, sf_dir, "documents")))
+
+
+def mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.digest(mixing.mix(_table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op2_simhash": simhash_groups,
     "op3_bpe": bpe_digests,
+    "op7_licenses": license_digests,
+    "op8_mixing": mixed_sources,
     "op10_secrets": secret_digests,
 }
