@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, licenses, mixing, secrets, simhash
+from tidemark.llm import bpe, language, licenses, mixing, secrets, simhash
 
 BYTE_BPE = "byte_bpe_50k.json"
 
@@ -36,10 +36,17 @@ def mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(mixing.mix(_table(spark, sf_dir, "documents")))
 
 
+def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    labelled = language.predict(docs, language.fit_on_folds(docs))
+    return labelled.select("doc_id", language.held_out(labelled["doc_id"]).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
     "op2_simhash": simhash_groups,
     "op3_bpe": bpe_digests,
     "op7_licenses": license_digests,
     "op8_mixing": mixed_sources,
+    "op9_language": languages,
     "op10_secrets": secret_digests,
 }
