@@ -12,8 +12,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
-from functools import lru_cache
-from itertools import chain
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +22,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm.batches import per_batch, texts
+from tidemark.llm.wordcache import WordCache
 
 #: Fixed value: the splitting pattern of the byte-level pre-tokenizer.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -33,7 +33,7 @@ COMMON_WORDS = re.compile(
 )
 COMMON = frozenset(map(chr, [*range(0x80), *range(0xA1, 0x250), *range(0x2010, 0x2028), *range(0x2030, 0x203F), 0x20AC]))
 #: Entries of the trees that are worked on at once, and of the word cache of a task's process.
-TREE_ENTRIES, CACHED_WORDS, CACHED_CHARS = 1 << 19, 600_000, 16 << 20
+TREE_ENTRIES, CACHED_WORDS, CACHED_CHARS = 1 << 19, 400_000, 16 << 20
 
 
 def byte_letters() -> list[str]:
@@ -69,18 +69,38 @@ class Vocabulary:
         order = np.argsort(keys, kind="stable")
         self.keys, self.ranks = keys[order], order.astype(np.int64)
         self.merged = np.array([ids[a + b] for a, b in merges], np.int64)
+        self.byte_ranks = self._ranks(*(x.reshape(-1) for x in np.meshgrid(self.first, self.first, indexing="ij")))
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
         names = sorted(self.special, key=len, reverse=True)
         self.special_pattern = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
-        self.bytes = {i: bytes(of_letter[c] for c in token) for token, i in ids.items()}
-        self.bytes |= {i: text.encode() for text, i in self.special.items()}
+        pieces = {i: bytes(of_letter[c] for c in token) for token, i in ids.items()}
+        pieces |= {i: text.encode() for text, i in self.special.items()}
+        by_id = [pieces.get(i, b"") for i in range(max(pieces) + 1)]
+        self.piece_sizes = np.array([*map(len, by_id), 0], np.int64)
+        self.piece_starts = np.cumsum(self.piece_sizes) - self.piece_sizes
+        self.piece_bytes = np.frombuffer(b"".join(by_id), np.uint8)
         self.library = Tokenizer.from_str(content.decode()).pre_tokenizer
 
-    def pair_keys(self, a: np.ndarray, b: np.ndarray, leaves: int, at: np.ndarray) -> np.ndarray:
-        """Leaf values of the pairs (a, b) that start at ``at``; a ``b`` below zero is no pair."""
-        key = a << 32 | np.maximum(b, 0)
+    def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Ranks of the pairs (a, b), -1 where they do not merge."""
+        key = a << 32 | b
         slot = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where((b >= 0) & (self.keys[slot] == key), self.ranks[slot] * leaves + at, NONE)
+        return np.where(self.keys[slot] == key, self.ranks[slot], -1)
+
+    def leaf(self, rank: np.ndarray, leaves: int, at: np.ndarray) -> np.ndarray:
+        return np.where(rank >= 0, rank * leaves + at, NONE)
+
+    def pair_leaf(self, a: np.ndarray, b: np.ndarray, leaves: int, at: np.ndarray) -> np.ndarray:
+        """Leaf values of the pairs (a, b) that start at ``at``; a ``b`` below zero is no pair."""
+        return self.leaf(np.where(b >= 0, self._ranks(a, np.maximum(b, 0)), -1), leaves, at)
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        """The bytes the ids stand for; an id outside the vocabulary stands for none."""
+        ids = np.where((ids >= 0) & (ids < len(self.piece_sizes)), ids, len(self.piece_sizes) - 1)
+        sizes = self.piece_sizes[ids]
+        ends = np.cumsum(sizes)
+        at = np.repeat(self.piece_starts[ids] - ends + sizes, sizes) + np.arange(int(sizes.sum()))
+        return self.piece_bytes[at].tobytes()
 
     def split(self, text: str) -> list[str]:
         """The pre-tokenizer's words, special tokens apart."""
@@ -127,13 +147,14 @@ def _merge_rows(vocab: Vocabulary, words: list[bytes], sizes: np.ndarray, leaves
     """Ids of words of at most ``leaves`` bytes, one after the other, and how many each has."""
     n, wide = len(words), leaves + 1
     inside = np.arange(wide) < sizes[:, None]
-    symbols = np.full((n, wide), -1, np.int64)
-    symbols[inside] = vocab.first[np.frombuffer(b"".join(words), np.uint8)]
+    symbols, letters = np.full((n, wide), -1, np.int64), np.zeros((n, wide), np.int64)
+    letters[inside] = np.frombuffer(b"".join(words), np.uint8)
+    symbols[inside] = vocab.first[letters[inside]]
     following = np.where(np.arange(1, wide + 1) < sizes[:, None], np.arange(1, wide + 1), leaves)
     before = np.broadcast_to(np.arange(-1, wide - 1), (n, wide)).copy()
     tree = np.full((n, 2 * leaves), NONE, np.int64)
     row, at = np.nonzero(inside[:, 1:])
-    tree[row, leaves + at] = vocab.pair_keys(symbols[row, at], symbols[row, at + 1], leaves, at)
+    tree[row, leaves + at] = vocab.leaf(vocab.byte_ranks[letters[row, at] * 256 + letters[row, at + 1]], leaves, at)
     half = leaves
     while half > 1:
         tree[:, half // 2 : half] = np.minimum(tree[:, half : 2 * half : 2], tree[:, half + 1 : 2 * half : 2])
@@ -152,8 +173,8 @@ def _merge_rows(vocab: Vocabulary, words: list[bytes], sizes: np.ndarray, leaves
         before[active, after] = left
         has_prior = prior >= 0
         prior = np.where(has_prior, prior, left)
-        with_after = vocab.pair_keys(new, symbols[active, after], leaves, left)
-        with_prior = np.where(has_prior, vocab.pair_keys(symbols[active, prior], new, leaves, prior), with_after)
+        with_after = vocab.pair_leaf(new, symbols[active, after], leaves, left)
+        with_prior = np.where(has_prior, vocab.pair_leaf(symbols[active, prior], new, leaves, prior), with_after)
         base = active * (2 * leaves)
         node = np.stack([right, prior, left]) + leaves
         flat[base + node[0]], flat[base + node[1]], flat[base + node[2]] = NONE, with_prior, with_after
@@ -166,48 +187,18 @@ def _merge_rows(vocab: Vocabulary, words: list[bytes], sizes: np.ndarray, leaves
     return symbols[:, :leaves][alive], alive.sum(axis=1)
 
 
-class Encoder:
-    """Encodes texts; words met before come from a cache that is dropped when it is full."""
-
-    def __init__(self, content: bytes):
-        self.vocab = vocabulary(content)
-        self._reset()
-
-    def _reset(self) -> None:
-        self.slot: dict[str, int] = {}
-        self.ids, self.starts, self.counts = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.chars = 0
-
-    def _learn(self, words: set[str]) -> None:
-        special = [w for w in words if w in self.vocab.special]
-        plain = [w for w in words if w not in self.vocab.special]
-        ids, starts, counts = merge_words(self.vocab, [w.encode() for w in plain])
-        first, known = len(self.ids), len(self.slot)
-        self.slot.update(zip(plain + special, range(known, known + len(words))))
-        self.ids = np.concatenate([self.ids, ids, np.array([self.vocab.special[w] for w in special], np.int32)])
-        self.starts = np.concatenate([self.starts, first + starts, first + len(ids) + np.arange(len(special))])
-        self.counts = np.concatenate([self.counts, counts, np.ones(len(special), np.int64)])
-        self.chars += sum(map(len, words))
-
-    def encode(self, batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids one after the other, and the offsets of each text's ids."""
-        if len(self.slot) > CACHED_WORDS or self.chars > CACHED_CHARS:
-            self._reset()
-        split = [self.vocab.split(t) for t in batch]
-        words = list(chain.from_iterable(split))
-        if fresh := set(words).difference(self.slot):
-            self._learn(fresh)
-        slots = np.fromiter(map(self.slot.__getitem__, words), np.int64, len(words))
-        counts = self.counts[slots]
-        ends = np.cumsum(counts)
-        ids = self.ids[np.repeat(self.starts[slots] - ends + counts, counts) + np.arange(int(counts.sum()))]
-        last = np.cumsum([len(w) for w in split])
-        return ids, np.concatenate([[0], np.concatenate([[0], ends])[last]]).astype(np.int64)
+def learn_words(vocab: Vocabulary, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Like ``merge_words``, for words some of which may be special tokens."""
+    special = np.array([vocab.special.get(w, -1) for w in words], np.int64)
+    ids, starts, counts = merge_words(vocab, [b"" if i >= 0 else w.encode() for w, i in zip(words, special.tolist())])
+    starts[special >= 0], counts[special >= 0] = len(ids) + np.arange(int((special >= 0).sum())), 1
+    return np.concatenate([ids, special[special >= 0].astype(np.int32)]), starts, counts
 
 
 @lru_cache(2)
-def encoder(content: bytes) -> Encoder:
-    return Encoder(content)
+def encoder(content: bytes) -> WordCache:
+    vocab = vocabulary(content)
+    return WordCache(vocab.split, partial(learn_words, vocab), CACHED_WORDS, CACHED_CHARS)
 
 
 def tokenizer_content(path: str) -> bytes:
@@ -246,14 +237,12 @@ def decode(frame: DataFrame, path: str, ids_col: str = "ids", text_col: str = "d
     schema = frame.withColumn(text_col, F.lit(None).cast("string")).schema
 
     def run(batches):
-        pieces = vocabulary(content).bytes
+        vocab = vocabulary(content)
         for batch in batches:
             column = batch.column(ids_col)
-            flat, offsets = column.flatten().to_pylist(), column.value_lengths().fill_null(0).to_pylist()
-            out, at = [], 0
-            for n in offsets:
-                out.append(b"".join(pieces.get(i, b"") for i in flat[at : at + n]).decode("utf-8", "replace"))
-                at += n
+            flat, sizes = column.flatten().to_numpy(zero_copy_only=False), column.value_lengths().fill_null(0).to_numpy()
+            ends = np.cumsum(sizes, dtype=np.int64)
+            out = [vocab.decode(flat[e - n : e]).decode("utf-8", "replace") for e, n in zip(ends.tolist(), sizes.tolist())]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], [*batch.schema.names, text_col])
 
     return frame.mapInArrow(run, schema)

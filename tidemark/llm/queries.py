@@ -5,9 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, language, licenses, mixing, secrets, simhash
+from tidemark.llm import bpe, language, licenses, mixing, secrets, simhash, token_files
+from tidemark.workspace import scratch_path
 
-BYTE_BPE = "byte_bpe_50k.json"
+BYTE_BPE, WORD_BPE, END_ID = "byte_bpe_50k.json", "word_bpe_49k.json", 2
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +25,12 @@ def bpe_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(bpe.decode(bpe.encode(docs, path).select("doc_id", "ids"), path))
 
 
+def token_file_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "token-files")
+    token_files.write_token_files(_table(spark, sf_dir, "documents"), folder, public_tokenizers.path(WORD_BPE), END_ID)
+    return token_files.digest(token_files.read_token_files(spark, folder))
+
+
 def secret_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.secret_spans(_table(spark, sf_dir, "documents")))
 
@@ -45,6 +52,7 @@ def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_simhash": simhash_groups,
     "op3_bpe": bpe_digests,
+    "op4_token_files": token_file_digests,
     "op7_licenses": license_digests,
     "op8_mixing": mixed_sources,
     "op9_language": languages,
