@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, language, licenses, mixing, secrets, simhash, token_files
+from tidemark.llm import bpe, language, lattice, licenses, mixing, secrets, simhash, token_files
 from tidemark.workspace import scratch_path
 
 BYTE_BPE, WORD_BPE, END_ID = "byte_bpe_50k.json", "word_bpe_49k.json", 2
@@ -15,6 +15,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vector_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -50,6 +54,7 @@ def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_lattice": vector_groups,
     "op2_simhash": simhash_groups,
     "op3_bpe": bpe_digests,
     "op4_token_files": token_file_digests,
