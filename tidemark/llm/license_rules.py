@@ -281,6 +281,40 @@ dual|2|dual licen|dual(?:ly)? licen[sc]ed
 
 
 def parse(text: str = RULES_TEXT) -> list[tuple[int, str, int, str, str]]:
-    """``(order, label, priority, keyword, pattern)`` of each rule; patterns take whole words."""
+    """``(order, label, priority, gate, pattern)`` of each rule; patterns take whole words.
+
+    The gate is the keyword, or the shortest other keyword that it begins with.
+    """
     lines = [line.split("|", 3) for line in text.strip().splitlines()]
-    return [(i, label, int(p), keyword, f"(?<![^ ])(?:{pattern})(?![^ ])") for i, (label, p, keyword, pattern) in enumerate(lines)]
+    gates = shortest({keyword for _, _, keyword, _ in lines})
+    gate_of = lambda keyword: next(g for g in gates if keyword.startswith(g))
+    return [
+        (i, label, int(p), gate_of(keyword), f"(?<![^ ])(?:{pattern})(?![^ ])")
+        for i, (label, p, keyword, pattern) in enumerate(lines)
+    ]
+
+
+def shortest(keywords: set[str]) -> list[str]:
+    """The keywords that no other one is the beginning of."""
+    out: list[str] = []
+    for keyword in sorted(keywords):
+        if not out or not keyword.startswith(out[-1]):
+            out.append(keyword)
+    return out
+
+
+def prefilter(gates: list[str]) -> str:
+    """A pattern whose group 1 is the gate at the start of a word, if one is there.
+
+    Gates share their beginnings, as in a trie, so a word fails on its first letters. Nothing
+    is consumed: gates that overlap are all found.
+    """
+
+    def branch(rest: list[str]) -> str:
+        if rest == [""]:
+            return ""
+        heads = sorted({x[0] for x in rest})
+        parts = [head + branch([x[1:] for x in rest if x[0] == head]) for head in heads]
+        return parts[0] if len(parts) == 1 else f"(?:{'|'.join(parts)})"
+
+    return f"(?<![^ ])(?=({branch(sorted(gates))}))"

@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.batches import id_and_text
-from tidemark.llm.license_rules import parse
+from tidemark.llm.license_rules import parse, prefilter
 
 SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Phrases that always count, whatever other rules say.
 BASE = {
     "gnu general public license": "gpl",
@@ -20,12 +16,6 @@ BASE = {
     "cc by": "cc-by",
     "mit license": "mit",
 }
-#: Every rule's text holds one of these (a test checks it); other texts are not looked at further.
-GATE = (
-    "licen copyleft gpl gfdl creative domain permission warrant redistribut reserved apache mit mpl epl cddl artistic perl psf "
-    "bsd bsl busl sspl commons polyform wtfpl beer ncsa eupl cecill mulan lppl ofl odbl nasa cdla openrail gemma research "
-    "propriet copying endorse advertising invariant exception evil cc0 consortium cnri".split()
-)
 CONFIDENCE = {1: 0.6, 2: 0.8, 3: 1.0}
 
 
@@ -61,18 +51,18 @@ def _labelled(places: Column, label: str) -> Column:
     )
 
 
-def _detections(words: Column) -> Column:
-    """Every rule's matches, sorted so that no match comes after one that it contains."""
+def _detections(words: Column, gates: Column) -> Column:
+    """Matches of every rule whose gate is among ``gates``, sorted so that no match comes after one that it contains."""
     rules = F.array(
         *[
             F.struct(
                 F.lit(order).alias("order"), F.lit(label).alias("label"), F.lit(priority).alias("priority"),
-                F.lit(keyword).alias("keyword"), F.lit(pattern).alias("pattern"),
+                F.lit(gate).alias("gate"), F.lit(pattern).alias("pattern"),
             )
-            for order, label, priority, keyword, pattern in parse()
+            for order, label, priority, gate, pattern in parse()
         ]
     )
-    tried = F.filter(rules, lambda rule: F.contains(words, rule["keyword"]))
+    tried = F.filter(rules, lambda rule: F.array_contains(gates, rule["gate"]))
     found = F.flatten(
         F.transform(
             tried,
@@ -114,31 +104,37 @@ def license_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     ``spans`` are the detections left after suppression, as (start, end, priority, label) in
     words, end exclusive; ``base`` are all places of the base phrases, as (start, end, label).
+    Texts are lower-cased whole: letters outside A-Z whose lower case is in a-z occur in no phrase.
     Null and empty texts have no words and no spans. Repeated rows are each scanned, columns
     other than the two named are left behind, and an empty table gives no rows.
     """
-    empty = F.array()
-    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    text = F.coalesce("text", F.lit(""))
-    narrow = id_and_text(docs, id_col, text_col)
-    low = F.col("low")
-    gate = reduce(or_, [F.contains(low, F.lit(k)) for k in GATE], F.contains(low, F.lit("cc")) & low.rlike(f"cc{SEPARATOR}by"))
-    words = F.trim(F.regexp_replace(F.translate(text, upper, upper.lower()), SEPARATOR, " "))
+    words, gates = F.col("words"), F.col("gates")
+    pattern = prefilter(sorted({gate for _, _, _, gate, _ in parse()}))
+    none = F.array()
     base = F.concat(
         *[
-            _labelled(_places(F.col("words"), F.lit(f"(?<![^ ]){phrase}(?![^ ])")), label)
+            F.when(F.contains(words, F.lit(phrase)), _labelled(_places(words, F.lit(f"(?<![^ ]){phrase}(?![^ ])")), label))
+            .otherwise(none.cast("array<struct<start:int,end:int,label:string>>"))
             for phrase, label in BASE.items()
         ]
     )
     return (
-        narrow.withColumn("low", F.lower(text))
-        .select("doc_id", F.regexp_count(text, F.lit(WORD)).cast("long").alias("n_words"), F.when(gate, words).alias("words"))
-        .withColumn("found", F.when(F.col("words").isNotNull(), _detections(F.col("words"))))
+        id_and_text(docs, id_col, text_col)
+        .select("doc_id", F.trim(F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), SEPARATOR, " ")).alias("words"))
+        .select(
+            "doc_id",
+            F.when(words == "", 0).otherwise(_spaces(words) + 1).cast("long").alias("n_words"),
+            words,
+            F.regexp_extract_all(words, F.lit(pattern), F.lit(1)).alias("gates"),
+        )
+        .withColumn("found", F.when(F.size(gates) > 0, _detections(words, gates)))
         .select(
             "doc_id",
             "n_words",
-            F.coalesce(F.when(F.col("words").isNotNull(), base), empty.cast("array<struct<start:int,end:int,label:string>>")).alias("base"),
-            F.coalesce(F.when(F.size("found") > 0, _resolved(F.col("found"))), empty.cast("array<struct<start:int,end:int,priority:int,label:string>>")).alias("spans"),
+            F.when(F.size(gates) > 0, base).otherwise(none.cast("array<struct<start:int,end:int,label:string>>")).alias("base"),
+            F.when(F.size("found") > 0, _resolved(F.col("found")))
+            .otherwise(none.cast("array<struct<start:int,end:int,priority:int,label:string>>"))
+            .alias("spans"),
         )
     )
 

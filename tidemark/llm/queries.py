@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, language, lattice, licenses, mixing, secrets, simhash, token_files
+from tidemark.llm import bpe, katz, language, lattice, licenses, mixing, secrets, simhash, token_files
 from tidemark.workspace import scratch_path
 
 BYTE_BPE, WORD_BPE, END_ID = "byte_bpe_50k.json", "word_bpe_49k.json", 2
@@ -39,6 +39,10 @@ def secret_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.secret_spans(_table(spark, sf_dir, "documents")))
 
 
+def text_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score_documents(_table(spark, sf_dir, "documents"))
+
+
 def license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.digest(licenses.license_spans(_table(spark, sf_dir, "documents")))
 
@@ -58,6 +62,7 @@ QUERIES = {
     "op2_simhash": simhash_groups,
     "op3_bpe": bpe_digests,
     "op4_token_files": token_file_digests,
+    "op5_katz": text_scores,
     "op7_licenses": license_digests,
     "op8_mixing": mixed_sources,
     "op9_language": languages,
