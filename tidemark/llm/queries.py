@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, katz, language, lattice, licenses, mixing, secrets, simhash, token_files
+from tidemark.llm import bm25, bpe, katz, language, lattice, licenses, mixing, secrets, simhash, token_files
 from tidemark.workspace import scratch_path
 
 BYTE_BPE, WORD_BPE, END_ID = "byte_bpe_50k.json", "word_bpe_49k.json", 2
@@ -43,6 +44,11 @@ def text_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.score_documents(_table(spark, sf_dir, "documents"))
 
 
+def nearest_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return bm25.top_k(docs, F.coalesce(docs["doc_id"] % 50 == 0, F.lit(False)))
+
+
 def license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.digest(licenses.license_spans(_table(spark, sf_dir, "documents")))
 
@@ -63,6 +69,7 @@ QUERIES = {
     "op3_bpe": bpe_digests,
     "op4_token_files": token_file_digests,
     "op5_katz": text_scores,
+    "op6_bm25": nearest_texts,
     "op7_licenses": license_digests,
     "op8_mixing": mixed_sources,
     "op9_language": languages,
