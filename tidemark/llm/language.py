@@ -212,6 +212,20 @@ class Labeller:
 _labellers: dict[str, Labeller] = {}
 
 
+def _labels(model: Model, penalty: float, docs: DataFrame):
+    """A function from texts to labels that keeps one ``Labeller`` in each Python process."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    name = f"{docs.sparkSession.sparkContext.applicationId}-{shared._jbroadcast.id()}-{penalty}"
+
+    def label(bodies: list[str]) -> list[tuple[str, float, list]]:
+        if name not in _labellers:
+            _labellers.clear()
+            _labellers[name] = Labeller(shared.value, penalty)
+        return _labellers[name].label(bodies)
+
+    return label
+
+
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", penalty: float = SWITCH_PENALTY) -> DataFrame:
     """``doc_id``, ``lang_pred``, ``score`` and ``spans`` for every row, from the text alone.
 
@@ -222,26 +236,34 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     labelled, other columns are left behind, and an empty table gives no rows.
     """
     narrow = id_and_text(docs, id_col, text_col)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    name = f"model-{shared._jbroadcast.id()}-{penalty}"
+    label = _labels(model, penalty, docs)
     kind = narrow.schema["doc_id"].dataType.simpleString()
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))
 
-    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        if name not in _labellers:
-            _labellers.clear()
-            _labellers[name] = Labeller(shared.value, penalty)
-        made = list(zip(*_labellers[name].label(texts(batch.column("text"))))) or [(), (), ()]
-        columns = [pa.array(made[0], pa.string()), pa.array(made[1], pa.float64()), pa.array(made[2], span)]
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "lang_pred", "score", "spans"])
-
     def run(batches):
         for batch in slices(batches, "text", SLICE):
-            yield step(batch)
+            made = list(zip(*label(texts(batch.column("text"))))) or [(), (), ()]
+            columns = [pa.array(made[0], pa.string()), pa.array(made[1], pa.float64()), pa.array(made[2], span)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "lang_pred", "score", "spans"])
 
     return narrow.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double, spans array<struct<start:int,end:int,lang:string>>")
 
 
+def keep_labelled(docs: DataFrame, model: Model, least_share: float, text_col: str = "text", penalty: float = SWITCH_PENALTY) -> DataFrame:
+    """The rows whose text has a language that holds ``least_share`` of its letters, columns as they were.
+
+    Each row is judged by its own text, so repeated rows and ids do not matter.
+    """
+    label = _labels(model, penalty, docs)
+
+    def run(batches):
+        for batch in slices(batches, text_col, SLICE):
+            kept = [name != UNKNOWN and share >= least_share for name, share, _ in label(texts(batch.column(text_col)))]
+            yield batch.filter(pa.array(kept, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(id_column: Column) -> Column:
     """The fold that is never learned from: crc32 of the id as text leaves 1 of 3."""
     return in_fold(id_column, 3, 1)
