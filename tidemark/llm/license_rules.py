@@ -2,7 +2,8 @@
 
 A rule is ``label | priority | keyword | pattern``. Texts are words in lower case with one
 space between them, so punctuation never matters: "Apache-2.0" reads ``apache 2 0``. A pattern
-must match whole words and is tried only on texts that hold its keyword. Priority 3 is the
+must match whole words and is tried only on texts that hold its keyword, so every text that it
+matches must hold the keyword at the start of a word. Priority 3 is the
 wording of a grant or notice, 2 a licence with its version or identifier, 1 a bare name.
 """
 
@@ -15,7 +16,7 @@ gpl|1|gnu gpl|gnu gpl(?: license)?
 gpl|1|gpl licen|(?:the )?gpl licen[sc]ed?
 gpl|1|under the gpl|under the gpl
 gpl|1|gnu public licen|gnu public licen[sc]e
-gpl-1.0|2|gpl|gnu general public licen[sc]e (?:v|version )?1(?: 0)?
+gpl-1.0|2|gnu general public licen|gnu general public licen[sc]e (?:v|version )?1(?: 0)?
 gpl-2.0|2|gnu general public licen|gnu general public licen[sc]e (?:gpl )?(?:as published by the free software foundation )?(?:v ?|version )?2(?: 0)?
 gpl-2.0|2|gplv2|(?:gnu )?gplv2
 gpl-2.0|2|gpl 2|(?:gnu )?gpl 2(?: 0)?(?: only)?
@@ -81,7 +82,7 @@ mit|2|expat licen|(?:mit )?expat licen[sc]e
 mit|2|opensource org licenses mit|opensource org licenses mit(?: license)?(?: php| html)?
 mit|3|permission is hereby granted free of charge|permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files
 mit|3|the software is provided as is without warranty|the software is provided as is without warranty of any kind express or implied
-mit|3|licensed under the mit|(?:released|licensed|distributed|available|published) under the (?:terms of the )?mit licen[sc]e
+mit|3|mit licen|(?:released|licensed|distributed|available|published) under the (?:terms of the )?mit licen[sc]e
 mit|1|mit licence|mit licence
 mit|1|mit licensed|mit licensed
 mit-0|2|mit 0|mit 0(?: licen[sc]e)?
@@ -146,7 +147,7 @@ artistic-1.0|2|artistic|artistic(?: licen[sc]e)? (?:v|version )?1 0(?: perl)?
 artistic-2.0|2|artistic|artistic(?: licen[sc]e)? (?:v|version )?2 0
 perl|2|same terms as perl|under the same terms as perl(?: itself)?
 python|1|python software foundation licen|python software foundation licen[sc]e
-python-2.0|2|psf 2|psf(?: licen[sc]e)? (?:version )?2(?: 0)?
+python-2.0|2|psf|psf(?: licen[sc]e)? (?:version )?2(?: 0)?
 python-2.0|2|python software foundation licen|python software foundation licen[sc]e (?:v|version )?2(?: 0)?
 cnri-python|2|cnri|cnri (?:open source )?licen[sc]e agreement
 ruby|2|ruby licen|ruby licen[sc]e
@@ -156,7 +157,7 @@ php|1|php licen|(?:the )?php licen[sc]e
 zend-2.0|2|zend engine licen|zend engine licen[sc]e(?: version)?(?: 2 0)?
 w3c|2|w3c software|w3c software (?:notice and )?(?:and document )?(?:notice )?(?:and )?licen[sc]e
 w3c|1|w3c licen|w3c licen[sc]e
-zlib|2|zlib licen|(?:the )?zlib(?: libpng)? licen[sc]e
+zlib|2|zlib|(?:the )?zlib(?: libpng)? licen[sc]e
 zlib|2|libpng licen|(?:zlib )?libpng licen[sc]e
 zlib|3|this software is provided as is without any express|this software is provided as is without any express or implied warranty in no event will the authors be held liable
 libpng-2.0|2|png reference library licen|png reference library licen[sc]e(?: version 2)?
@@ -269,14 +270,14 @@ openrail|2|openrail|(?:bigscience |creativeml )?openrail(?: m| s| plus plus)?(?:
 llama|2|llama|llama [234](?: [123])? community licen[sc]e(?: agreement)?
 gemma|2|gemma terms|gemma terms of use
 bigcode|2|bigcode|bigcode openrail m(?: licen[sc]e)?
-research-only|2|non commercial research|(?:for )?non ?commercial research (?:use|purposes)(?: only)?
+research-only|2|non commercial research|(?:for )?non commercial research (?:use|purposes)(?: only)?
 proprietary|2|all rights reserved|all rights reserved
 proprietary|3|unauthorized copying of this file|unauthorized copying of this file via any medium is strictly prohibited
 proprietary|2|proprietary and confidential|proprietary and confidential
 proprietary|2|end user licen|end user licen[sc]e agreement
 copyleft|1|copyleft|copyleft
-permissive|1|permissive licen|permissive(?: open source)? licen[sc]e
-dual|2|dual licen|dual(?:ly)? licen[sc]ed
+permissive|1|permissive|permissive(?: open source)? licen[sc]e
+dual|2|dual licen|dual licen[sc]ed
 """
 
 
