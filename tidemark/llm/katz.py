@@ -9,7 +9,7 @@ more if discounting leaves nothing to back off with; alpha(h) is exactly what ma
 probabilities after h add up to one. Words before the first and after the last are a start
 symbol, which is only ever a history, and the end token.
 
-The text is read once, into chunks of about a million tokens: which words each holds, how often,
+The text is read once, into chunks of about 800,000 tokens: which words each holds, how often,
 and its tokens as numbers into that list. From then on only what is distinct in a chunk travels:
 
 1. word counts to buckets by word, and back: each word's number and count;
@@ -41,9 +41,9 @@ from tidemark.workspace import delete_folder, freeze, scratch_path
 
 #: Counts up to this are discounted.
 MOST_DISCOUNTED = 5
-CHUNK_TOKENS = 1 << 20
+CHUNK_TOKENS = 3 << 18
 #: Bytes of text for each bucket.
-BUCKET_BYTES = 6 << 20
+BUCKET_BYTES = 4 << 20
 #: No word holds white space, so these can stand for the start and the end.
 START, END = b" ", b"\n"
 START_ID = 0
@@ -54,11 +54,15 @@ def word_numbers(words: list[bytes]) -> np.ndarray:
 
 
 def _packed(x: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x).tobytes())
+    """All first bytes, then all second bytes and so on: most numbers are small, so most planes are zero."""
+    planes = np.ascontiguousarray(x).reshape(-1).view(np.uint8).reshape(-1, x.dtype.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes))
 
 
 def _unpacked(data: bytes, kind) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(planes.reshape(width, -1).T).reshape(-1).view(kind)
 
 
 def _packed_rising(x: np.ndarray) -> bytes:
@@ -224,6 +228,12 @@ def _count_words(sent: DataFrame, buckets: int) -> DataFrame:
     return sent.groupBy("bucket").applyInArrow(reduce, "bucket long, chunk long, numbers binary, counts binary, stats array<long>")
 
 
+def _one_by_one(batch: pa.RecordBatch):
+    """Rows of some MB each, only one of them unpacked at a time."""
+    for i in range(batch.num_rows):
+        yield batch.slice(i, 1).to_pylist()[0]
+
+
 def _gathered(replies: DataFrame, *columns: str) -> DataFrame:
     """One row per chunk with what the buckets sent back, in the order of the buckets."""
     name = "_".join(columns)
@@ -267,7 +277,7 @@ def _chunk_pairs(row: dict, words: list[dict], buckets: int):
 def _send_pairs(chunks: DataFrame, words: DataFrame, buckets: int) -> DataFrame:
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _one_by_one(batch):
                 numbers, counts, _, lengths, at, history, word, bucket, order = _chunk_pairs(row, row["numbers_counts"], buckets)
                 learned = np.bincount(at[np.repeat(row["trained"], lengths)], minlength=len(history)).astype(np.int64)
                 bucket, h, w = bucket[order], numbers[history[order]], numbers[word[order]]
@@ -367,7 +377,7 @@ def _score(chunks: DataFrame, words: DataFrame, pairs: DataFrame, weights: DataF
 
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _one_by_one(batch):
                 _, counts, tokens, lengths, at, history, word, _, order = _chunk_pairs(row, row["numbers_counts"], buckets)
                 seen = np.empty(len(history), np.int64)
                 seen[order] = _joined(row["counts"], "counts", np.int64)
