@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.payload import encode_json
 from tidemark.functions.times import event_time, format_time, pane_timestamp
+from tidemark.operators.intake import quarantine_groups  # noqa: E402
 from tidemark.operators.intake import (
     decode_messages,
     drop_duplicate_messages,
@@ -147,8 +148,28 @@ def test_absent_venue_has_no_topics(spark):
     assert rows(trending.topic_mentions(frame), "topic_key") == [("b",)]
 
 
-def test_spread_only_when_splits_are_few(spark):
-    cores = spark.sparkContext.defaultParallelism
-    few, many = spark.range(10).coalesce(1), spark.range(0, 100, 1, cores + 1)
-    assert spread(few).rdd.getNumPartitions() == cores
-    assert spread(many) is many
+def test_spread_deals_rows_out(spark):
+    assert spread(spark.range(10).coalesce(1), 3).rdd.getNumPartitions() == 3
+
+
+def test_messages_without_an_id_all_stay(spark):
+    frame = spark.createDataFrame([(None, "a"), (None, "a"), ("1", "b"), ("1", "b")], "event_id string, publish_ts string")
+    assert rows(drop_duplicate_messages(frame)) == sorted([(None, "a"), (None, "a"), ("1", "b")], key=repr)
+
+
+@pytest.mark.parametrize("text", ['{"venue":1} garbage', '{"venue":1}{"x":2}', '{"venue":1},', '{"venue":1}] x', '{"venue":1}} x'])
+def test_text_after_the_object_is_an_error_or_set_aside(spark, text):
+    frame = messages(spark, [text, '{"venue":2}'])
+    assert rows(trending.events_count(frame)) == [(1,)]
+    assert rows(quarantine(decode_messages(frame)), "text") == [(text,)]
+    with pytest.raises(Exception, match="malformed message"):
+        trending.events_count(frame, strict=True).collect()
+
+
+def test_unreadable_groups_are_set_aside(spark):
+    good = ['{"venue":1,"group":{"group_topics":[]}}', '{"venue":1,"group":{"group_topics":[{"urlkey":"a"}]}}']
+    bad = ['{"venue":1}', '{"venue":1,"group":"x"}', '{"venue":1,"group":{}}', '{"venue":1,"group":{"group_topics":[{"urlkey":"a"},7]}}']
+    unusable = ['{"venue":', "7"]
+    frame = decode_messages(messages(spark, good + bad + unusable))
+    assert rows(quarantine_groups(frame), "text") == sorted([(t,) for t in bad], key=repr)
+    assert quarantine_groups(frame).columns == frame.columns

@@ -4,8 +4,10 @@ import pytest
 from helpers import ABSENT, START, as_text, message, messages, rows
 from pyspark.sql import functions as F
 
+from tidemark.functions.times import format_time
 from tidemark.operators.intake import decode_messages, drop_duplicate_messages, parse_messages
 from tidemark.operators.panes import count_panes
+from tidemark.operators.shaping import decode_delivery, routed_counts, routed_hot_topics
 from tidemark.operators.tables import stream_to_table
 from tidemark.plans import trending
 from tidemark.sources.messages import read_json_lines, read_message_files, read_table, stream_table
@@ -58,12 +60,12 @@ def test_counter_grows_to_the_batch_count(spark, stream, batch, tmp_path):
 def test_early_rankings_end_as_the_batch_ranking(spark, stream, batch, tmp_path):
     place = {"rankings": str(tmp_path / "r"), "checkpoint": str(tmp_path / "c")}
     jobs.start_hot_topics(
-        stream, sinks.publish_files(str(tmp_path / "out")), n=3, trigger=NOW, **place
+        stream, sinks.publish_files(str(tmp_path / "out")), n=3, watermark="1 hour", trigger=NOW, **place
     ).awaitTermination()
     expected = trending.hot_topics(batch, n=3)
     log = jobs.rankings_log(spark, place["rankings"])
     assert rows(log.current().select(*expected.columns)) == rows(expected)
-    assert log.changes().select("version").distinct().count() == BATCHES
+    assert all(len(log.versions(day)) == 2 for day in log.touched(log.current()))
     published = spark.read.text(str(tmp_path / "out")).count()
     assert published > expected.select("window_start").distinct().count()
 
@@ -71,7 +73,7 @@ def test_early_rankings_end_as_the_batch_ranking(spark, stream, batch, tmp_path)
 def test_rankings_of_panes_end_as_in_batch(spark, stream, batch, tmp_path):
     place = {"rankings": str(tmp_path / "r"), "checkpoint": str(tmp_path / "c")}
     publish = sinks.publish_files(str(tmp_path / "out"))
-    jobs.start_hot_topics(stream, publish, n=3, every=5, trigger=NOW, **place).awaitTermination()
+    jobs.start_hot_topics(stream, publish, n=3, every=5, watermark=None, trigger=NOW, **place).awaitTermination()
     expected = trending.hot_topics_by_panes(batch, n=3)
     current = jobs.rankings_log(spark, place["rankings"]).current()
     assert rows(current.select(*expected.columns)) == rows(expected)
@@ -212,9 +214,27 @@ def test_store_upserts_by_key_and_replay_changes_nothing(spark, tmp_path):
     assert state() == expected
     store.apply(first, 0)  # an older batch run again must not win
     assert state() == expected
-    store.hot_topics.compact("2024-05-01")
+    late = _delivery(spark, [_ranking(7, 100), _count(100)], after=0)
+    store.apply(late, 2)  # published before what is stored
     assert state() == expected
-    assert store.hot_topics.changes().count() == 2
+    store.apply(_delivery(spark, [_count(1)], after=2), 3)  # published after it
+    assert state()[1] == [(1,)]
+
+
+def test_files_read_by_a_batch_stay_few(spark, tmp_path):
+    store = sinks.ResultStore(spark, str(tmp_path))
+    files = []
+    for batch in range(50):
+        store.stats.merge(_stats_row(spark, batch), batch, ["publish_ts", "events"])
+        if batch % 7 == 0:
+            files.append((len(store.stats.versions("all")), len(store.stats.newest(["all"], before=batch).inputFiles())))
+    assert rows(store.stats.current(), "events") == [(49,)]
+    assert all(versions <= 2 and read <= 1 for versions, read in files)
+
+
+def _stats_row(spark, n):
+    row = ("stats", n, START.replace(minute=n), START, "all")
+    return spark.createDataFrame([row], "id string, events long, publish_ts timestamp, last_updated timestamp, block string")
 
 
 def test_unknown_category_stores_nothing(spark, tmp_path):
@@ -244,11 +264,87 @@ def test_change_log_reads_only_named_parts(spark, tmp_path):
     log = ChangeLog(spark, str(tmp_path / "log"), schema, ["id"], "part")
     assert log.current().count() == 0
     frame = spark.range(6).select("id", F.concat(F.lit("p"), F.col("id") % 3).alias("part"))
-    log.write(frame, 3)
-    assert rows(log.changes(["p1", "nowhere"]), "id", "version") == [(1, 3), (4, 3)]
-    assert log.changes(["p1"], before=3).count() == 0
-    log.write(frame.filter("part = 'p1' AND id = 1"), 3)
-    assert rows(log.current(), "id") == [(0,), (1,), (2,), (3,), (5,)]
+    log.merge(frame, 3, [])
+    assert rows(log.newest(["p1", "nowhere"]), "id", "version") == [(1, 3), (4, 3)]
+    assert log.newest(["p1"], before=3).count() == 0
+    log.merge(frame.filter("id = 1"), 4, [])
+    assert rows(log.at(["p1", "p2"], 4), "id") == [(1,), (4,)]
+    log.merge(frame.filter("id = 1"), 5, [])
+    assert log.versions("p1") == [4, 5] and log.versions("p2") == [3]
+    assert rows(log.current(), "id") == [(i,) for i in range(6)]
+
+
+def test_state_of_panes_is_forgotten(spark, stream, tmp_path):
+    """With a memory of a second, rows in state go some time after a key's last row."""
+    panes = stream_count_panes(trending.topic_mentions(stream), ["topic_key"], 5, forget_after_seconds=1)
+    query = (
+        panes.writeStream.format("memory").queryName("forgotten").option("checkpointLocation", str(tmp_path / "c"))
+        .trigger(processingTime="1 second").start()
+    )
+    try:
+        held = [0]
+        for _ in range(60):
+            held = [_values_in_state(p) for p in query.recentProgress if p["stateOperators"]] or [0]
+            if held[-1] < max(held) or query.exception():
+                break
+            time.sleep(1)
+        assert query.exception() is None and held[-1] < max(held)
+    finally:
+        query.stop()
+
+
+def _values_in_state(progress):
+    return sum(op["numRowsTotal"] for op in progress["stateOperators"])
+
+
+def test_rows_dropped_as_late_are_reported(spark, tmp_path):
+    path = str(tmp_path / "m")
+    for after in (0, 7200, 7300, 60, 9000):  # a watermark counts from the batch after next
+        messages(spark, [(message([("a", "A")]), after)]).coalesce(1).write.mode("append").parquet(path)
+        time.sleep(0.05)
+    source = read_message_files(spark, path, streaming=True, max_files_per_trigger=1)
+    query = jobs.start_hot_topics(
+        source, sinks.publish_files(str(tmp_path / "o")), rankings=str(tmp_path / "r"), checkpoint=str(tmp_path / "c"),
+        watermark="10 minutes", trigger=NOW,
+    )
+    query.awaitTermination()
+    assert jobs.late_rows(query) == 1
+
+
+def test_texts_and_folders_are_in_utc_whatever_the_session(spark, stream, batch, tmp_path):
+    expected = rows(trending.hot_topics_envelopes(trending.hot_topics(batch, n=3)))
+    zone = "spark.sql.session.timeZone"
+    spark.conf.set(zone, "America/New_York")
+    try:
+        assert rows(trending.hot_topics_envelopes(trending.hot_topics(batch, n=3))) == expected
+        jobs.start_hot_topics(
+            stream, sinks.publish_files(str(tmp_path / "o")), rankings=str(tmp_path / "r"), checkpoint=str(tmp_path / "c"),
+            n=3, watermark=None, trigger=NOW,
+        ).awaitTermination()
+        assert jobs.rankings_log(spark, str(tmp_path / "r")).versions("2024-05-01")
+        odd = spark.sql("SELECT timestamp_seconds(1710052200) AS a, timestamp_seconds(1730611800) AS b")
+        assert rows(odd.select(format_time(F.col("a")), format_time(F.col("b")))) == [("2024-03-10 06:30:00", "2024-11-03 05:30:00")]
+    finally:
+        spark.conf.set(zone, "UTC")
+
+
+def test_a_delivery_is_parsed_once(spark):
+    frame = decode_delivery(_delivery(spark, [_ranking(7, 1), _count(2)]))
+    for routed, parsers in ((routed_hot_topics(frame), 2), (routed_counts(frame), 1)):
+        plan = routed.filter("publish_ts IS NOT NULL")._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json(") == parsers
+
+
+def test_both_branches_of_one_source(spark, stream, batch, tmp_path):
+    publish = {name: sinks.publish_files(str(tmp_path / name)) for name in ("counter", "hot_topics")}
+    running = jobs.start_all(stream, publish, folder=str(tmp_path / "state"), watermark="1 hour", trigger=NOW, n=3)
+    for query in running.values():
+        query.awaitTermination()
+    counts = spark.read.text(str(tmp_path / "counter")).select(F.get_json_object("value", "$.output").cast("int"))
+    assert max(rows(counts))[0] == trending.events_count(batch).first()[0]
+    current = jobs.rankings_log(spark, str(tmp_path / "state/rankings")).current()
+    expected = trending.hot_topics(batch, n=3)
+    assert rows(current.select(*expected.columns)) == rows(expected)
 
 
 def test_windows_are_text_in_utc(batch):

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from tidemark.operators import positions
 from tidemark.operators.positions import with_positions
 from tidemark.operators.ranking import (
-    _cut_in_place,
     first_by_key,
     largest,
     largest_per_key,
@@ -105,21 +104,6 @@ def test_comparator_orders_a_list(spark):
     assert rows(frame.select(longest)) == [(["dddd", "ccc", "bb", "a"],)]
 
 
-def test_large_n_equals_small_n_path(spark):
-    frame = spark.range(5000).select(
-        (F.col("id") % 3).alias("k"), F.expr("(id * 7919) % 1000").alias("v"), "id"
-    )
-    for per in ([], ["k"]):
-        big = top_n(frame, 1500, "v", per=per, ties="id")
-        threshold = "spark.sql.optimizer.windowGroupLimitThreshold"
-        before = spark.conf.get(threshold)
-        spark.conf.set(threshold, "5000")
-        try:
-            assert rows(big) == rows(top_n(frame, 1500, "v", per=per, ties="id"))
-        finally:
-            spark.conf.set(threshold, before)
-
-
 @pytest.mark.parametrize("n", [3, 150, 1200])
 def test_every_n_agrees_with_brute_force_on_a_hot_key(spark, n):
     data = [(9 if i % 3 else i % 5, i * 7919 % 211, i) for i in range(4000)]
@@ -131,12 +115,24 @@ def test_every_n_agrees_with_brute_force_on_a_hot_key(spark, n):
     assert got == sorted(best, key=repr)
 
 
-def test_large_global_n_is_cut_before_any_shuffle(spark):
-    frame = spark.range(0, 50_000, 1, 8).select((F.col("id") * 7919 % 50_000).alias("v"))
-    cut = _cut_in_place(frame, 1200, [F.col("v").desc()])
-    assert cut.count() == 8 * 1200
-    assert "Exchange" not in cut._jdf.queryExecution().executedPlan().toString()
-    assert rows(top_n(frame, 1200, "v"), "v") == sorted([(v,) for v in range(48_800, 50_000)], key=repr)
+def test_large_n_is_lazy_and_cut_before_the_first_shuffle(spark, tmp_path, monkeypatch):
+    """2,000 rows of each of three keys out of 200,000: nothing is written or run to plan it."""
+    path = str(tmp_path / "t")
+    spark.range(0, 200_000, 1, 4).select((F.col("id") % 3).alias("k"), "id").write.parquet(path)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "no job may run")
+    try:
+        top = top_n(spark.read.schema("k long, id long").parquet(path), 2000, "id", per=["k"])
+        plan = top._jdf.queryExecution().toString()
+        assert not tracker.getJobIdsForGroup("planning")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    physical = plan[plan.index("== Physical Plan ==") :]
+    last = physical.rindex("Exchange")  # plans are printed from the top down
+    assert "WindowGroupLimit" in physical[last:]
+    assert physical.count("WindowGroupLimit") >= 4
+    best = sorted((i for i in range(200_000)), reverse=True)
+    assert sorted(r.id for r in top.collect()) == sorted(i for k in range(3) for i in [x for x in best if x % 3 == k][:2000])
 
 
 def test_each_map_task_sends_at_most_n_rows_per_group(spark, tmp_path):
@@ -144,7 +140,7 @@ def test_each_map_task_sends_at_most_n_rows_per_group(spark, tmp_path):
     spark.range(1000).select((F.col("id") % 2).alias("k"), "id").write.parquet(path)
     plan = top_n(spark.read.parquet(path), 5, "id", per=["k"])._jdf.queryExecution().toString()
     physical = plan[plan.index("== Physical Plan ==") :]
-    assert physical.index("Exchange") < physical.rindex("WindowGroupLimit")
+    assert physical.rindex("Exchange") < physical.rindex("WindowGroupLimit")
     assert physical.count("WindowGroupLimit") >= 2
 
 
@@ -168,7 +164,7 @@ def test_positions_with_one_hot_key(spark, copies):
 def test_positions_spread_a_hot_key_over_tasks(spark, monkeypatch):
     """Even when every row of it is the same, as far as the order can tell."""
     frozen = []
-    monkeypatch.setattr(positions, "freeze", lambda df, label: frozen.append(freeze(df, label)) or frozen[0])
+    monkeypatch.setattr(positions, "freeze", lambda df, label: frozen.append(freeze(df, label)) or frozen[-1])
     frame = spark.range(0, 40_000, 1, 8).select(F.lit(1).alias("k"), F.lit(1).alias("v"), "id")
     coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
     spark.conf.set(coalesce, "false")  # at this size one task could hold it all
@@ -176,11 +172,24 @@ def test_positions_spread_a_hot_key_over_tasks(spark, monkeypatch):
         numbered = with_positions(frame, [F.col("v")], ["k"])
     finally:
         spark.conf.set(coalesce, "true")
-    sizes = [r.n for r in frozen[0].groupBy("_slice").agg(F.count("*").alias("n")).collect()]
+    sizes = [r.n for r in frozen[1].groupBy("_slice").agg(F.count("*").alias("n")).collect()]
     assert len(sizes) > 1 and max(sizes) < 30_000
     assert numbered.agg(F.countDistinct("position"), F.max("position")).first() == (40_000, 40_000)
 
 
+def test_positions_evaluate_their_input_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    frame = spark.range(0, 5000, 1, 4).mapInArrow(count, "id long")
+    assert with_positions(frame, [F.col("id")]).count() == 5000
+    assert seen.value == 5000
+
+
 def test_positions_with_null_keys(spark):
     frame = spark.createDataFrame([(None, 2), (None, 1), ("a", 5)], "k string, v int")
     got = with_positions(frame, [F.col("v")], ["k"])

@@ -28,9 +28,20 @@ def has_key(text: Column, key: str) -> Column:
     return F.array_contains(F.json_object_keys(text), key)
 
 
+def is_whole(text: Column) -> Column:
+    """Is the text one JSON value from its first character to its last?
+
+    Key tests and parsers stop at the first value's end. Inside brackets, whatever follows is
+    read too: a closing bracket of its own can end the list or the object early, not both.
+    """
+    listed = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+    held = F.size(F.json_object_keys(F.concat(F.lit('{"x":'), text, F.lit("}")))) == 1
+    return F.coalesce(listed & held, F.lit(False))
+
+
 def is_unusable(text: Column) -> Column:
-    """True for missing or broken text and for JSON that is not an object."""
-    return F.json_object_keys(text).isNull()
+    """True for missing or broken text, for text after the JSON value, and for JSON that is not an object."""
+    return F.json_object_keys(text).isNull() | ~is_whole(text)
 
 
 def encode_json(value: Column) -> Column:

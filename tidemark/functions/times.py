@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
-
 # Seconds added to a pane's time to form the record's id: fixed by the output format.
 # A pane's time is the last instant of its window, whose whole second is end - 1.
 _PANE_OFFSET = 1000
@@ -19,8 +17,13 @@ def event_time(millis: Column) -> Column:
 
 
 def format_time(ts: Column) -> Column:
-    """Whole-second text in the session zone, which `session.prepare` sets to UTC."""
-    return F.date_format(ts, TIME_FORMAT)
+    """Whole-second text in UTC, whatever the session's zone.
+
+    Counted from the epoch without a zone: shifting the instant by the zone's offset would go
+    wrong in the hours in which clocks change.
+    """
+    since = F.make_dt_interval(secs=F.unix_seconds(ts).cast("decimal(18,6)"))
+    return F.substring((F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + since).cast("string"), 1, 19)
 
 
 def pane_timestamp(window_end: Column) -> Column:

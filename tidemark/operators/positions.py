@@ -27,12 +27,13 @@ def with_positions(
     slices. Only the per-slice counts are aggregated: at most one row per group and slice.
 
     The map task's id is the last range column, so that even rows which are copies of each
-    other can be split. The numbered rows are frozen before use: the numbering belongs to
-    one physical layout and must not be evaluated twice.
+    other can be split. The rows are frozen before that step, which samples its input by running
+    it, and after it: the numbering belongs to one physical layout and must not be evaluated
+    twice. So pass only the columns that matter.
     """
+    once = freeze(df.withColumn("_source", F.spark_partition_id()), "positions-input")
     placed = (
-        df.withColumn("_source", F.spark_partition_id())
-        .repartitionByRange(*per, *order_by, F.col("_source"))
+        once.repartitionByRange(*per, *order_by, F.col("_source"))
         .sortWithinPartitions(*per, *order_by)
         .drop("_source")
         .withColumn("_at", F.monotonically_increasing_id())

@@ -11,10 +11,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.positions import ROW_BITS, with_positions
-
-# Up to this n, one task merges what all map tasks kept of a group.
-_MERGED_AT_ONCE = 100
+from tidemark.session import prune_at_every_n
 
 Ordering = str | Column | Sequence[str | Column]
 
@@ -25,10 +22,6 @@ def _columns(columns: Ordering) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in columns]
 
 
-def _pruning_limit(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
-
-
 def top_n(
     df: DataFrame,
     n: int,
@@ -48,10 +41,9 @@ def top_n(
     ``distinct_on`` keeps one row per key first: the latest by ``seq``, or without ``seq``
     the best ranked.
 
-    Up to Spark's group-limit threshold each map task sends at most ``n`` rows per group,
-    so no group, however large, arrives whole. A larger ``n`` is cut in two steps, so that
-    no task gets ``n`` rows from every map task, and beyond the threshold the ranks come
-    from `with_positions`, which has no largest group.
+    Lazy at every ``n``: each map task keeps at most ``n`` rows per group, then each share of the
+    map tasks does, and one task per group merges what the shares kept, that is ``n`` rows for
+    every share; so no group, however large, arrives whole.
     """
     if n < 1:
         raise ValueError("n must be at least 1")
@@ -62,17 +54,10 @@ def top_n(
         latest = [c.desc_nulls_last() for c in _columns(seq)] + order
         df = _head_by_key(df, keys, latest)
 
-    pruned = n <= _pruning_limit(df)
-    if pruned and n > _MERGED_AT_ONCE:
-        df = _cut_by_shares(df, n, order, per)
-    elif not pruned and not per:
-        df = _cut_in_place(df, n, order)
-    if pruned:
-        ranked = df.withColumn(rank, F.row_number().over(Window.partitionBy(*per).orderBy(*order)))
-    else:
-        ranked = with_positions(df, order, per, rank)
-    cut = ranked.filter(F.col(rank) <= n)
-    return cut.withColumn(rank, F.col(rank).cast("bigint"))
+    prune_at_every_n(df.sparkSession)
+    df = _cut_by_shares(df, n, order, per)
+    ranked = df.withColumn(rank, F.row_number().over(Window.partitionBy(*per).orderBy(*order)))
+    return ranked.filter(F.col(rank) <= n).withColumn(rank, F.col(rank).cast("bigint"))
 
 
 def _cut_by_shares(
@@ -86,17 +71,6 @@ def _cut_by_shares(
     return shared.withColumn("_place", place).filter(F.col("_place") <= n).select(*df.columns)
 
 
-def _cut_in_place(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
-    """Keep the best ``n`` rows of each partition, without a shuffle."""
-    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << ROW_BITS) - 1))
-    return (
-        df.sortWithinPartitions(*order)
-        .withColumn("_row", row)
-        .filter(F.col("_row") < n)
-        .select(*df.columns)
-    )
-
-
 def _head_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     position = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("_position", position).filter("_position = 1").drop("_position")

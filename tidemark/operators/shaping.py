@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.once import once
 from tidemark.functions.payload import decode_utf8, encode_json, parse_json
 from tidemark.functions.times import format_time, pane_timestamp
 from tidemark.operators.ranking import ranks_to_list
@@ -53,10 +54,8 @@ def decode_delivery(deliveries: DataFrame, data: str = "data") -> DataFrame:
     """
     text = decode_utf8(F.unbase64(data), strict=True)
     envelope = parse_json(text, _ENVELOPE, strict=True)
-    return (
-        deliveries.withColumn("_envelope", envelope)
-        .select(*(c for c in deliveries.columns if c != data), "_envelope.*")
-    )
+    others = [c for c in deliveries.columns if c != data]
+    return deliveries.select(*others, once(envelope).alias("_envelope")).select(*others, "_envelope.*")
 
 
 def route(
@@ -77,8 +76,9 @@ def route(
 def routed_hot_topics(envelopes: DataFrame) -> DataFrame:
     """The hot-topics records with typed fields, beside the other columns."""
     record = parse_json(_output_of(HOT_TOPICS), HOT_TOPICS_OUTPUT, strict=True)
-    kept = route(envelopes, HOT_TOPICS).withColumn("_record", record)
-    return kept.select(*_beside_output(envelopes), "_record.*")
+    others = _beside_output(envelopes)
+    kept = route(envelopes, HOT_TOPICS).select(*others, once(record).alias("_record"))
+    return kept.select(*others, "_record.*")
 
 
 def routed_counts(envelopes: DataFrame) -> DataFrame:

@@ -57,9 +57,18 @@ def write_table(
 
 
 def stream_to_table(
-    df: DataFrame, table: str, schema: Mapping[str, str], *, checkpoint: str, path: str | None = None
+    df: DataFrame,
+    table: str,
+    schema: Mapping[str, str],
+    *,
+    checkpoint: str,
+    path: str | None = None,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
+    """Append a stream to a catalog table, kept at ``path`` when given."""
     writer = select_schema(df, schema).writeStream.format("parquet").outputMode("append")
     if path is not None:
         writer = writer.option("path", path)
+    if trigger is not None:
+        writer = writer.trigger(**trigger)
     return writer.option("checkpointLocation", checkpoint).toTable(table)

@@ -277,4 +277,18 @@ FROM panes""",
     "stream_counter_panes": f"""
 SELECT running_count, 'count' AS fired_by FROM (WITH {_COUNTER_PANES.format(columns="")})""",
     "stream_dedup": "SELECT event_id FROM events WHERE user_id % 4 <> 0",
+    "stream_counter_timed": "SELECT CAST(count(*) AS BIGINT) AS events FROM events WHERE user_id % 4 <> 0",
+    "stream_table_sink": """
+SELECT CAST(event_id AS BIGINT) AS event_id, CASE user_id % 5 WHEN 0 THEN 'us' WHEN 1 THEN 'gb' WHEN 2 THEN 'fr'
+       WHEN 3 THEN 'de' ELSE 'es' END AS country
+FROM events WHERE user_id % 4 <> 0""",
+    "quarantined_groups": "SELECT event_id FROM events WHERE user_id % 5 < 3",
+    "dedup_by_attribute": f"""
+SELECT event_id, epoch_us(ts) // 1000 AS sent, {_text("ts")} AS published FROM events WHERE user_id % 4 <> 0""",
+    "dedup_without_ids": """
+SELECT event_id, CAST(CASE WHEN user_id % 5 = 0 THEN 2 ELSE 1 END AS BIGINT) AS times FROM events""",
+    "resorted_list": """
+SELECT o_custkey, string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey % 10 DESC, o_orderkey DESC) AS orders
+FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS n FROM orders)
+WHERE n <= 3 GROUP BY o_custkey""",
 }

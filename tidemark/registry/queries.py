@@ -5,6 +5,7 @@ Times are given as text and counts as BIGINT, so results compare across engines.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -20,6 +21,7 @@ from tidemark.operators.intake import (
     keep_with_key,
     parse_messages,
     quarantine,
+    quarantine_groups,
 )
 from tidemark.operators.panes import count_panes, fired_panes
 from tidemark.operators.shaping import (
@@ -30,16 +32,16 @@ from tidemark.operators.shaping import (
     routed_counts,
     routed_hot_topics,
 )
-from tidemark.operators.tables import schema_ddl, schema_string, write_table
+from tidemark.operators.tables import schema_ddl, schema_string, stream_to_table, write_table
 from tidemark.plans import trending
 from tidemark.schemas import GLOBAL_EVENTS, HOT_TOPICS, MESSAGE
 from tidemark.session import prepare
-from tidemark.sources.event_records import messages_from_events, raw_records_from_events
-from tidemark.sources.messages import read_json_lines, read_table, spread, stream_table
+from tidemark.sources.event_records import attributed_messages_from_events, messages_from_events, raw_records_from_events
+from tidemark.sources.messages import read_json_lines, read_table, spread
 from tidemark.sources.records import project_records, with_attributes
 from tidemark.streaming import jobs, sinks
 from tidemark.streaming.panes import stream_count_panes
-from tidemark.workspace import scratch_path
+from tidemark.workspace import path_exists, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,6 +50,8 @@ QUERIES: dict[str, Query] = {}
 DAY = "1 day"
 TOPIC_WINDOW = ["window_start", "window_end", "topic_key", "topic_name"]
 AT_ONCE = {"availableNow": True}
+# Batches of every registered stream, and the files of each.
+SLICES, FILES_PER_SLICE = 4, 2
 EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "props"]
 
 
@@ -64,11 +68,46 @@ def _messages(spark: SparkSession, folder: str, *keep: str) -> DataFrame:
 
 
 def _events(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(read_table(spark, folder, "events").select(*EVENT_COLUMNS))
+    """The table is a single file in the small scales, so its rows are dealt out to the cores."""
+    events = read_table(spark, folder, "events").select(*EVENT_COLUMNS)
+    return spread(events, spark.sparkContext.defaultParallelism)
 
 
 def _message_stream(spark: SparkSession, folder: str) -> DataFrame:
-    return messages_from_events(stream_table(spark, folder, "events", *EVENT_COLUMNS))
+    """The messages as a stream of ``SLICES`` batches in the order of time."""
+    events = read_table(spark, folder, "events").select(*EVENT_COLUMNS)
+    return messages_from_events(_stream_of(spark, *_time_slices(events)))
+
+
+def _time_slices(events: DataFrame) -> list[DataFrame]:
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    if first is None:
+        return [events]
+    step = (last - first) / SLICES
+    starts = [first + i * step for i in range(1, SLICES)]
+    bounds = [None, *starts, None]
+    return [
+        events.filter((F.lit(True) if a is None else F.col("ts") >= a) & (F.lit(True) if b is None else F.col("ts") < b))
+        for a, b in zip(bounds, bounds[1:])
+    ]
+
+
+def _stream_of(spark: SparkSession, *slices: DataFrame) -> DataFrame:
+    """Each frame, written one after the other, as one batch of a file stream."""
+    path = scratch_path(spark, "slices")
+    for part in slices:
+        part.repartition(FILES_PER_SLICE).write.mode("append").parquet(path)
+        time.sleep(0.05)  # files are taken in the order of their times
+    reader = spark.readStream.schema(slices[0].schema)
+    return reader.option("maxFilesPerTrigger", FILES_PER_SLICE).parquet(path)
+
+
+def _several_batches(query) -> None:
+    """Wait for a stream to end, and make sure that it carried state from batch to batch."""
+    query.awaitTermination()
+    batches = sum(p["numInputRows"] > 0 for p in query.recentProgress)
+    if batches < SLICES:
+        raise RuntimeError(f"{batches} batches had rows; {SLICES} were to be seen")
 
 
 def _daily_mentions(messages: DataFrame, *keep: str) -> DataFrame:
@@ -231,6 +270,47 @@ def quarantined_messages(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def quarantined_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups that are text, have no list, or hold a bad topic, by user; whole ones pass."""
+    text = F.col("value").cast("string")
+    broken = (
+        F.when(F.col("user_id") % 5 == 0, F.regexp_replace(text, r'"group":\{.*\]\}', '"group":"none"'))
+        .when(F.col("user_id") % 5 == 1, F.replace(text, F.lit('"group_topics"'), F.lit('"other"')))
+        .when(F.col("user_id") % 5 == 2, F.replace(text, F.lit('"group_topics":['), F.lit('"group_topics":[7,')))
+        .otherwise(text)
+    )
+    messages = _messages(spark, folder, "event_id", "user_id").withColumn("value", F.encode(broken, "UTF-8"))
+    return quarantine_groups(decode_messages(messages)).select("event_id")
+
+
+@query
+def dedup_by_attribute(spark: SparkSession, folder: str) -> DataFrame:
+    """As `dedup_events`, by the id among the attributes, before any payload is parsed."""
+    first = attributed_messages_from_events(_events(spark, folder), "user_id")
+    again = first.filter("user_id % 3 = 0").withColumn(
+        "timestamp", F.expr("timestamp + INTERVAL 5 MINUTES")
+    )
+    delivered = decode_messages(first.unionByName(again)).withColumn("message_id", F.col("attributes")["event_id"])
+    kept = keep_with_key(drop_duplicate_messages(delivered, key="message_id"), trending.REQUIRED_KEY)
+    return kept.select(
+        F.col("message_id").cast("bigint").alias("event_id"),
+        F.col("attributes")["timestamp"].cast("bigint").alias("sent"),
+        format_time(F.col("publish_ts")).alias("published"),
+    )
+
+
+@query
+def dedup_without_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """Every fifth user's messages have lost their id and all stay, however often delivered."""
+    first = _messages(spark, folder, "event_id", "user_id")
+    delivered = decode_messages(first.unionByName(first)).withColumn(
+        "message_id", F.when(F.col("user_id") % 5 != 0, F.col("event_id"))
+    )
+    kept = drop_duplicate_messages(delivered.drop("text"), key="message_id")
+    return kept.groupBy("event_id").agg(F.count("*").alias("times"))
+
+
 @query
 def tapped_messages(spark: SparkSession, folder: str) -> DataFrame:
     """What a tap on the message flow reports after a full pass."""
@@ -336,6 +416,21 @@ def top_n_list(spark: SparkSession, folder: str) -> DataFrame:
     return listed.withColumn("orders", F.concat_ws(",", F.col("orders").cast("array<string>")))
 
 
+@query
+def resorted_list(spark: SparkSession, folder: str) -> DataFrame:
+    """Each customer's three dearest orders, put in an order of one's own: by their last digit, then id."""
+    orders = read_table(spark, folder, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
+    listed = ranking.top_n_list(
+        orders, 3, "o_totalprice", per=["o_custkey"], ties="o_orderkey", item=F.col("o_orderkey"), name="orders"
+    )
+
+    def less_than(a, b):
+        return (a % 10 < b % 10) | ((a % 10 == b % 10) & (a < b))
+
+    resorted = ranking.resort_list(F.col("orders"), less_than)
+    return listed.select("o_custkey", F.concat_ws(",", resorted.cast("array<string>")).alias("orders"))
+
+
 @query
 def latest_by_key(spark: SparkSession, folder: str) -> DataFrame:
     orders = read_table(spark, folder, "orders").select(
@@ -418,9 +513,11 @@ def stream_counter(spark: SparkSession, folder: str) -> DataFrame:
     """The last count published by the running counter."""
     out = scratch_path(spark, "counter")
     publish = sinks.publish_files(f"{out}/values")
-    jobs.start_counter(
-        _message_stream(spark, folder), publish, checkpoint=f"{out}/state", trigger=AT_ONCE
-    ).awaitTermination()
+    _several_batches(
+        jobs.start_counter(
+            _message_stream(spark, folder), publish, checkpoint=f"{out}/state", trigger=AT_ONCE
+        )
+    )
     published = spark.read.text(f"{out}/values").select(
         F.get_json_object("value", "$.output").cast("bigint").alias("events")
     )
@@ -431,17 +528,19 @@ def stream_counter(spark: SparkSession, folder: str) -> DataFrame:
 def stream_hot_topics(spark: SparkSession, folder: str) -> DataFrame:
     """Early rankings, as they stand when all input has been seen.
 
-    Files come in any order, so no watermark is set: nothing counts as late.
+    A finite replay: no watermark is set, and nothing counts as late.
     """
     out = scratch_path(spark, "hot-topics")
-    jobs.start_hot_topics(
-        _message_stream(spark, folder),
-        sinks.publish_files(f"{out}/values"),
-        rankings=f"{out}/rankings",
-        checkpoint=f"{out}/state",
-        watermark=None,
-        trigger=AT_ONCE,
-    ).awaitTermination()
+    _several_batches(
+        jobs.start_hot_topics(
+            _message_stream(spark, folder),
+            sinks.publish_files(f"{out}/values"),
+            rankings=f"{out}/rankings",
+            checkpoint=f"{out}/state",
+            watermark=None,
+            trigger=AT_ONCE,
+        )
+    )
     current = jobs.rankings_log(spark, f"{out}/rankings").current()
     return _ranked_rows(current.drop("version", "day"))
 
@@ -450,15 +549,18 @@ def stream_hot_topics(spark: SparkSession, folder: str) -> DataFrame:
 def stream_hot_topics_from_panes(spark: SparkSession, folder: str) -> DataFrame:
     """Early rankings of what the count trigger shows, as they stand at the end."""
     out = scratch_path(spark, "pane-topics")
-    jobs.start_hot_topics(
-        _message_stream(spark, folder),
-        sinks.publish_files(f"{out}/values"),
-        rankings=f"{out}/rankings",
-        checkpoint=f"{out}/state",
-        size=DAY,
-        every=trending.PANE,
-        trigger=AT_ONCE,
-    ).awaitTermination()
+    _several_batches(
+        jobs.start_hot_topics(
+            _message_stream(spark, folder),
+            sinks.publish_files(f"{out}/values"),
+            rankings=f"{out}/rankings",
+            checkpoint=f"{out}/state",
+            watermark=None,
+            size=DAY,
+            every=trending.PANE,
+            trigger=AT_ONCE,
+        )
+    )
     current = jobs.rankings_log(spark, f"{out}/rankings").current()
     return _ranked_rows(current.drop("version", "day"))
 
@@ -467,28 +569,17 @@ def stream_hot_topics_from_panes(spark: SparkSession, folder: str) -> DataFrame:
 def stream_store(spark: SparkSession, folder: str) -> DataFrame:
     """Count and rank, publish, deliver, and upsert: the stored tables at the end."""
     out = scratch_path(spark, "store")
-    counter = jobs.start_counter(
-        _message_stream(spark, folder),
-        sinks.publish_files(f"{out}/values/counter"),
-        checkpoint=f"{out}/counter",
-        trigger=AT_ONCE,
+    publish = {name: sinks.publish_files(f"{out}/values/{name}") for name in ("counter", "hot_topics")}
+    started = jobs.start_all(
+        _message_stream(spark, folder), publish, folder=out, watermark=None, size=DAY, trigger=AT_ONCE
     )
-    topics = jobs.start_hot_topics(
-        _message_stream(spark, folder),
-        sinks.publish_files(f"{out}/values/topics"),
-        rankings=f"{out}/rankings",
-        checkpoint=f"{out}/topics",
-        size=DAY,
-        watermark=None,
-        trigger=AT_ONCE,
-    )
-    counter.awaitTermination()
-    topics.awaitTermination()
-    deliveries = sinks.as_deliveries(read_json_lines(spark, f"{out}/values", streaming=True))
+    for running in started.values():
+        _several_batches(running)
+    lines = read_json_lines(spark, f"{out}/values", streaming=True, max_files_per_trigger=2)
     store = sinks.ResultStore(spark, f"{out}/tables")
-    jobs.start_store(
-        deliveries, store, checkpoint=f"{out}/stored", trigger=AT_ONCE
-    ).awaitTermination()
+    _several_batches(
+        jobs.start_store(sinks.as_deliveries(lines), store, checkpoint=f"{out}/stored", trigger=AT_ONCE)
+    )
     records = store.hot_topics.current().select(
         "timestamp",
         F.col("window.start").alias("window_start"),
@@ -503,13 +594,16 @@ def stream_store(spark: SparkSession, folder: str) -> DataFrame:
 def stream_final_hot_topics(spark: SparkSession, folder: str) -> DataFrame:
     """One record per window the watermark has closed."""
     out = scratch_path(spark, "final")
-    jobs.start_final_hot_topics(
-        _message_stream(spark, folder),
-        sinks.publish_files(f"{out}/values"),
-        checkpoint=f"{out}/state",
-        size=DAY,
-        trigger=AT_ONCE,
-    ).awaitTermination()
+    _several_batches(
+        jobs.start_final_hot_topics(
+            _message_stream(spark, folder),
+            sinks.publish_files(f"{out}/values"),
+            checkpoint=f"{out}/state",
+            watermark="1 hour",
+            size=DAY,
+            trigger=AT_ONCE,
+        )
+    )
     return spark.read.text(f"{out}/values").select("value")
 
 
@@ -530,18 +624,74 @@ def stream_counter_panes(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(panes.schema).parquet(f"{out}/rows")
 
 
+@query
+def stream_counter_timed(spark: SparkSession, folder: str) -> DataFrame:
+    """The counter with a count trigger that is never reached: its timer shows the total."""
+    out = scratch_path(spark, "timed")
+    running = jobs.start_counter(
+        _message_stream(spark, folder),
+        sinks.publish_files(f"{out}/values"),
+        checkpoint=f"{out}/state",
+        every=1 << 40,
+        after_seconds=1,
+        trigger={"processingTime": "500 milliseconds"},
+    )
+    total = read_table(spark, folder, "events").count()
+    taken: dict[int, tuple[int, int]] = {}  # rows read by each batch, and those with a venue
+    try:
+        for _ in range(240):
+            for p in running.recentProgress:
+                if p["numInputRows"]:
+                    taken[p["batchId"]] = (p["numInputRows"], p["observedMetrics"]["venue_messages"]["rows"])
+            read, kept = map(sum, zip(*taken.values())) if taken else (0, 0)
+            if running.exception() or read >= total and _last_count(spark, out) == kept:
+                break
+            time.sleep(0.5)
+    finally:
+        running.stop()
+    return spark.createDataFrame([(_last_count(spark, out),)], "events bigint")
+
+
+def _last_count(spark: SparkSession, out: str) -> int | None:
+    """The highest count published so far."""
+    if not path_exists(spark, f"{out}/values"):
+        return None
+    values = spark.read.option("recursiveFileLookup", "true").text(f"{out}/values")
+    return values.agg(F.max(F.get_json_object("value", "$.output").cast("bigint"))).first()[0]
+
+
 @query
 def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """Messages delivered twice at once, kept once by id."""
+    """Messages kept once by id; those of a slice's last hour come again in a batch of their own."""
     out = scratch_path(spark, "dedup")
-    twice = _message_stream(spark, folder).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
+    batches = []
+    for part in _time_slices(read_table(spark, folder, "events").select(*EVENT_COLUMNS)):
+        batches.append(part)
+        again = part.filter(F.col("ts") > part.agg(F.max("ts")).scalar() - F.expr("INTERVAL 1 HOUR"))
+        batches.append(again.withColumn("ts", F.expr("ts + INTERVAL 5 MINUTES")))
+    twice = messages_from_events(_stream_of(spark, *batches))
     parsed = parse_messages(trending.venue_messages(twice), MESSAGE)
-    once = drop_duplicate_messages(parsed).select(F.col("event_id").cast("bigint").alias("event_id"))
+    once = drop_duplicate_messages(parsed, delay="2 hours").select(F.col("event_id").cast("bigint").alias("event_id"))
     _run_to_files(once, out)
     return spark.read.schema(once.schema).parquet(f"{out}/rows")
 
 
+@query
+def stream_table_sink(spark: SparkSession, folder: str) -> DataFrame:
+    """Message ids and countries streamed into a table of a declared schema."""
+    out = scratch_path(spark, "stream-sink")
+    table = out.rsplit("/", 1)[1].replace("-", "_")
+    schema = {"event_id": "INTEGER", "country": "STRING"}
+    parsed = parse_messages(trending.venue_messages(_message_stream(spark, folder)), MESSAGE)
+    rows = parsed.select("event_id", F.col("group.group_country").alias("country"))
+    _several_batches(
+        stream_to_table(rows, table, schema, checkpoint=f"{out}/state", path=f"{out}/rows", trigger=AT_ONCE)
+    )
+    spark.sql(f"DROP TABLE {table}")  # the files at its path stay
+    return spark.read.schema(schema_ddl(schema)).parquet(f"{out}/rows")
+
+
 def _run_to_files(df: DataFrame, out: str) -> None:
     writer = df.writeStream.format("parquet").option("path", f"{out}/rows")
     writer = writer.option("checkpointLocation", f"{out}/state").trigger(**AT_ONCE)
-    writer.start().awaitTermination()
+    _several_batches(writer.start())

@@ -43,6 +43,11 @@ TOPIC_MESSAGE = T.StructType(
     [T.StructField("value", T.BinaryType()), T.StructField("timestamp", T.TimestampType())]
 )
 
+# The same with the message's attributes, such as its id, which need no parsing.
+ATTRIBUTED_MESSAGE = T.StructType(
+    [*TOPIC_MESSAGE.fields, T.StructField("attributes", T.MapType(T.StringType(), T.StringType()))]
+)
+
 RANKED_TOPIC = T.StructType(
     [
         T.StructField("topic_key", T.StringType()),

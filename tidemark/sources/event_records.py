@@ -61,6 +61,15 @@ def messages_from_events(events: DataFrame, *keep: str) -> DataFrame:
     )
 
 
+def attributed_messages_from_events(events: DataFrame, *keep: str) -> DataFrame:
+    """The same messages with the attributes a collector gives them: id and time, as text."""
+    attributes = F.create_map(
+        F.lit("event_id"), F.col("event_id").cast("string"), F.lit("timestamp"), F.unix_millis("ts").cast("string")
+    )
+    own = [c for c in keep if c not in ("event_id", "ts")]
+    return messages_from_events(events.withColumn("attributes", attributes), "attributes", "event_id", *own)
+
+
 def raw_records_from_events(events: DataFrame) -> DataFrame:
     """``text``: records as they come before projection, with fields it must drop."""
     event = F.concat(F.lit(',"event":{"name":"'), F.col("event_type"), F.lit('"},"guests":0'))

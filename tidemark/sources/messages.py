@@ -48,10 +48,14 @@ def read_json_lines(
 def read_kafka(
     spark: SparkSession, servers: str, topic: str, *, streaming: bool = True, **options: str
 ) -> DataFrame:
-    """A Kafka topic in the same shape. Needs Spark's Kafka package on the classpath."""
+    """A Kafka topic in the same shape; headers become ``attributes``. Needs Spark's Kafka package."""
     reader = (spark.readStream if streaming else spark.read).format("kafka")
     reader = reader.option("kafka.bootstrap.servers", servers).option("subscribe", topic)
-    return reader.options(**options).load().select("value", "timestamp")
+    reader = reader.option("includeHeaders", "true")
+    texts = F.transform("headers", lambda h: F.struct(h["key"], h["value"].cast("string")))
+    return reader.options(**options).load().select(
+        "value", "timestamp", F.map_from_entries(texts).alias("attributes")
+    )
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -67,7 +71,7 @@ def stream_table(
     *columns: str,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Columns of the same table as a file stream, spread if its files so far are few."""
+    """Columns of the same table as a file stream."""
     path = f"{folder}/{name}.parquet"
     table = spark.read.parquet(path)
     reader = spark.readStream.schema(table.schema)
@@ -75,25 +79,15 @@ def stream_table(
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if is_single_file(spark, path):  # a file stream watches a folder
         path, reader = folder, reader.option("pathGlobFilter", f"{name}.parquet")
-    stream = with_instants(reader.parquet(path)).select(*columns or "*")
-    return stream.repartition(_cores(spark)) if _has_few_splits(table) else stream
+    return with_instants(reader.parquet(path)).select(*columns or "*")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core a share of a batch source that comes in fewer splits than that.
+def spread(df: DataFrame, partitions: int) -> DataFrame:
+    """Deal the rows of a source out to ``partitions``, for one that comes in a few unsplittable files.
 
-    JSON work is bound by the processor, and a few unsplittable files would leave most of
-    a cluster idle. A source with enough splits is left alone: no shuffle.
+    JSON work is bound by the processor. A source with enough splits needs none of this shuffle.
     """
-    return df.repartition(_cores(df.sparkSession)) if _has_few_splits(df) else df
-
-
-def _cores(spark: SparkSession) -> int:
-    return spark.sparkContext.defaultParallelism
-
-
-def _has_few_splits(df: DataFrame) -> bool:
-    return df.rdd.getNumPartitions() < _cores(df.sparkSession)
+    return df.repartition(partitions)
 
 
 def with_instants(df: DataFrame) -> DataFrame:

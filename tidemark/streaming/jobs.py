@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.functions.times import format_time
 from tidemark.operators.counts import WINDOW, count_all
 from tidemark.plans.trending import (
     TOP,
@@ -29,7 +30,6 @@ from tidemark.streaming.panes import stream_count_panes
 from tidemark.streaming.sinks import Publisher, ResultStore, tap
 from tidemark.streaming.store import ChangeLog
 
-WATERMARK = "1 hour"
 EARLY = "30 seconds"
 
 RANKINGS = T.StructType(
@@ -85,18 +85,21 @@ def start_hot_topics(
     checkpoint: str,
     n: int = TOP,
     size: str = WINDOW,
-    watermark: str | None = WATERMARK,
+    watermark: str | None,
     every: int | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Early rankings: after each batch, the new record of every window it touched.
 
-    With ``every``, scores are those the count trigger shows: a topic's count each time its
-    window gains that many mentions. Nothing is late then, and ``watermark`` is not used.
+    ``watermark`` is how late a message may be; later ones are dropped and counted, see
+    `late_rows`. None keeps all state and is for finite replays only. With ``every``, scores
+    are those the count trigger shows: a topic's count each time its window gains that many
+    mentions. Its state is forgotten once a topic's window has gained nothing for the window's
+    size and ``watermark``; such a query does not end by itself under ``availableNow``.
 
     Scores only grow, so a topic this batch did not touch and that was not ranked before
     cannot be ranked now: the old ranking of the touched windows plus the changed scores
-    decides. ``rankings`` is where those rankings are logged.
+    decides. ``rankings`` is where those rankings are kept, two versions of each day at most.
     """
     use_rocksdb_state(messages.sparkSession)
     keys = ["window_start", "window_end", "topic_key", "topic_name"]
@@ -105,25 +108,29 @@ def start_hot_topics(
         scores, mode = topic_scores(mentions, size=size, watermark=watermark), "update"
     else:
         windowed = with_window(mentions, size)
-        scores = stream_count_panes(windowed, keys, every, latest_only=True, name="score")
+        memory = None if watermark is None else _seconds(size) + _seconds(watermark)
+        scores = stream_count_panes(
+            windowed, keys, every, forget_after_seconds=memory, latest_only=True, name="score"
+        )
         mode = "append"
 
     def step(changed: DataFrame, batch_id: int) -> None:
         log = rankings_log(changed.sparkSession, rankings)
         changed = changed.withColumn("day", _day("window_start")).persist()
         try:
-            days = [row.day for row in changed.select("day").distinct().collect()]
+            days = log.touched(changed)
             if not days:
                 return
-            touched = changed.select("window_start", "window_end").distinct()
-            before = log.changes(days, before=batch_id).join(
-                touched, ["window_start", "window_end"], "left_semi"
-            )
-            candidates = before.select(*keys, "score").unionByName(changed.select(*keys, "score"))
+            window = ["window_start", "window_end"]
+            touched = changed.select(*window).distinct()
+            before = log.newest(days, before=batch_id).drop("version")
+            old = before.join(touched, window, "left_semi")
+            candidates = old.select(*keys, "score").unionByName(changed.select(*keys, "score"))
             best = candidates.groupBy(*keys).agg(F.max("score").alias("score"))
             ranked = rank_topics(best, n).withColumn("day", _day("window_start"))
-            log.write(ranked, batch_id)
-            written = log.changes(days).filter(F.col("version") == batch_id)
+            others = before.join(touched, window, "left_anti").select(*ranked.columns)
+            log.replace(ranked.unionByName(others), batch_id, days)
+            written = log.at(days, batch_id).join(touched, window, "left_semi")
             publish(hot_topics_envelopes(written.drop("version", "day")), batch_id)
         finally:
             changed.unpersist()
@@ -138,7 +145,7 @@ def start_final_hot_topics(
     checkpoint: str,
     n: int = TOP,
     size: str = WINDOW,
-    watermark: str = WATERMARK,
+    watermark: str,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """One record per window, when the watermark has passed its end.
@@ -164,9 +171,52 @@ def start_store(
 
 
 def rankings_log(spark, path: str) -> ChangeLog:
-    """The log of early rankings: whole rankings per window and batch."""
+    """Early rankings: of each day, the latest ranking of every window."""
     return ChangeLog(spark, path, RANKINGS, ["window_start", "window_end", "rank"], "day")
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """How many rows the query has dropped as late, in the progress reports Spark still keeps."""
+    operators = [op for progress in query.recentProgress for op in progress["stateOperators"]]
+    return sum(op["numRowsDroppedByWatermark"] for op in operators)
+
+
+def start_all(
+    messages: DataFrame,
+    publish: dict[str, Publisher],
+    *,
+    folder: str,
+    watermark: str | None,
+    trigger: dict | None = None,
+    **topics,
+) -> dict[str, StreamingQuery]:
+    """The counter and the early rankings over one source, each a query with its own checkpoint.
+
+    ``publish`` names a publisher for ``counter`` and ``hot_topics``; ``folder`` holds their
+    state. Each reads the source by itself and parses only what it needs of a message, so one
+    can fall behind or be restarted without the other.
+    """
+    return {
+        "counter": start_counter(
+            messages, publish["counter"], checkpoint=f"{folder}/counter", trigger=trigger
+        ),
+        "hot_topics": start_hot_topics(
+            messages,
+            publish["hot_topics"],
+            rankings=f"{folder}/rankings",
+            checkpoint=f"{folder}/hot_topics",
+            watermark=watermark,
+            trigger=trigger,
+            **topics,
+        ),
+    }
+
+
 def _day(time: str):
-    return F.date_format(time, "yyyy-MM-dd")
+    return F.substring(format_time(F.col(time)), 1, 10)
+
+
+def _seconds(interval: str) -> float:
+    """A time span such as ``10 minutes`` in seconds."""
+    count, unit = interval.split()
+    return float(count) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.removesuffix("s")]

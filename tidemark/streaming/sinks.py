@@ -16,12 +16,11 @@ from tidemark.streaming.store import ChangeLog
 
 Publisher = Callable[[DataFrame, int], None]
 
-# Parts of the counter's log: this many batches share one.
-_BATCHES_PER_PART = 1000
-
 STORED_TOPICS = T.StructType(
     [
         *HOT_TOPICS_OUTPUT.fields,
+        T.StructField("mentions", T.LongType()),
+        T.StructField("publish_ts", T.TimestampType()),
         T.StructField("last_updated", T.TimestampType()),
         T.StructField("day", T.StringType()),
     ]
@@ -30,6 +29,7 @@ STORED_STATS = T.StructType(
     [
         T.StructField("id", T.StringType()),
         T.StructField("events", T.LongType()),
+        T.StructField("publish_ts", T.TimestampType()),
         T.StructField("last_updated", T.TimestampType()),
         T.StructField("block", T.StringType()),
     ]
@@ -58,10 +58,14 @@ def publish_files(path: str) -> Publisher:
 
 
 def publish_kafka(servers: str, topic: str, **options: str) -> Publisher:
-    """Envelopes to a Kafka topic. Needs Spark's Kafka package on the classpath."""
+    """Envelopes to a Kafka topic, ``attributes`` as headers. Needs Spark's Kafka package on the classpath."""
 
     def publish(values: DataFrame, batch_id: int) -> None:
-        writer = values.select("value").write.format("kafka").options(**options)
+        if "attributes" in values.columns:
+            texts = F.transform(F.map_entries("attributes"), lambda e: F.struct(e["key"], F.encode(e["value"], "UTF-8").alias("value")))
+            values = values.withColumn("headers", texts)
+        kept = [c for c in ("value", "headers") if c in values.columns]
+        writer = values.select(*kept).write.format("kafka").options(**options)
         writer.option("kafka.bootstrap.servers", servers).option("topic", topic).save()
 
     return publish
@@ -84,32 +88,27 @@ class ResultStore:
     def apply(self, deliveries: DataFrame, batch_id: int) -> None:
         """Decode one batch of deliveries (``data``, ``publish_ts``) and upsert it by category.
 
-        The last published wins, the fuller one if published together. An unknown category
-        fails the batch before anything of it is stored.
+        The last published wins, whichever batch delivers it, and the fuller one if published
+        together. An unknown category fails the batch before anything of it is stored.
         """
         envelopes = decode_delivery(deliveries).persist()
         try:
             topics = _topic_rows(routed_hot_topics(envelopes))
-            stats = _stats_rows(routed_counts(envelopes), batch_id)
-            self.hot_topics.write(topics, batch_id)
-            self.stats.write(stats, batch_id)
+            stats = _stats_rows(routed_counts(envelopes))
+            self.hot_topics.merge(topics, batch_id, ["publish_ts", "mentions"])
+            self.stats.merge(stats, batch_id, ["publish_ts", "events"])
         finally:
             envelopes.unpersist()
 
 
 def _topic_rows(records: DataFrame) -> DataFrame:
     mentions = F.aggregate("topics", F.lit(0).cast("bigint"), lambda sum_, t: sum_ + t["score"])
-    latest = latest_by_key(records, ["timestamp"], ["publish_ts", mentions])
+    latest = latest_by_key(records.withColumn("mentions", mentions), ["timestamp"], ["publish_ts", "mentions"])
     return latest.withColumns(
         {"last_updated": F.current_timestamp(), "day": F.substring("window.start", 1, 10)}
     )
 
 
-def _stats_rows(counts: DataFrame, batch_id: int) -> DataFrame:
+def _stats_rows(counts: DataFrame) -> DataFrame:
     latest = latest_by_key(counts.withColumn("id", F.lit("stats")), ["id"], ["publish_ts", "events"])
-    return latest.withColumns(
-        {
-            "last_updated": F.current_timestamp(),
-            "block": F.lit(str(batch_id // _BATCHES_PER_PART)),
-        }
-    )
+    return latest.withColumns({"last_updated": F.current_timestamp(), "block": F.lit("all")})

@@ -1,21 +1,23 @@
-"""Keyed tables with last-write-wins updates, kept as append-only change logs.
+"""Keyed tables with last-write-wins updates, kept as snapshots by part.
 
-Plain Parquet has no MERGE. A batch writes its own ``part=.../version=...`` folders, so
-running it again overwrites exactly what it wrote before, and a table's current state is the
-newest row of each key. Versions are batch ids: a table and the checkpoint of the query that
-writes it belong together, and an older batch can never overwrite a newer one.
+Plain Parquet has no MERGE. A batch reads the newest snapshot of each part it touches, merges
+its rows in, and writes the part anew as ``part=.../version=<batch>``; then it drops what is
+older than the snapshot it read. So a part has two versions at most, however many batches
+there were, and a batch reads and writes the parts it touches, which should be small (a day
+of rankings). Running a batch again reads what it read before and overwrites what it wrote.
+Versions are batch ids: a table has one writer, whose checkpoint belongs to it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.ranking import latest_by_key
-from tidemark.workspace import delete_folder, freeze, path_exists
+from tidemark.workspace import child_names, delete_folder
 
 
 class ChangeLog:
@@ -33,14 +35,25 @@ class ChangeLog:
         self.part = part
         self.schema = T.StructType([*schema.fields, T.StructField("version", T.LongType())])
 
-    def write(self, rows: DataFrame, version: int) -> None:
-        """Add one batch's rows, at most one per key. Safe to repeat.
+    def merge(self, rows: DataFrame, version: int, seq: Sequence[str | Column]) -> None:
+        """Upsert one batch's rows: of a key's rows the last by ``seq`` stays, of equal ones the new."""
+        rows = rows.persist()
+        try:
+            parts = self.touched(rows)
+            new = self._typed(rows).withColumn("_new", F.lit(1))
+            old = self.newest(parts, before=version).drop("version").withColumn("_new", F.lit(0))
+            both = latest_by_key(old.unionByName(new), self.keys, [*seq, "_new"])
+            self.replace(both.drop("_new"), version, parts)
+        finally:
+            rows.unpersist()
+
+    def replace(self, rows: DataFrame, version: int, parts: Sequence[str]) -> None:
+        """Write ``parts`` whole as of ``version``, and drop what is older than the version before.
 
         Rebalancing by part keeps files few without forcing a large part into one task.
         """
-        fields = [f for f in self.schema.fields if f.name != "version"]
         (
-            rows.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in fields))
+            self._typed(rows)
             .withColumn("version", F.lit(version).cast("bigint"))
             .hint("rebalance", F.col(self.part))
             .write.mode("overwrite")
@@ -48,35 +61,45 @@ class ChangeLog:
             .partitionBy(self.part, "version")
             .parquet(self.path)
         )
+        for part in parts:
+            for old in self.versions(part, before=version)[:-1]:
+                delete_folder(self.spark, self._folder(part, old))
 
-    def changes(self, parts: Sequence[str] | None = None, before: int | None = None) -> DataFrame:
-        """All logged rows, of the named parts if given, from versions below ``before``."""
-        paths = [self.path] if parts is None else [f"{self.path}/{self.part}={p}" for p in parts]
-        paths = [p for p in paths if path_exists(self.spark, p)]
-        if not paths:
-            nothing = (F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields)
-            return self.spark.range(0).select(*nothing)
-        reader = self.spark.read.schema(self.schema).option("basePath", self.path)
-        rows = reader.parquet(*paths)
-        return rows if before is None else rows.filter(F.col("version") < before)
+    def touched(self, rows: DataFrame) -> list[str]:
+        """The parts of a batch's rows."""
+        return [row[0] for row in rows.select(self.part).distinct().collect()]
+
+    def versions(self, part: str, before: int | None = None) -> list[int]:
+        names = child_names(self.spark, f"{self.path}/{self.part}={part}")
+        found = sorted(int(n.removeprefix("version=")) for n in names if n.startswith("version="))
+        return found if before is None else [v for v in found if v < before]
+
+    def newest(self, parts: Sequence[str], before: int | None = None) -> DataFrame:
+        """The newest snapshot of each named part, below ``before`` if given."""
+        last = [(p, self.versions(p, before)[-1:]) for p in parts]
+        return self._read([self._folder(p, v[0]) for p, v in last if v])
+
+    def at(self, parts: Sequence[str], version: int) -> DataFrame:
+        """The named parts as one version wrote them."""
+        return self._read([self._folder(p, version) for p in parts if version in self.versions(p)])
 
     def current(self, parts: Sequence[str] | None = None) -> DataFrame:
         """The newest row of each key."""
-        return latest_by_key(self.changes(parts), self.keys, "version")
+        if parts is None:
+            prefix = f"{self.part}="
+            names = child_names(self.spark, self.path)
+            parts = [n.removeprefix(prefix) for n in names if n.startswith(prefix)]
+        return self.newest(parts)
 
-    def compact(self, part: str) -> None:
-        """Rewrite a closed part as one version holding its current rows.
+    def _folder(self, part: str, version: int) -> str:
+        return f"{self.path}/{self.part}={part}/version={version}"
 
-        Must not run beside a batch that still writes the part. The rows are copied to the
-        shared folder first, and the old versions go only after the new one is in place.
-        """
-        versions = [
-            row.version
-            for row in self.changes([part]).select("version").distinct().sort("version").collect()
-        ]
-        if len(versions) < 2:
-            return
-        kept = freeze(self.current([part]), "compact").drop("version")
-        self.write(kept, versions[-1])
-        for version in versions[:-1]:
-            delete_folder(self.spark, f"{self.path}/{self.part}={part}/version={version}")
+    def _read(self, paths: Sequence[str]) -> DataFrame:
+        if not paths:
+            nothing = (F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields)
+            return self.spark.range(0).select(*nothing)
+        return self.spark.read.schema(self.schema).option("basePath", self.path).parquet(*paths)
+
+    def _typed(self, rows: DataFrame) -> DataFrame:
+        fields = [f for f in self.schema.fields if f.name != "version"]
+        return rows.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in fields))

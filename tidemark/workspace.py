@@ -46,6 +46,14 @@ def _located(spark: SparkSession, path: str):
     return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if there is no such folder."""
+    filesystem, location = _located(spark, path)
+    if not filesystem.exists(location):
+        return []
+    return [status.getPath().getName() for status in filesystem.listStatus(location)]
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     filesystem, location = _located(spark, path)
     return filesystem.exists(location)
