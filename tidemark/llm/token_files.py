@@ -17,8 +17,8 @@ so that one short document is found by the ids of the blocks and read by its off
 from __future__ import annotations
 
 import hashlib
-import zlib
-from functools import lru_cache
+import os
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -29,13 +29,13 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm.batches import id_and_text, slices, texts
-from tidemark.llm.bpe import tokenizer_content
+from tidemark.llm.bpe import COMMON, tokenizer_content
 from tidemark.llm.wordcache import WordCache
 
 #: The dictionary is trained on the starts of at most so many documents; it changes sizes, not results.
 SAMPLE_DOCUMENTS, SAMPLE_BYTES, DICTIONARY_BYTES = 1000, 16 << 10, 64 << 10
 LEVEL, BLOCK_DOCUMENTS, BLOCK_BYTES = 3, 1024, 1 << 20
-CACHED_WORDS, CACHED_CHARS = 400_000, 16 << 20
+CACHED_WORDS, CACHED_CHARS, WORDS_IN_CALL = 500_000, 16 << 20, 256
 
 
 @lru_cache(1)
@@ -45,17 +45,48 @@ def encoder(content: bytes) -> WordCache:
     The tokenizer drops white space and no token spans it, so the words between blanks and line
     feeds can be encoded by themselves, each once.
     """
+    # a task has one core; idle threads of the library would only spin
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     library = Tokenizer.from_str(content.decode())
     library.no_truncation()
     library.no_padding()
+    return WordCache(_split, partial(_learn, library), CACHED_WORDS, CACHED_CHARS)
 
-    def learn(words):
-        made = [e.ids for e in library.encode_batch(words, add_special_tokens=False)]
-        counts = np.fromiter(map(len, made), np.int64, len(made))
-        ids = np.fromiter((i for ids in made for i in ids), np.int32, int(counts.sum()))
-        return ids, np.cumsum(counts) - counts, counts
 
-    return WordCache(lambda text: text.replace("\n", " ").split(" "), learn, CACHED_WORDS, CACHED_CHARS)
+def _split(text: str) -> list[str]:
+    """Capitals of plain texts are lowered here already: the tokenizer does so, and fewer words differ."""
+    if (text.isascii() or COMMON.issuperset(text)) and "<|" not in text:
+        text = text.lower()
+    return text.replace("\n", " ").split(" ")
+
+
+def _learn(library: Tokenizer, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All ids of the words, and where each word's start and how many they are.
+
+    Many words go in one call, a special token between them: the library cuts a text there
+    before anything else, and its id shows where the words' ids end.
+    """
+    special = {token.content: i for i, token in library.get_added_tokens_decoder().items() if not (token.normalized or token.lstrip or token.rstrip or token.single_word)}
+    between, end = next(iter(special.items()), ("", -1))
+    together = "\n".join(words)
+    if between and not any(s in together for s in special):
+        alone, plain = [False] * len(words), words
+    else:
+        alone = [not between or any(s in w for s in special) for w in words]
+        plain = [w for w, x in zip(words, alone) if not x]
+    joined = [between.join(plain[i : i + WORDS_IN_CALL]) + between for i in range(0, len(plain), WORDS_IN_CALL)]
+    flat = np.array([i for e in library.encode_batch(joined, add_special_tokens=False) for i in e.ids], np.int32)
+    ends = np.flatnonzero(flat == end)
+    if len(ends) != len(plain):
+        raise ValueError("words and their ids do not match")
+    made = [e.ids for e in library.encode_batch([w for w, x in zip(words, alone) if x], add_special_tokens=False)]
+    starts, counts = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+    is_alone = np.array(alone, bool)
+    starts[~is_alone] = np.append(0, ends[:-1] + 1)[: len(plain)]
+    counts[~is_alone] = ends - starts[~is_alone]
+    counts[is_alone] = [len(ids) for ids in made]
+    starts[is_alone] = len(flat) + np.cumsum(counts[is_alone]) - counts[is_alone]
+    return np.concatenate([flat, *[np.array(ids, np.int32) for ids in made]]), starts, counts
 
 
 def _documents(batches, content: bytes, end_id: int):
@@ -73,7 +104,8 @@ def train_dictionary(docs: DataFrame, content: bytes, end_id: int) -> bytes:
     Empty if they are too few to train on.
     """
     chosen = docs.select(F.col("doc_id").alias("chosen_id")).orderBy(F.xxhash64("chosen_id"), "chosen_id").limit(SAMPLE_DOCUMENTS)
-    sample = docs.join(chosen.distinct(), F.col("doc_id").eqNullSafe(F.col("chosen_id")), "left_semi")
+    # SAMPLE_DOCUMENTS ids at most
+    sample = docs.join(F.broadcast(chosen.distinct()), F.col("doc_id").eqNullSafe(F.col("chosen_id")), "left_semi")
 
     def starts(batches):
         for _, data in _documents(batches, content, end_id):
@@ -162,7 +194,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
 
     ``start`` counts the ids of the documents before it; ``data`` holds its ids as little-endian
     unsigned 32-bit integers. Blocks know what precedes them in their part, so only the parts
-    are summed up, of which there are as many as the writing job had tasks.
+    are summed up and broadcast: one row for each task of the writing job.
     """
     dictionaries = _dictionaries(spark, path)
     stored = spark.read.parquet(f"{path}/blocks")
@@ -187,7 +219,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     documents = stored.select("part", "before", "dictionary", "doc_ids", "n_tokens", "offsets", "frames").mapInArrow(
         unpack, f"doc_id {kind}, part int, before long, n_tokens long, data binary"
     )
-    return documents.join(parts, "part").select("doc_id", (F.col("part_start") + F.col("before")).alias("start"), "n_tokens", "data")
+    return documents.join(F.broadcast(parts), "part").select("doc_id", (F.col("part_start") + F.col("before")).alias("start"), "n_tokens", "data")
 
 
 def read_document(spark: SparkSession, path: str, doc_id) -> list[list[int]]:
