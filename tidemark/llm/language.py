@@ -114,7 +114,8 @@ def fit(docs: DataFrame, lang_col: str, id_col: str = "doc_id", text_col: str =
         usable.select("doc_id", "lang").withColumn("nth", F.row_number().over(by_hash)).where(F.col("nth") <= per_language)
         .select(F.col("doc_id").alias("chosen_id"), F.col("lang").alias("chosen_lang")).distinct()
     )
-    sample = usable.join(chosen, (F.col("doc_id").eqNullSafe(F.col("chosen_id"))) & (F.col("lang") == F.col("chosen_lang")), "left_semi")
+    # at most ``per_language`` ids a language
+    sample = usable.join(F.broadcast(chosen), (F.col("doc_id").eqNullSafe(F.col("chosen_id"))) & (F.col("lang") == F.col("chosen_lang")), "left_semi")
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
