@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, language, mixing, secrets, simhash
+from tidemark.llm import bpe, language, mixing, secrets, simhash, similar
 from tidemark.workspace import freeze
 
 #: A document in which no language holds half of the letters is rejected, like one without letters.
@@ -20,8 +20,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the smallest id."""
-    return simhash.keep_one_each(docs)
+    """One document of each group of near copies stays: the one with the smallest id.
+
+    Near copies share 0.8 or more of their five-word shingles.
+    """
+    return simhash.keep_one_each(docs, find=similar.similar_groups)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

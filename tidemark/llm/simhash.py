@@ -31,20 +31,37 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
     Each run is hashed with XXH64 (seed 42); a bit is set if it is set in over half the
     hashes. Fewer words count as one run; no words give zero.
     """
-    words = text.lower().split()
-    if not words:
+    runs = word_runs(text, shingle)
+    if not runs:
         return 0
-    if len(words) < shingle:
-        runs = [b" ".join(words)]
-    else:
-        runs = list(map(b" ".join, zip(*(words[i:] for i in range(shingle)))))
     counts = np.zeros(64, np.int64)
     for at in range(0, len(runs), 1 << 16):
         part = runs[at : at + (1 << 16)]
-        hashes = np.fromiter(map(xxhash.xxh64_intdigest, part, repeat(42)), "<u8", len(part))
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        counts += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(counts * 2 > len(runs), bitorder="little").view("<u8")[0])
+        counts += bit_counts(np.fromiter(map(xxhash.xxh64_intdigest, part, repeat(42)), "<u8", len(part)))
+    return _over_half(counts, len(runs))
+
+
+def word_runs(text: bytes, shingle: int) -> list[bytes]:
+    words = text.lower().split()
+    if len(words) < shingle:
+        return [b" ".join(words)] if words else []
+    return list(map(b" ".join, zip(*(words[i:] for i in range(shingle)))))
+
+
+def bit_counts(hashes: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each bit."""
+    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    return bits.sum(axis=0, dtype=np.int64)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes."""
+    parts = (hashes[at : at + (1 << 16)] for at in range(0, len(hashes), 1 << 16))
+    return _over_half(sum(map(bit_counts, parts)), len(hashes))
+
+
+def _over_half(counts: np.ndarray, n: int) -> int:
+    return int(np.packbits(counts * 2 > n, bitorder="little").view("<u8")[0])
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
@@ -155,13 +172,13 @@ def near_duplicates(
     )
 
 
-def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", find=near_duplicates, **how) -> DataFrame:
     """The rows of ``docs`` that have the smallest id of their group, columns as they were.
 
     Rows repeated under one id are one document, of which one row stays; rows with a null
-    id all stay.
+    id all stay. ``find`` gives the groups.
     """
-    groups = near_duplicates(docs, id_col, text_col, **how)
+    groups = find(docs, id_col, text_col, **how)
     kept = freeze(
         groups.where("doc_id = component_id").groupBy(F.col("doc_id").alias("kept_id")).agg(F.count("*").alias("kept_n")),
         "simhash-kept",

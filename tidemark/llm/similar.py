@@ -1,0 +1,265 @@
+"""Near copies by similarity: texts whose sets of word shingles have a Jaccard index of 0.8 or more.
+
+SimHash fingerprints of the distinct shingles propose pairs and the shingles themselves
+decide. At 0.8 about 10 of 64 bits differ, with a deviation of 3, so the radius is wide.
+Fingerprints are compared tile against tile: a tile holds sets of about one size, and only
+it and the next larger one can hold a pair. Two bounds that never lose a pair then thin the
+candidates out: the sizes, and parities of the shingles in cells, of which two sets differ
+in no more cells than shingles. Larger sets have more cells, in powers of two; half of them
+are the exclusive-or of both halves.
+"""
+
+from __future__ import annotations
+
+import math
+from itertools import repeat
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from tidemark.llm.batches import id_and_text, per_batch, text_bytes
+from tidemark.llm.graph import connected_components
+from tidemark.llm.simhash import majority, word_runs
+from tidemark.workspace import freeze
+
+SHINGLE, SIMILARITY, RADIUS = 5, 0.8, 22
+FEWEST_CELLS, MOST_CELLS = 512, 1 << 16
+#: Sets of the fewest cells in a block; larger tiles are cut into several.
+BLOCK = 8192
+#: Pairs of fingerprints compared at once.
+AT_ONCE = 1 << 18
+
+
+def shingle_set(text: bytes, shingle: int = SHINGLE) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the text's runs of words."""
+    runs = word_runs(text, shingle)
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, runs, repeat(42)), "<u8", len(runs)))
+
+
+def tile_of(size: int, similarity: float) -> int:
+    return int(math.log(max(1, size)) / -math.log(similarity))
+
+
+def cells_of(tile: int, similarity: float) -> int:
+    """A power of two above the sizes of the tile."""
+    largest = similarity ** -(tile + 1)
+    return min(MOST_CELLS, max(FEWEST_CELLS, 1 << math.ceil(math.log2(largest))))
+
+
+def parities(hashes: np.ndarray, cells: int) -> np.ndarray:
+    """One bit per cell: whether an odd number of the hashes fall into it."""
+    at = (hashes >> np.uint64(32)).astype(np.int64) % cells
+    return np.packbits(np.bincount(at, minlength=cells) & 1, bitorder="little")
+
+
+def folded(cells: np.ndarray, words: int) -> np.ndarray:
+    """Rows of parities with ``words`` words of 64 cells."""
+    while cells.shape[1] > words:
+        half = cells.shape[1] // 2
+        cells = cells[:, :half] ^ cells[:, half:]
+    return cells
+
+
+def most_different(sizes, similarity: float):
+    """How many shingles two sets of ``sizes`` in total may not share, at the least similarity."""
+    return sizes * (1 - similarity) / (1 + similarity) + 1e-9
+
+
+def alike(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    differ = len(a) + len(b) - 2 * len(np.intersect1d(a, b, assume_unique=True))
+    return differ <= most_different(len(a) + len(b), similarity)
+
+
+def _described(docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """Every row with its set's digest, size, tile, fingerprint and parities."""
+
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        digests, sizes, tiles, prints, cells = [], [], [], [], []
+        for text in text_bytes(batch.column("text")):
+            hashes = shingle_set(text, shingle)
+            digests.append(xxhash.xxh3_128_digest(hashes.tobytes()))
+            sizes.append(len(hashes))
+            tiles.append(tile_of(len(hashes), similarity))
+            prints.append(majority(hashes) if len(hashes) else 0)
+            cells.append(parities(hashes, cells_of(tiles[-1], similarity)).tobytes())
+        arrays = [
+            *(batch.column(c) for c in ("row", "doc_id", "text")),
+            pa.array(digests, pa.binary()),
+            pa.array(sizes, pa.int64()),
+            pa.array(tiles, pa.int32()),
+            pa.array(np.array(prints, np.uint64).view(np.int64)),
+            pa.array(cells, pa.binary()),
+        ]
+        return pa.RecordBatch.from_arrays(arrays, ["row", "doc_id", "text", "digest", "size", "tile", "fp", "cells"])
+
+    numbered = docs.withColumn("row", F.monotonically_increasing_id())
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"row long, doc_id {kind}, text string, digest binary, size long, tile int, fp long, cells binary"
+    return per_batch(numbered, step, schema, "text")
+
+
+def _met_blocks(sets: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of blocks (``left``, ``right`` packed) of one tile, or of a tile and the next."""
+    sizes = sets.groupBy("tile").agg(F.count("*").alias("n")).collect()
+    counts = {r.tile: math.ceil(r.n / max(1, BLOCK * FEWEST_CELLS // cells_of(r.tile, similarity))) for r in sizes}
+    if not counts:
+        counts = {0: 1}
+    of = F.create_map(*[F.lit(x).cast("int") for pair in counts.items() for x in pair])
+
+    def parts(tile: Column) -> Column:
+        return F.coalesce(of[tile], F.lit(0))
+
+    def every(n: Column) -> Column:
+        return F.filter(F.sequence(F.lit(0), n), lambda x: x < n)
+
+    own, following, before = parts(F.col("tile")), parts(F.col("tile") + 1), parts(F.col("tile") - 1)
+    part = F.pmod(F.xxhash64("node"), own).cast("int")
+    # A block is packed as columns, sorted so that the smallest node comes first.
+    packed = (
+        sets.withColumn("part", part)
+        .groupBy("tile", "part")
+        .agg(F.sort_array(F.collect_list(F.struct("node", "component", "size", "fp", "cells"))).alias("block"))
+    )
+
+    def role(name: Column, key: Column) -> Column:
+        return F.struct(name.alias("role"), key.alias("key"))
+
+    def key(t1, p1, t2, p2) -> Column:
+        return F.concat_ws(",", *(x.cast("string") for x in (t1, p1, t2, p2)))
+
+    t, p = F.col("tile"), F.col("part")
+    roles = F.concat(
+        F.transform(F.filter(every(own), lambda q: q >= p), lambda q: role(F.lit("left"), key(t, p, t, q))),
+        F.transform(F.filter(every(own), lambda q: q < p), lambda q: role(F.lit("right"), key(t, q, t, p))),
+        F.transform(every(following), lambda q: role(F.lit("left"), key(t, p, t + 1, q))),
+        F.transform(every(before), lambda q: role(F.lit("right"), key(t - 1, q, t, p))),
+    )
+    # The number of tasks follows the pairs of blocks, whose work is in comparing and not in bytes.
+    n_pairs = sum(n * (n + 1) // 2 + n * counts.get(x + 1, 0) for x, n in counts.items())
+    tasks = min(max(n_pairs, 1), 8 * sets.sparkSession.sparkContext.defaultParallelism)
+    dealt = packed.select(F.explode(roles).alias("as"), "block").select("as.role", "as.key", "block").repartition(tasks, "key")
+    return dealt.groupBy("key").agg(
+        F.first(F.when(F.col("role") == "left", F.col("block")), True).alias("left"),
+        F.first(F.when(F.col("role") == "right", F.col("block")), True).alias("right"),
+    )
+
+
+def _unpacked(block: pa.StructArray):
+    node, component, size, fp = (block.field(c).to_numpy(zero_copy_only=False) for c in ("node", "component", "size", "fp"))
+    cells = np.frombuffer(b"".join(block.field("cells").to_pylist()), np.uint64).reshape(len(node), -1)
+    return node, component, size, fp.view(np.uint64), cells
+
+
+def block_pairs(left, right, radius: int, similarity: float):
+    """Positions and parity distances of pairs of two blocks that may be alike and are not yet joined."""
+    rows = max(1, AT_ONCE // len(right[0]))
+    words = min(left[4].shape[1], right[4].shape[1])
+    cells = folded(left[4], words), folded(right[4], words)
+    step = max(1, (1 << 19) // words)
+    for at in range(0, len(left[0]), rows):
+        i, j = np.nonzero(np.bitwise_count(left[3][at : at + rows, None] ^ right[3][None, :]) <= radius)
+        i += at
+        least, most = np.minimum(left[2][i], right[2][j]), np.maximum(left[2][i], right[2][j])
+        fit = (least + 1e-9 >= similarity * most) & (left[1][i] != right[1][j])
+        i, j = i[fit], j[fit]
+        for cut in range(0, len(i), step):
+            a, b = i[cut : cut + step], j[cut : cut + step]
+            apart = np.bitwise_count(cells[0][a] ^ cells[1][b]).sum(axis=1, dtype=np.int64)
+            near = apart <= most_different(left[2][a] + right[2][b], similarity)
+            yield a[near], b[near], apart[near]
+
+
+def _candidates(sets: DataFrame, radius: int, similarity: float, forest: bool) -> DataFrame:
+    """Pairs ``a``, ``b`` of nodes not in one component that may be alike.
+
+    With ``forest``, each node of a block gets only its smallest and its nearest partner of
+    the other block, so the rows grow with the nodes.
+    """
+
+    def compare(batches):
+        for batch in batches:
+            for row in range(batch.num_rows):
+                left = _unpacked(batch.column("left")[row].values)
+                other = batch.column("right")[row]
+                right = _unpacked(other.values) if other.is_valid else left
+                first, nearest = {}, {}
+                for a, b, apart in block_pairs(left, right, radius, similarity):
+                    a, b = left[0][a], right[0][b]
+                    if other.is_valid:
+                        a, b = np.maximum(a, b), np.minimum(a, b)
+                    else:
+                        a, b, apart = (x[a > b] for x in (a, b, apart))
+                    if not forest:
+                        yield _edges(a, b)
+                        continue
+                    for best, order in ((first, np.lexsort((b, a))), (nearest, np.lexsort((b, apart, a)))):
+                        x, y, z = a[order], b[order], apart[order]
+                        head = np.flatnonzero(np.r_[True, x[1:] != x[:-1]][: len(x)])
+                        for k, v, d in zip(x[head].tolist(), y[head].tolist(), z[head].tolist()):
+                            rank = (0, v) if best is first else (d, v)
+                            best[k] = min(best.get(k, rank), rank)
+                found = {(k, v) for best in (first, nearest) for k, (_, v) in best.items()}
+                if found:
+                    yield _edges(*map(np.array, zip(*found)))
+
+    return _met_blocks(sets, similarity).select("left", "right").mapInArrow(compare, "a long, b long").distinct()
+
+
+def _edges(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
+def _alike_pairs(pairs: DataFrame, rows: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """The pairs whose texts are alike by their shingles."""
+    taken = pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct()
+    texts = rows.select("row", "text").join(taken, "row", "left_semi")
+    left = texts.select(F.col("row").alias("a"), F.col("text").alias("text_a"))
+    right = texts.select(F.col("row").alias("b"), F.col("text").alias("text_b"))
+
+    def check(batches):
+        for batch in batches:
+            keep, last = [], (None, None)
+            for x, y in zip(text_bytes(batch.column("text_a")), text_bytes(batch.column("text_b"))):
+                if x != last[0]:
+                    last = x, shingle_set(x, shingle)
+                keep.append(alike(last[1], shingle_set(y, shingle), similarity))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long")
+
+
+def similar_groups(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = SHINGLE,
+    radius: int = RADIUS,
+    similarity: float = SIMILARITY,
+) -> DataFrame:
+    """Every row's ``doc_id`` and ``component_id``, the smallest id reachable over pairs of near copies.
+
+    Copies by shingles are one node. A first round checks few pairs of each node, a second
+    all pairs that may be alike and are not joined by then, so a large group of near copies is
+    not spelled out pair by pair. A text of fewer words than ``shingle`` is one shingle; texts
+    without words are alike. Rows with a null id take part but are never the smallest.
+    """
+    rows = freeze(_described(id_and_text(docs, id_col, text_col), shingle, similarity), "similar")
+    nodes = freeze(
+        rows.groupBy("digest", "size", "tile", "fp", "cells").agg(F.min("row").alias("node"), F.min("doc_id").alias("first")),
+        "similar-sets",
+    )
+    sets = nodes.where("size > 0").select("node", F.col("node").alias("component"), "tile", "size", "fp", "cells")
+    pairs = freeze(_candidates(sets, radius, similarity, True), "similar-pairs")
+    found = freeze(_alike_pairs(pairs, rows, shingle, similarity), "similar-links")
+    joined = connected_components(found).withColumnRenamed("component", "joined")
+    tagged = sets.join(joined, "node", "left").withColumn("component", F.coalesce("joined", "component")).drop("joined")
+    pairs = freeze(_candidates(tagged, radius, similarity, False).join(pairs, ["a", "b"], "left_anti"), "similar-pairs")
+    found = found.unionByName(freeze(_alike_pairs(pairs, rows, shingle, similarity), "similar-links"))
+    groups = connected_components(found)
+    grouped = nodes.join(groups, "node", "left").select("digest", "first", F.coalesce("component", "node").alias("component"))
+    smallest = grouped.groupBy("component").agg(F.min("first").alias("component_id"))
+    per_set = grouped.join(smallest, "component").select("digest", "component_id")
+    return rows.select("doc_id", "digest").join(per_set, "digest").select("doc_id", "component_id")
