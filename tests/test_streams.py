@@ -10,6 +10,7 @@ from tidemark.operators.panes import count_panes
 from tidemark.operators.shaping import decode_delivery, routed_counts, routed_hot_topics
 from tidemark.operators.tables import stream_to_table
 from tidemark.plans import trending
+from tidemark.registry import queries
 from tidemark.sources.messages import read_json_lines, read_message_files, read_table, stream_table
 from tidemark.streaming import jobs, sinks
 from tidemark.streaming.panes import stream_count_panes
@@ -364,3 +365,39 @@ def test_table_streams_from_a_file_or_a_folder(spark, tmp_path):
         writer = streamed.writeStream.format("parquet").option("path", out)
         writer.option("checkpointLocation", f"{out}-c").trigger(**NOW).start().awaitTermination()
         assert rows(spark.read.schema("event_id bigint").parquet(out)) == expected
+
+
+class _Stream:
+    """A running stream that makes one batch of ten rows, nine of them kept, per look."""
+
+    def __init__(self, batches, error=None):
+        self.batches, self.error, self.looks = batches, error, 0
+        self.isActive, self.status = True, {"isTriggerActive": False}
+
+    @property
+    def recentProgress(self):
+        self.looks += 1
+        made = range(max(0, self.looks - 3), min(self.looks, self.batches))
+        return [{"batchId": i, "timestamp": str(i), "numInputRows": 10, "observedMetrics": {"venue_messages": {"rows": 9}}} for i in made]
+
+    def exception(self):
+        return self.error if self.looks > 3 else None
+
+
+def test_timed_counter_waits_for_the_whole_total(monkeypatch):
+    monkeypatch.setattr(queries.time, "sleep", lambda s: None)
+    slow = _Stream(batches=500)
+    assert queries._timed_total(slow, 5000, lambda: 9 * min(slow.looks - 5, 500)) == 4500
+    assert slow.looks == 505
+
+
+def test_timed_counter_raises_instead_of_a_part(monkeypatch):
+    monkeypatch.setattr(queries.time, "sleep", lambda s: None)
+    with pytest.raises(ValueError, match="broken"):
+        queries._timed_total(_Stream(2, ValueError("broken")), 50, lambda: 18)
+    with pytest.raises(RuntimeError, match="stalled after 20 of 50 rows"):
+        queries._timed_total(_Stream(2), 50, lambda: 18, stall=0.05)
+    ended = _Stream(5)
+    ended.isActive = False
+    with pytest.raises(RuntimeError, match="ended"):
+        queries._timed_total(ended, 50, lambda: 18)

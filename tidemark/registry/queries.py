@@ -52,6 +52,8 @@ TOPIC_WINDOW = ["window_start", "window_end", "topic_key", "topic_name"]
 AT_ONCE = {"availableNow": True}
 # Batches of every registered stream, and the files of each.
 SLICES, FILES_PER_SLICE = 4, 2
+# An idle stream that has not read all its rows for so long will not do so.
+STALL_SECONDS = 120.0
 EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "props"]
 
 
@@ -637,19 +639,43 @@ def stream_counter_timed(spark: SparkSession, folder: str) -> DataFrame:
         trigger={"processingTime": "500 milliseconds"},
     )
     total = read_table(spark, folder, "events").count()
-    taken: dict[int, tuple[int, int]] = {}  # rows read by each batch, and those with a venue
     try:
-        for _ in range(240):
-            for p in running.recentProgress:
-                if p["numInputRows"]:
-                    taken[p["batchId"]] = (p["numInputRows"], p["observedMetrics"]["venue_messages"]["rows"])
-            read, kept = map(sum, zip(*taken.values())) if taken else (0, 0)
-            if running.exception() or read >= total and _last_count(spark, out) == kept:
-                break
-            time.sleep(0.5)
+        events = _timed_total(running, total, lambda: _last_count(spark, out))
     finally:
         running.stop()
-    return spark.createDataFrame([(_last_count(spark, out),)], "events bigint")
+    return spark.createDataFrame([(events,)], "events bigint")
+
+
+def _timed_total(running, total: int, last_count: Callable[[], int | None], stall: float = STALL_SECONDS) -> int | None:
+    """The count once ``total`` rows are read and all kept ones are in it.
+
+    There is no limit on the time this takes. Only time in which nothing was gained, and in
+    which no batch was at work throughout, counts as a stall.
+    """
+    taken: dict[int, tuple[int, int]] = {}  # rows read by each batch, and those with a venue
+    state, ended, idle, looked = None, None, 0.0, time.monotonic()
+    while True:
+        progress = running.recentProgress
+        for p in progress:
+            if p["numInputRows"]:
+                taken[p["batchId"]] = (p["numInputRows"], p["observedMetrics"]["venue_messages"]["rows"])
+        read, kept = map(sum, zip(*taken.values())) if taken else (0, 0)
+        if failure := running.exception():
+            raise failure
+        count = last_count() if read >= total else None
+        if read >= total and (count == kept or not kept and count is None):
+            return count
+        if not running.isActive:
+            raise RuntimeError(f"the stream ended after {read} of {total} rows, with a count of {count} of {kept}")
+        seen, last, now = (read, kept, count), progress and progress[-1]["timestamp"], time.monotonic()
+        if seen != state:
+            state, idle = seen, 0.0
+        elif last != ended or not running.status["isTriggerActive"]:
+            idle += now - looked
+        ended, looked = last, now
+        if idle > stall:
+            raise RuntimeError(f"the stream stalled after {read} of {total} rows, with a count of {count} of {kept}")
+        time.sleep(0.5)
 
 
 def _last_count(spark: SparkSession, out: str) -> int | None:
