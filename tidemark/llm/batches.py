@@ -64,6 +64,14 @@ def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"))
 
 
+def free_name(frame: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``frame`` has it in any case."""
+    taken = {c.lower() for c in frame.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def in_fold(id_column: Column, folds: int, fold: int) -> Column:
     """Whether crc32 of the id as text leaves ``fold``; an id that is null is in none."""
     return F.coalesce(F.crc32(id_column.cast("string").cast("binary")) % folds == fold, F.lit(False))

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.batches import free_name
 from tidemark.workspace import freeze
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -153,9 +154,10 @@ def repeat_documents(docs: DataFrame, id_col: str = "doc_id", **how) -> DataFram
 
     Rows repeated under one id are taken equally often, the least that one of them is.
     """
-    copies = mix(docs, id_col=id_col, **how).groupBy(F.col("doc_id").alias("mixed_id")).agg(F.min("copies").cast("int").alias("mixed_copies"))
+    name, times = free_name(docs, "mixed_id"), free_name(docs, "mixed_copies")
+    copies = mix(docs, id_col=id_col, **how).groupBy(F.col("doc_id").alias(name)).agg(F.min("copies").cast("int").alias(times))
     return (
-        docs.join(copies.where("mixed_copies > 0"), F.col(id_col).eqNullSafe(F.col("mixed_id")))
-        .withColumn("mixed_copies", F.explode(F.array_repeat(F.lit(0), F.col("mixed_copies"))))
+        docs.join(copies.where(F.col(times) > 0), F.col(id_col).eqNullSafe(F.col(name)))
+        .withColumn(times, F.explode(F.array_repeat(F.lit(0), F.col(times))))
         .select(*[docs[c] for c in docs.columns])
     )

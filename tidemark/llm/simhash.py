@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.batches import id_and_text, per_batch, text_bytes
+from tidemark.llm.batches import free_name, id_and_text, per_batch, text_bytes
 from tidemark.llm.graph import connected_components, local_roots
 from tidemark.workspace import freeze
 
@@ -172,18 +172,20 @@ def near_duplicates(
     )
 
 
-def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", find=near_duplicates, **how) -> DataFrame:
+def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 3) -> DataFrame:
     """The rows of ``docs`` that have the smallest id of their group, columns as they were.
 
     Rows repeated under one id are one document, of which one row stays; rows with a null
-    id all stay. ``find`` gives the groups.
+    id all stay.
     """
-    groups = find(docs, id_col, text_col, **how)
+    groups = near_duplicates(docs, id_col, text_col, shingle, radius)
+    name, times = free_name(docs, "kept_id"), free_name(docs, "kept_n")
     kept = freeze(
-        groups.where("doc_id = component_id").groupBy(F.col("doc_id").alias("kept_id")).agg(F.count("*").alias("kept_n")),
+        groups.where("doc_id = component_id").groupBy(F.col("doc_id").alias(name)).agg(F.count("*").alias(times)),
         "simhash-kept",
     )
-    single = docs.join(kept.where("kept_n = 1"), F.col(id_col) == F.col("kept_id"), "left_semi")
-    repeated = docs.join(kept.where("kept_n > 1"), F.col(id_col) == F.col("kept_id"), "left_semi").dropDuplicates([id_col])
+    same = F.col(id_col) == F.col(name)
+    single = docs.join(kept.where(F.col(times) == 1), same, "left_semi")
+    repeated = docs.join(kept.where(F.col(times) > 1), same, "left_semi").dropDuplicates([id_col])
     nameless = docs.where(F.col(id_col).isNull())
     return single.unionByName(repeated).unionByName(nameless)
