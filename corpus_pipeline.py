@@ -6,11 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, language, mixing, secrets, simhash, similar
+from tidemark.llm import bpe, language, mixing, secrets, simhash
 from tidemark.workspace import freeze
 
 #: A document in which no language holds half of the letters is rejected, like one without letters.
 LEAST_SHARE = 0.5
+#: Words of a shingle, and bits in which the fingerprints of near copies may differ.
+SHINGLE, RADIUS = 3, 3
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,11 +22,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the smallest id.
-
-    Near copies share 0.8 or more of their five-word shingles.
-    """
-    return simhash.keep_one_each(docs, find=similar.similar_groups)
+    """One document of each group of near copies stays: the one with the smallest id."""
+    return simhash.keep_one_each(docs, shingle=SHINGLE, radius=RADIUS)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,9 +37,12 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of the texts beside the id, language and source."""
-    coded = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.json"))
-    return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    """Token ids of the texts, and the digest of what they decode to, beside the id, language and source."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    coded = bpe.encode(docs, path).select("doc_id", "lang", "source", "ids")
+    return bpe.decode(coded, path).select(
+        "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256")
+    )
 
 
 STAGES = [
