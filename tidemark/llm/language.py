@@ -24,8 +24,8 @@ SAMPLE_PER_LANGUAGE = 400
 SMOOTHING, SWITCH_PENALTY, OTHER_SCRIPT = 0.5, 8.0, -30.0
 #: A language counts as written in a script that at least this share of its words is in.
 SCRIPT_SHARE = 0.01
-CACHED_WORDS = 500_000
-SLICE = 8 << 20
+CACHED_WORDS = 200_000
+SLICE = 4 << 20
 #: Where blocks of the code space begin, by script.
 SCRIPT_STARTS = [
     (0x0000, "latin"), (0x0370, "greek"), (0x0400, "cyrillic"), (0x0530, "armenian"), (0x0590, "hebrew"),
@@ -193,18 +193,19 @@ class Labeller:
             self.scores, self.letters = np.concatenate([self.scores, scores]), np.concatenate([self.letters, letters])
         slots = np.fromiter(map(self.slot.__getitem__, words), np.int64, len(words))
         lengths = np.fromiter(map(len, split), np.int64, len(split))
+        del words, split  # the words of a slice take several times its bytes
         path, letters = best_paths(self.scores[slots], lengths, self.penalty), self.letters[slots]
         names, wide = self.model.languages, len(self.model.languages)
-        owner = np.repeat(np.arange(len(split)), lengths)
-        held = np.bincount(owner * wide + path, weights=letters, minlength=len(split) * wide).reshape(-1, wide)
+        owner = np.repeat(np.arange(len(lengths)), lengths)
+        held = np.bincount(owner * wide + path, weights=letters, minlength=len(lengths) * wide).reshape(-1, wide)
         breaks = np.flatnonzero(np.append(True, (path[1:] != path[:-1]) | (owner[1:] != owner[:-1]))) if len(path) else []
-        spans: list[list] = [[] for _ in split]
+        spans: list[list] = [[] for _ in lengths]
         firsts = np.cumsum(lengths) - lengths
         for a, b in zip(breaks, [*breaks[1:], len(path)]):
             i = owner[a]
             spans[i].append({"start": int(a - firsts[i]), "end": int(b - firsts[i]), "lang": names[path[a]]})
         out = []
-        for i in range(len(split)):
+        for i in range(len(lengths)):
             total, top = held[i].sum(), int(held[i].argmax())
             out.append((names[top], float(held[i, top] / total), spans[i]) if total else (UNKNOWN, 0.0, []))
         return out
