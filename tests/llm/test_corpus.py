@@ -27,7 +27,7 @@ def table(spark, name="documents"):
 
 def test_registration():
     assert QUERIES.keys() | {"pipeline"} <= driver.queries().keys()
-    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 14))
     assert ORACLE.keys() <= QUERIES.keys() and ORACLE.keys() <= driver.oracle_sql().keys()
 
 

@@ -43,4 +43,53 @@ SELECT doc_id, size, source_size, target,
 FROM ranked
 """
 
-ORACLE: dict[str, str] = {"op8_mixing": MIX}
+URLS = r"""
+WITH rests AS (
+  SELECT row_number() OVER () AS row_id, page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+  FROM pages
+), parts AS (
+  SELECT row_id, page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM rests
+), rules(rule_host, rule_path, verdict) AS (
+  VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+), best AS (
+  SELECT row_id, arg_max({'rule': rule_host || rule_path, 'verdict': verdict}, (length(rule_host || rule_path), length(rule_host))) AS best
+  FROM parts JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+  GROUP BY row_id
+)
+SELECT page_id, host, path, best.rule AS rule, coalesce(best.verdict, 'allow') AS verdict
+FROM parts LEFT JOIN best USING (row_id)
+"""
+
+RANKS = r"""
+WITH fold AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), docs AS (
+  SELECT row_number() OVER () AS doc, doc_id, terms, len(terms)::BIGINT AS n FROM fold WHERE len(terms) > 0
+), totals AS (
+  SELECT count(*)::BIGINT AS docs, coalesce(sum(n), 0)::BIGINT AS words FROM docs
+), held AS (
+  SELECT doc, term, count(*)::BIGINT AS tf FROM (SELECT doc, unnest(terms) AS term FROM docs) GROUP BY doc, term
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * (SELECT docs FROM totals) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM held GROUP BY term
+), asked AS (
+  SELECT row_number() OVER () AS item, item_id,
+    list_distinct(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS terms
+  FROM (SELECT DISTINCT item_id, text FROM benchmark)
+), sums AS (
+  SELECT a.item, a.item_id, d.doc_id, d.doc,
+    sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * d.n * t.docs) // t.words))))::BIGINT AS score
+  FROM (SELECT item, item_id, unnest(terms) AS term FROM asked) a
+  JOIN held h USING (term) JOIN weights USING (term) JOIN docs d ON d.doc = h.doc CROSS JOIN totals t
+  GROUP BY a.item, a.item_id, d.doc_id, d.doc
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id ASC NULLS LAST) AS rank FROM sums WHERE score > 0)
+WHERE rank <= 50
+"""
+
+ORACLE: dict[str, str] = {"op8_mixing": MIX, "op11_url_filters": URLS, "op12_mask_search": RANKS}

@@ -6,9 +6,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bm25, bpe, katz, language, lattice, licenses, mixing, secrets, simhash, token_files
+from tidemark.llm import (
+    bm25,
+    bpe,
+    katz,
+    language,
+    lattice,
+    licenses,
+    mask_search,
+    mixing,
+    secrets,
+    simhash,
+    token_files,
+    url_rules,
+    whitening,
+)
 from tidemark.workspace import scratch_path
 
+#: Host, path and verdict.
+URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 BYTE_BPE, WORD_BPE, END_ID = "byte_bpe_50k.json", "word_bpe_49k.json", 2
 
 
@@ -63,6 +79,18 @@ def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labelled.select("doc_id", language.held_out(labelled["doc_id"]).alias("held_out"), "lang_pred", "score")
 
 
+def judged_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(_table(spark, sf_dir, "pages"), spark.createDataFrame(URL_RULES, url_rules.RULE))
+
+
+def ranked_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mask_search.top_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def whitened_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_lattice": vector_groups,
     "op2_simhash": simhash_groups,
@@ -74,4 +102,7 @@ QUERIES = {
     "op8_mixing": mixed_sources,
     "op9_language": languages,
     "op10_secrets": secret_digests,
+    "op11_url_filters": judged_pages,
+    "op12_mask_search": ranked_documents,
+    "op13_whitening": whitened_vectors,
 }
