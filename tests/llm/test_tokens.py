@@ -49,6 +49,16 @@ def test_encoding_agrees_with_the_library(spark):
         assert got[i].decoded == plain.decode(want, skip_special_tokens=False) == t
 
 
+def test_round_trip_is_encoding_and_decoding(spark):
+    texts = [*HARD, *random_texts(2), None]
+    frame = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, decoded string")
+    both = bpe.round_trip(frame, BYTES)
+    assert both.columns == ["doc_id", "ids", "decoded"]
+    apart = bpe.decode(bpe.encode(frame, BYTES), BYTES).drop("text")
+    assert sorted(map(str, both.collect())) == sorted(map(str, apart.select(*both.columns).collect()))
+    assert bpe.round_trip(frame.limit(0), BYTES).count() == 0
+
+
 def test_encoding_odd_rows(spark):
     frame = spark.createDataFrame([(1, None), (1, None), (None, "two two"), (3, "")], "doc_id long, text string")
     rows = sorted((str(r.doc_id), r.ids, r.decoded) for r in bpe.decode(bpe.encode(frame, BYTES), BYTES).collect())

@@ -248,6 +248,26 @@ def decode(frame: DataFrame, path: str, ids_col: str = "ids", text_col: str = "d
     return frame.mapInArrow(run, schema)
 
 
+def round_trip(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:
+    """`encode` and `decode` in one pass: ``docs`` without its text, with ``ids_col`` and ``decoded_col``.
+
+    A task needs one Python process for both, and the text goes to it once.
+    """
+    content = tokenizer_content(path)
+    docs = docs.drop(ids_col, decoded_col)
+    schema = docs.drop(text_col).withColumns({ids_col: F.lit(None).cast("array<int>"), decoded_col: F.lit(None).cast("string")}).schema
+
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        vocab = vocabulary(content)
+        ids, offsets = encoder(content).encode(texts(batch.column(text_col)))
+        decoded = [vocab.decode(ids[a:b]).decode("utf-8", "replace") for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+        others = [name for name in batch.schema.names if name != text_col]
+        made = [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32())), pa.array(decoded, pa.string())]
+        return pa.RecordBatch.from_arrays([*map(batch.column, others), *made], [*others, ids_col, decoded_col])
+
+    return per_batch(docs, step, schema, text_col)
+
+
 def digest(coded: DataFrame) -> DataFrame:
     """Id count and SHA-256 of the ids and of the decoded text."""
     return coded.select(
