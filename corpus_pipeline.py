@@ -38,9 +38,8 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of the texts, and the digest of what they decode to, beside the id, language and source."""
-    path = public_tokenizers.path("byte_bpe_50k.json")
-    coded = bpe.encode(docs, path).select("doc_id", "lang", "source", "ids")
-    return bpe.decode(coded, path).select(
+    coded = bpe.round_trip(docs.select("doc_id", "lang", "source", "text"), public_tokenizers.path("byte_bpe_50k.json"))
+    return coded.select(
         "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256")
     )
 
