@@ -14,7 +14,8 @@ from tidemark.registry import queries
 from tidemark.sources.messages import read_json_lines, read_message_files, read_table, stream_table
 from tidemark.streaming import jobs, sinks
 from tidemark.streaming.panes import stream_count_panes
-from tidemark.streaming.store import ChangeLog
+from tidemark.streaming.store import ChangeLog, Commits
+from tidemark.workspace import move_new
 
 NOW = {"availableNow": True}
 BATCHES = 4
@@ -238,6 +239,61 @@ def _stats_row(spark, n):
     return spark.createDataFrame([row], "id string, events long, publish_ts timestamp, last_updated timestamp, block string")
 
 
+def _state(store):
+    return rows(store.hot_topics.current().select("timestamp", "topics.score")), rows(store.stats.current(), "events")
+
+
+def test_a_batch_is_seen_whole_or_not_at_all(spark, tmp_path, monkeypatch):
+    """A reader between the writes and the commit, and after a batch was killed there, sees the version before."""
+    store = sinks.ResultStore(spark, str(tmp_path))
+    store.apply(_delivery(spark, [_ranking(7, 1), _count(2)]), 0)
+    before = _state(store)
+    opened = store.hot_topics.current()
+    second = _delivery(spark, [_ranking(7, 5), _ranking(8, 2), _count(9)], after=1)
+    commit = Commits.commit
+
+    def killed(self, version, changed):
+        assert {table for table, _, _ in changed} == {"hot_topics", "stats"}
+        assert _state(sinks.ResultStore(spark, str(tmp_path))) == before
+        raise RuntimeError("killed")
+
+    monkeypatch.setattr(Commits, "commit", killed)
+    with pytest.raises(RuntimeError, match="killed"):
+        store.apply(second, 1)
+    assert _state(store) == before
+    monkeypatch.setattr(Commits, "commit", commit)
+    store.apply(second, 1)
+    assert _state(store) == ([(7, [5]), (8, [2])], [(9,)])
+    assert rows(opened.select("timestamp", "topics.score")) == before[0]
+    assert store.commits.versions() == [0, 1]
+    store.apply(_delivery(spark, [_count(10)], after=2), 2)
+    assert store.commits.versions() == [1, 2] and store.hot_topics.versions("2024-05-01") == [1, 1]
+    assert _state(store) == ([(7, [5]), (8, [2])], [(10,)])
+
+
+def test_a_second_writer_of_a_version_is_refused(spark, tmp_path):
+    schema = "id long, part string"
+    log = ChangeLog(spark, str(tmp_path), spark.createDataFrame([], schema).schema, ["id"], "part")
+    log.merge(spark.createDataFrame([(1, "a/b=c"), (2, None), (3, "")], schema), 0, [])
+    assert rows(log.current(), "id", "part") == rows(log.newest(["a/b=c", "none"]), "id", "part") == [(1, "a/b=c"), (2, "none"), (3, "none")]
+    draft = str(tmp_path / "draft")
+    spark.range(1).write.parquet(draft)
+    with pytest.raises(Exception, match="FileAlreadyExists|already exists"):
+        move_new(spark, draft, f"{log.commits.path}/{0:020d}")
+    assert log.current().count() == 3
+
+
+def test_current_reads_only_committed_files(spark, tmp_path):
+    """Without a list of parts in the driver: the commit prunes the partitions of the files."""
+    schema = "id long, part string"
+    log = ChangeLog(spark, str(tmp_path), spark.createDataFrame([], schema).schema, ["id"], "part")
+    for version in range(3):
+        log.merge(spark.createDataFrame([(version, f"p{version}")], schema), version, [])
+    plan = log.current()._jdf.queryExecution().toString()
+    assert "dynamicpruning" in plan
+    assert rows(log.current(), "id") == [(0,), (1,), (2,)]
+
+
 def test_unknown_category_stores_nothing(spark, tmp_path):
     store = sinks.ResultStore(spark, str(tmp_path))
     bad = _delivery(spark, [_ranking(7, 1), '{"category":"TOPICS_PER_COUNTRY","output":1}'])

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.names import free_names
 from tidemark.workspace import freeze
 
 # `monotonically_increasing_id` puts the partition in the bits above these.
@@ -31,29 +32,27 @@ def with_positions(
     it, and after it: the numbering belongs to one physical layout and must not be evaluated
     twice. So pass only the columns that matter.
     """
-    once = freeze(df.withColumn("_source", F.spark_partition_id()), "positions-input")
+    source, at, slice_, rows, first, of_slice, shift = free_names(
+        df, "_source", "_at", "_slice", "_rows", "_first", "_of_slice", "_shift"
+    )
+    groups = {c: free_names(df, f"_per_{c}")[0] for c in per}
+    once = freeze(df.withColumn(source, F.spark_partition_id()), "positions-input")
     placed = (
-        once.repartitionByRange(*per, *order_by, F.col("_source"))
+        once.repartitionByRange(*per, *order_by, F.col(source))
         .sortWithinPartitions(*per, *order_by)
-        .drop("_source")
-        .withColumn("_at", F.monotonically_increasing_id())
+        .drop(source)
+        .withColumn(at, F.monotonically_increasing_id())
     )
-    frozen = freeze(placed.withColumn("_slice", F.shiftright("_at", ROW_BITS)), "positions")
+    frozen = freeze(placed.withColumn(slice_, F.shiftright(at, ROW_BITS)), "positions")
 
-    sizes = frozen.groupBy(*per, "_slice").agg(
-        F.count(F.lit(1)).alias("_rows"), F.min("_at").alias("_first")
-    )
-    earlier = (
-        Window.partitionBy(*per).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    )
+    sizes = frozen.groupBy(*per, slice_).agg(F.count(F.lit(1)).alias(rows), F.min(at).alias(first))
+    earlier = Window.partitionBy(*per).orderBy(slice_).rowsBetween(Window.unboundedPreceding, -1)
     shifts = sizes.select(
-        *(F.col(c).alias(f"_per_{c}") for c in per),
-        F.col("_slice").alias("_of_slice"),
-        (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
-    )
-    same = F.col("_slice") == F.col("_of_slice")
-    for c in per:
-        same = same & F.col(c).eqNullSafe(F.col(f"_per_{c}"))
-    return frozen.join(shifts, same).select(
-        *df.columns, (F.col("_at") + F.col("_shift")).alias(name)
+        *(F.col(c).alias(group) for c, group in groups.items()),
+        F.col(slice_).alias(of_slice),
+        (F.coalesce(F.sum(rows).over(earlier), F.lit(0)) - F.col(first) + 1).alias(shift),
     )
+    same = F.col(slice_) == F.col(of_slice)
+    for c, group in groups.items():
+        same = same & F.col(c).eqNullSafe(F.col(group))
+    return frozen.join(shifts, same).select(*df.columns, (F.col(at) + F.col(shift)).alias(name))

@@ -11,7 +11,10 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import prune_at_every_n
+from tidemark.functions.names import free_names
+
+#: With more rows asked for, a group's tasks are merged in two steps.
+SHARED_ABOVE = 1000
 
 Ordering = str | Column | Sequence[str | Column]
 
@@ -33,6 +36,7 @@ def top_n(
     distinct_on: Sequence[str] = (),
     seq: Ordering = (),
     rank: str = "rank",
+    shares: int | None = None,
 ) -> DataFrame:
     """The ``n`` greatest rows (least, when ``reverse``), in each ``per`` group if given.
 
@@ -41,9 +45,12 @@ def top_n(
     ``distinct_on`` keeps one row per key first: the latest by ``seq``, or without ``seq``
     the best ranked.
 
-    Lazy at every ``n``: each map task keeps at most ``n`` rows per group, then each share of the
-    map tasks does, and one task per group merges what the shares kept, that is ``n`` rows for
-    every share; so no group, however large, arrives whole.
+    ``rank`` is the place from 1; a column of that name is replaced.
+
+    Lazy at every ``n``, and each map task sends on at most ``n`` rows of a group. Up to
+    `SHARED_ABOVE` rows of a task meet in one task per group; for more, ``shares`` tasks cut a group
+    to ``n`` rows each first, so a merge sees ``n`` rows for every share. ``shares`` sets their number,
+    0 for none: with very many small groups that step only costs a shuffle.
     """
     if n < 1:
         raise ValueError("n must be at least 1")
@@ -54,26 +61,33 @@ def top_n(
         latest = [c.desc_nulls_last() for c in _columns(seq)] + order
         df = _head_by_key(df, keys, latest)
 
-    prune_at_every_n(df.sparkSession)
-    df = _cut_by_shares(df, n, order, per)
-    ranked = df.withColumn(rank, F.row_number().over(Window.partitionBy(*per).orderBy(*order)))
-    return ranked.filter(F.col(rank) <= n).withColumn(rank, F.col(rank).cast("bigint"))
-
-
-def _cut_by_shares(
-    df: DataFrame, n: int, order: Sequence[Column], per: Sequence[str]
-) -> DataFrame:
+    if shares is None:
+        shares = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) if n > SHARED_ABOVE else 0
+    if shares:
+        df = _cut_by_shares(df, n, order, per, shares)
+    place = F.row_number().over(Window.partitionBy(*per).orderBy(*order))
+    (place_col,) = free_names(df, "_place")
+    if per:
+        ranked = df.withColumn(place_col, place).filter(F.col(place_col) <= n)
+    else:  # the limit cuts in the map tasks without numbering; only n rows are numbered
+        ranked = df.orderBy(*order).limit(n).withColumn(place_col, place)
+    others = [c for c in df.columns if c != rank]
+    return ranked.select(*others, F.col(place_col).cast("bigint").alias(rank))
+
+
+def _cut_by_shares(df: DataFrame, n: int, order: Sequence[Column], per: Sequence[str], shares: int) -> DataFrame:
     """Keep each group's best ``n`` of every share of the map tasks: all of its best ``n`` overall
     are among them. Which tasks make up a share does not matter to what is ranked later."""
-    shares = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    shared = df.withColumn("_share", F.spark_partition_id() % shares)
-    place = F.row_number().over(Window.partitionBy(*per, "_share").orderBy(*order))
-    return shared.withColumn("_place", place).filter(F.col("_place") <= n).select(*df.columns)
+    share, place = free_names(df, "_share", "_place")
+    shared = df.withColumn(share, F.spark_partition_id() % shares)
+    best = F.row_number().over(Window.partitionBy(*per, share).orderBy(*order))
+    return shared.withColumn(place, best).filter(F.col(place) <= n).select(*df.columns)
 
 
 def _head_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    (place,) = free_names(df, "_place")
     position = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("_position", position).filter("_position = 1").drop("_position")
+    return df.withColumn(place, position).filter(F.col(place) == 1).select(*df.columns)
 
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], seq: Ordering) -> DataFrame:
@@ -123,10 +137,11 @@ def top_n_list(
 
     ``item`` is what to hold for each row, by default a struct of all ungrouped columns.
     """
-    ranked = top_n(df, n, by, per=per, rank="_rank", **options)
+    (rank,) = free_names(df, "_rank")
+    ranked = top_n(df, n, by, per=per, rank=rank, **options)
     if item is None:
         item = F.struct(*(c for c in df.columns if c not in per))
-    return ranks_to_list(ranked, item, per=per, rank="_rank", name=name)
+    return ranks_to_list(ranked, item, per=per, rank=rank, name=name)
 
 
 def ranks_to_list(

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -37,11 +38,11 @@ from tidemark.plans import trending
 from tidemark.schemas import GLOBAL_EVENTS, HOT_TOPICS, MESSAGE
 from tidemark.session import prepare
 from tidemark.sources.event_records import attributed_messages_from_events, messages_from_events, raw_records_from_events
-from tidemark.sources.messages import read_json_lines, read_table, spread
+from tidemark.sources.messages import read_json_lines, read_table, splits, spread
 from tidemark.sources.records import project_records, with_attributes
 from tidemark.streaming import jobs, sinks
 from tidemark.streaming.panes import stream_count_panes
-from tidemark.workspace import path_exists, scratch_path
+from tidemark.workspace import child_names, path_exists, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,7 +51,7 @@ QUERIES: dict[str, Query] = {}
 DAY = "1 day"
 TOPIC_WINDOW = ["window_start", "window_end", "topic_key", "topic_name"]
 AT_ONCE = {"availableNow": True}
-# Batches of every registered stream, and the files of each.
+# Spans of time that every registered stream is cut into, and the least files of each.
 SLICES, FILES_PER_SLICE = 4, 2
 # An idle stream that has not read all its rows for so long will not do so.
 STALL_SECONDS = 120.0
@@ -70,46 +71,76 @@ def _messages(spark: SparkSession, folder: str, *keep: str) -> DataFrame:
 
 
 def _events(spark: SparkSession, folder: str) -> DataFrame:
-    """The table is a single file in the small scales, so its rows are dealt out to the cores."""
+    """Where the table comes in fewer splits than there are cores, its rows are dealt out to them."""
     events = read_table(spark, folder, "events").select(*EVENT_COLUMNS)
     return spread(events, spark.sparkContext.defaultParallelism)
 
 
-def _message_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The messages as a stream of ``SLICES`` batches in the order of time."""
+class Replay(NamedTuple):
+    """A table as a stream, and how many batches with rows it comes in at least."""
+
+    stream: DataFrame
+    batches: int
+
+
+def _message_replay(spark: SparkSession, folder: str) -> Replay:
+    """The messages in the order of time, a batch for each span of time that has any."""
     events = read_table(spark, folder, "events").select(*EVENT_COLUMNS)
-    return messages_from_events(_stream_of(spark, *_time_slices(events)))
+    stream, batches = _replay(spark, *_time_slices(events))
+    return Replay(messages_from_events(stream), batches)
 
 
 def _time_slices(events: DataFrame) -> list[DataFrame]:
+    """The rows in ``SLICES`` equal spans of time, some of which may be empty; the first has those without a time."""
     first, last = events.agg(F.min("ts"), F.max("ts")).first()
     if first is None:
         return [events]
     step = (last - first) / SLICES
-    starts = [first + i * step for i in range(1, SLICES)]
-    bounds = [None, *starts, None]
-    return [
-        events.filter((F.lit(True) if a is None else F.col("ts") >= a) & (F.lit(True) if b is None else F.col("ts") < b))
-        for a, b in zip(bounds, bounds[1:])
-    ]
+    later = [F.when(F.col("ts") >= first + i * step, 1).otherwise(0) for i in range(1, SLICES)]
+    return [events.filter(sum(later) == i) for i in range(SLICES)]
+
 
+def _replay(spark: SparkSession, *slices: DataFrame) -> Replay:
+    """Each frame that has rows, written one after the other, as a batch of a file stream.
 
-def _stream_of(spark: SparkSession, *slices: DataFrame) -> DataFrame:
-    """Each frame, written one after the other, as one batch of a file stream."""
+    A frame is written in as many files as the source has splits for it, two at least.
+    """
     path = scratch_path(spark, "slices")
+    files = max(FILES_PER_SLICE, -(-splits(slices[0]) // len(slices)))
+    written, whole = [], True
     for part in slices:
-        part.repartition(FILES_PER_SLICE).write.mode("append").parquet(path)
+        if part.isEmpty():
+            continue
         time.sleep(0.05)  # files are taken in the order of their times
-    reader = spark.readStream.schema(slices[0].schema)
-    return reader.option("maxFilesPerTrigger", FILES_PER_SLICE).parquet(path)
+        part.repartition(files).write.mode("append").parquet(path)
+        written.append(len([n for n in child_names(spark, path) if n.startswith("part-")]))
+    if not written:
+        slices[0].limit(0).write.parquet(path)
+    reader = spark.readStream.schema(slices[0].schema).option("maxFilesPerTrigger", files)
+    # a frame of very few rows has fewer files, and then the batches are no longer the frames
+    aligned = written == [files * (i + 1) for i in range(len(written))]
+    return Replay(reader.parquet(path), len(written) if aligned else min(1, len(written)))
+
+
+def _finish(query, batches: int) -> None:
+    """Wait for a stream to end, and make sure that it carried state through so many batches with rows."""
+    query.awaitTermination()
+    seen = sum(p["numInputRows"] > 0 for p in query.recentProgress)
+    if seen < batches:
+        raise RuntimeError(f"{seen} batches had rows; {batches} were to be seen")
 
 
-def _several_batches(query) -> None:
-    """Wait for a stream to end, and make sure that it carried state from batch to batch."""
-    query.awaitTermination()
-    batches = sum(p["numInputRows"] > 0 for p in query.recentProgress)
-    if batches < SLICES:
-        raise RuntimeError(f"{batches} batches had rows; {SLICES} were to be seen")
+def _published(spark: SparkSession, path: str) -> DataFrame:
+    """The lines published below a folder, ``value``; none if nothing was."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], "value string")
+    return spark.read.option("recursiveFileLookup", "true").text(path)
+
+
+def _published_count(spark: SparkSession, path: str) -> int:
+    """The highest count published; 0 if none was."""
+    values = _published(spark, path).select(F.get_json_object("value", "$.output").cast("bigint").alias("events"))
+    return values.agg(F.coalesce(F.max("events"), F.lit(0))).first()[0]
 
 
 def _daily_mentions(messages: DataFrame, *keep: str) -> DataFrame:
@@ -514,74 +545,60 @@ def table_sink_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 def stream_counter(spark: SparkSession, folder: str) -> DataFrame:
     """The last count published by the running counter."""
     out = scratch_path(spark, "counter")
+    replay = _message_replay(spark, folder)
     publish = sinks.publish_files(f"{out}/values")
-    _several_batches(
-        jobs.start_counter(
-            _message_stream(spark, folder), publish, checkpoint=f"{out}/state", trigger=AT_ONCE
-        )
-    )
-    published = spark.read.text(f"{out}/values").select(
-        F.get_json_object("value", "$.output").cast("bigint").alias("events")
-    )
-    return published.agg(F.max("events").alias("events"))
+    _finish(jobs.start_counter(replay.stream, publish, checkpoint=f"{out}/state", trigger=AT_ONCE), replay.batches)
+    return spark.createDataFrame([(_published_count(spark, f"{out}/values"),)], "events bigint")
 
 
-@query
-def stream_hot_topics(spark: SparkSession, folder: str) -> DataFrame:
+def _early_rankings(spark: SparkSession, folder: str, **options) -> DataFrame:
     """Early rankings, as they stand when all input has been seen.
 
     A finite replay: no watermark is set, and nothing counts as late.
     """
     out = scratch_path(spark, "hot-topics")
-    _several_batches(
-        jobs.start_hot_topics(
-            _message_stream(spark, folder),
-            sinks.publish_files(f"{out}/values"),
-            rankings=f"{out}/rankings",
-            checkpoint=f"{out}/state",
-            watermark=None,
-            trigger=AT_ONCE,
-        )
+    replay = _message_replay(spark, folder)
+    running = jobs.start_hot_topics(
+        replay.stream,
+        sinks.publish_files(f"{out}/values"),
+        rankings=f"{out}/rankings",
+        checkpoint=f"{out}/state",
+        watermark=None,
+        trigger=AT_ONCE,
+        **options,
     )
+    _finish(running, replay.batches)
     current = jobs.rankings_log(spark, f"{out}/rankings").current()
     return _ranked_rows(current.drop("version", "day"))
 
 
+@query
+def stream_hot_topics(spark: SparkSession, folder: str) -> DataFrame:
+    return _early_rankings(spark, folder)
+
+
 @query
 def stream_hot_topics_from_panes(spark: SparkSession, folder: str) -> DataFrame:
     """Early rankings of what the count trigger shows, as they stand at the end."""
-    out = scratch_path(spark, "pane-topics")
-    _several_batches(
-        jobs.start_hot_topics(
-            _message_stream(spark, folder),
-            sinks.publish_files(f"{out}/values"),
-            rankings=f"{out}/rankings",
-            checkpoint=f"{out}/state",
-            watermark=None,
-            size=DAY,
-            every=trending.PANE,
-            trigger=AT_ONCE,
-        )
-    )
-    current = jobs.rankings_log(spark, f"{out}/rankings").current()
-    return _ranked_rows(current.drop("version", "day"))
+    return _early_rankings(spark, folder, size=DAY, every=trending.PANE)
 
 
 @query
 def stream_store(spark: SparkSession, folder: str) -> DataFrame:
     """Count and rank, publish, deliver, and upsert: the stored tables at the end."""
     out = scratch_path(spark, "store")
+    replay = _message_replay(spark, folder)
     publish = {name: sinks.publish_files(f"{out}/values/{name}") for name in ("counter", "hot_topics")}
-    started = jobs.start_all(
-        _message_stream(spark, folder), publish, folder=out, watermark=None, size=DAY, trigger=AT_ONCE
-    )
+    started = jobs.start_all(replay.stream, publish, folder=out, watermark=None, size=DAY, trigger=AT_ONCE)
     for running in started.values():
-        _several_batches(running)
+        _finish(running, replay.batches)
+    _published(spark, f"{out}/values").limit(0).write.text(f"{out}/values/none")  # the folder to stream from exists
+    folders = [f"{out}/values/{name}" for name in publish]
+    batches = sum(len(child_names(spark, path)) for path in folders) // 2
     lines = read_json_lines(spark, f"{out}/values", streaming=True, max_files_per_trigger=2)
     store = sinks.ResultStore(spark, f"{out}/tables")
-    _several_batches(
-        jobs.start_store(sinks.as_deliveries(lines), store, checkpoint=f"{out}/stored", trigger=AT_ONCE)
-    )
+    stored = jobs.start_store(sinks.as_deliveries(lines), store, checkpoint=f"{out}/stored", trigger=AT_ONCE)
+    _finish(stored, min(batches, replay.batches))
     records = store.hot_topics.current().select(
         "timestamp",
         F.col("window.start").alias("window_start"),
@@ -596,34 +613,31 @@ def stream_store(spark: SparkSession, folder: str) -> DataFrame:
 def stream_final_hot_topics(spark: SparkSession, folder: str) -> DataFrame:
     """One record per window the watermark has closed."""
     out = scratch_path(spark, "final")
-    _several_batches(
-        jobs.start_final_hot_topics(
-            _message_stream(spark, folder),
-            sinks.publish_files(f"{out}/values"),
-            checkpoint=f"{out}/state",
-            watermark="1 hour",
-            size=DAY,
-            trigger=AT_ONCE,
-        )
+    replay = _message_replay(spark, folder)
+    running = jobs.start_final_hot_topics(
+        replay.stream,
+        sinks.publish_files(f"{out}/values"),
+        checkpoint=f"{out}/state",
+        watermark="1 hour",
+        size=DAY,
+        trigger=AT_ONCE,
     )
-    return spark.read.text(f"{out}/values").select("value")
+    _finish(running, replay.batches)
+    return _published(spark, f"{out}/values")
 
 
 @query
 def stream_topic_panes(spark: SparkSession, folder: str) -> DataFrame:
-    out = scratch_path(spark, "panes")
-    mentions = _daily_mentions(_message_stream(spark, folder))
-    panes = stream_count_panes(mentions, TOPIC_WINDOW, 5)
-    _run_to_files(panes, out)
-    return _with_text_window(spark.read.schema(panes.schema).parquet(f"{out}/rows"))
+    replay = _message_replay(spark, folder)
+    panes = stream_count_panes(_daily_mentions(replay.stream), TOPIC_WINDOW, 5)
+    return _with_text_window(_run_to_files(panes, scratch_path(spark, "panes"), replay.batches))
 
 
 @query
 def stream_counter_panes(spark: SparkSession, folder: str) -> DataFrame:
-    out = scratch_path(spark, "counter-panes")
-    panes = stream_count_panes(trending.venue_messages(_message_stream(spark, folder)), [], 2)
-    _run_to_files(panes, out)
-    return spark.read.schema(panes.schema).parquet(f"{out}/rows")
+    replay = _message_replay(spark, folder)
+    panes = stream_count_panes(trending.venue_messages(replay.stream), [], 2)
+    return _run_to_files(panes, scratch_path(spark, "counter-panes"), replay.batches)
 
 
 @query
@@ -631,7 +645,7 @@ def stream_counter_timed(spark: SparkSession, folder: str) -> DataFrame:
     """The counter with a count trigger that is never reached: its timer shows the total."""
     out = scratch_path(spark, "timed")
     running = jobs.start_counter(
-        _message_stream(spark, folder),
+        _message_replay(spark, folder).stream,
         sinks.publish_files(f"{out}/values"),
         checkpoint=f"{out}/state",
         every=1 << 40,
@@ -640,13 +654,13 @@ def stream_counter_timed(spark: SparkSession, folder: str) -> DataFrame:
     )
     total = read_table(spark, folder, "events").count()
     try:
-        events = _timed_total(running, total, lambda: _last_count(spark, out))
+        events = _timed_total(running, total, lambda: _published_count(spark, f"{out}/values"))
     finally:
         running.stop()
     return spark.createDataFrame([(events,)], "events bigint")
 
 
-def _timed_total(running, total: int, last_count: Callable[[], int | None], stall: float = STALL_SECONDS) -> int | None:
+def _timed_total(running, total: int, last_count: Callable[[], int], stall: float = STALL_SECONDS) -> int:
     """The count once ``total`` rows are read and all kept ones are in it.
 
     There is no limit on the time this takes. Only time in which nothing was gained, and in
@@ -663,7 +677,7 @@ def _timed_total(running, total: int, last_count: Callable[[], int | None], stal
         if failure := running.exception():
             raise failure
         count = last_count() if read >= total else None
-        if read >= total and (count == kept or not kept and count is None):
+        if read >= total and count == kept:
             return count
         if not running.isActive:
             raise RuntimeError(f"the stream ended after {read} of {total} rows, with a count of {count} of {kept}")
@@ -678,28 +692,18 @@ def _timed_total(running, total: int, last_count: Callable[[], int | None], stal
         time.sleep(0.5)
 
 
-def _last_count(spark: SparkSession, out: str) -> int | None:
-    """The highest count published so far."""
-    if not path_exists(spark, f"{out}/values"):
-        return None
-    values = spark.read.option("recursiveFileLookup", "true").text(f"{out}/values")
-    return values.agg(F.max(F.get_json_object("value", "$.output").cast("bigint"))).first()[0]
-
-
 @query
 def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Messages kept once by id; those of a slice's last hour come again in a batch of their own."""
-    out = scratch_path(spark, "dedup")
     batches = []
     for part in _time_slices(read_table(spark, folder, "events").select(*EVENT_COLUMNS)):
         batches.append(part)
         again = part.filter(F.col("ts") > part.agg(F.max("ts")).scalar() - F.expr("INTERVAL 1 HOUR"))
         batches.append(again.withColumn("ts", F.expr("ts + INTERVAL 5 MINUTES")))
-    twice = messages_from_events(_stream_of(spark, *batches))
-    parsed = parse_messages(trending.venue_messages(twice), MESSAGE)
+    twice = _replay(spark, *batches)
+    parsed = parse_messages(trending.venue_messages(messages_from_events(twice.stream)), MESSAGE)
     once = drop_duplicate_messages(parsed, delay="2 hours").select(F.col("event_id").cast("bigint").alias("event_id"))
-    _run_to_files(once, out)
-    return spark.read.schema(once.schema).parquet(f"{out}/rows")
+    return _run_to_files(once, scratch_path(spark, "dedup"), twice.batches)
 
 
 @query
@@ -708,16 +712,18 @@ def stream_table_sink(spark: SparkSession, folder: str) -> DataFrame:
     out = scratch_path(spark, "stream-sink")
     table = out.rsplit("/", 1)[1].replace("-", "_")
     schema = {"event_id": "INTEGER", "country": "STRING"}
-    parsed = parse_messages(trending.venue_messages(_message_stream(spark, folder)), MESSAGE)
+    replay = _message_replay(spark, folder)
+    parsed = parse_messages(trending.venue_messages(replay.stream), MESSAGE)
     rows = parsed.select("event_id", F.col("group.group_country").alias("country"))
-    _several_batches(
-        stream_to_table(rows, table, schema, checkpoint=f"{out}/state", path=f"{out}/rows", trigger=AT_ONCE)
+    _finish(
+        stream_to_table(rows, table, schema, checkpoint=f"{out}/state", path=f"{out}/rows", trigger=AT_ONCE), replay.batches
     )
     spark.sql(f"DROP TABLE {table}")  # the files at its path stay
     return spark.read.schema(schema_ddl(schema)).parquet(f"{out}/rows")
 
 
-def _run_to_files(df: DataFrame, out: str) -> None:
+def _run_to_files(df: DataFrame, out: str, batches: int) -> DataFrame:
+    """Run a stream into Parquet files, and read them."""
     writer = df.writeStream.format("parquet").option("path", f"{out}/rows")
-    writer = writer.option("checkpointLocation", f"{out}/state").trigger(**AT_ONCE)
-    _several_batches(writer.start())
+    _finish(writer.option("checkpointLocation", f"{out}/state").trigger(**AT_ONCE).start(), batches)
+    return df.sparkSession.read.schema(df.schema).parquet(f"{out}/rows")

@@ -43,10 +43,14 @@ def _venue() -> Column:
     )
 
 
+def _number(value: Column) -> Column:
+    return F.coalesce(value.cast("string"), F.lit("null"))
+
+
 def _payload(id_field: str, time_field: str, event: Column) -> Column:
     return F.concat(
-        F.lit(f'{{"{id_field}":'), F.col("event_id"),
-        F.lit(f',"{time_field}":'), F.unix_millis("ts"),
+        F.lit(f'{{"{id_field}":'), _number(F.col("event_id")),
+        F.lit(f',"{time_field}":'), _number(F.unix_millis("ts")),
         F.lit(',"group":'), _group(),
         event,
         F.lit(',"response":"yes"'), _venue(), F.lit("}"),

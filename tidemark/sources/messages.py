@@ -82,12 +82,18 @@ def stream_table(
     return with_instants(reader.parquet(path)).select(*columns or "*")
 
 
-def spread(df: DataFrame, partitions: int) -> DataFrame:
-    """Deal the rows of a source out to ``partitions``, for one that comes in a few unsplittable files.
+def spread(df: DataFrame, least: int) -> DataFrame:
+    """Deal the rows of a source that has fewer splits than ``least`` out to so many partitions.
 
-    JSON work is bound by the processor. A source with enough splits needs none of this shuffle.
+    JSON work is bound by the processor, so a few unsplittable files would leave cores idle. A
+    source with enough splits is returned as it is and needs no shuffle.
     """
-    return df.repartition(partitions)
+    return df.repartition(least) if splits(df) < least else df
+
+
+def splits(df: DataFrame) -> int:
+    """The partitions a batch frame is read in."""
+    return df.rdd.getNumPartitions()
 
 
 def with_instants(df: DataFrame) -> DataFrame:

@@ -12,7 +12,10 @@ from tidemark.functions.times import format_time
 from tidemark.operators.ranking import latest_by_key
 from tidemark.operators.shaping import decode_delivery, routed_counts, routed_hot_topics
 from tidemark.schemas import HOT_TOPICS_OUTPUT
-from tidemark.streaming.store import ChangeLog
+from tidemark.streaming.store import ChangeLog, Commits
+
+#: Envelopes in one published file.
+LINES_PER_FILE = 100_000
 
 Publisher = Callable[[DataFrame, int], None]
 
@@ -49,10 +52,18 @@ def tap(df: DataFrame, name: str | Observation, time: str | None = None) -> Data
 
 
 def publish_files(path: str) -> Publisher:
-    """Envelopes as JSON lines, one folder per batch; repeating a batch replaces its folder."""
+    """Envelopes as JSON lines, one folder per batch; repeating a batch replaces its folder.
+
+    A batch has as many files as its lines need, not one for each task that made some.
+    """
 
     def publish(values: DataFrame, batch_id: int) -> None:
-        values.select("value").write.mode("overwrite").text(f"{path}/batch={batch_id}")
+        lines = values.select("value").persist()
+        try:
+            files = max(1, -(-lines.count() // LINES_PER_FILE))
+            lines.coalesce(files).write.mode("overwrite").text(f"{path}/batch={batch_id}")
+        finally:
+            lines.unpersist()
 
     return publish
 
@@ -79,24 +90,31 @@ def as_deliveries(messages: DataFrame) -> DataFrame:
 
 
 class ResultStore:
-    """The two stored tables: ``hot_topics``, one row per record time, and one-row ``stats``."""
+    """The two stored tables: ``hot_topics``, one row per record time, and one-row ``stats``.
+
+    A batch changes both by one commit, so no reader sees one of them ahead of the other.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
-        self.hot_topics = ChangeLog(spark, f"{path}/hot_topics", STORED_TOPICS, ["timestamp"], "day")
-        self.stats = ChangeLog(spark, f"{path}/stats", STORED_STATS, ["id"], "block")
+        self.commits = Commits(spark, f"{path}/commits")
+        self.hot_topics = ChangeLog(spark, path, STORED_TOPICS, ["timestamp"], "day", commits=self.commits, name="hot_topics")
+        self.stats = ChangeLog(spark, path, STORED_STATS, ["id"], "block", commits=self.commits, name="stats")
 
     def apply(self, deliveries: DataFrame, batch_id: int) -> None:
         """Decode one batch of deliveries (``data``, ``publish_ts``) and upsert it by category.
 
-        The last published wins, whichever batch delivers it, and the fuller one if published
+        A batch that is stored already, or older than one that is, changes nothing. The last published wins, whichever batch delivers it, and the fuller one if published
         together. An unknown category fails the batch before anything of it is stored.
         """
+        if self.commits.done(batch_id):
+            return
         envelopes = decode_delivery(deliveries).persist()
         try:
             topics = _topic_rows(routed_hot_topics(envelopes))
             stats = _stats_rows(routed_counts(envelopes))
-            self.hot_topics.merge(topics, batch_id, ["publish_ts", "mentions"])
-            self.stats.merge(stats, batch_id, ["publish_ts", "events"])
+            entries = self.hot_topics.stage(topics, batch_id, ["publish_ts", "mentions"])
+            entries += self.stats.stage(stats, batch_id, ["publish_ts", "events"])
+            self.commits.commit(batch_id, entries)
         finally:
             envelopes.unpersist()
 

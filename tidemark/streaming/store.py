@@ -1,15 +1,20 @@
-"""Keyed tables with last-write-wins updates, kept as snapshots by part.
-
-Plain Parquet has no MERGE. A batch reads the newest snapshot of each part it touches, merges
-its rows in, and writes the part anew as ``part=.../version=<batch>``; then it drops what is
-older than the snapshot it read. So a part has two versions at most, however many batches
-there were, and a batch reads and writes the parts it touches, which should be small (a day
-of rankings). Running a batch again reads what it read before and overwrites what it wrote.
-Versions are batch ids: a table has one writer, whose checkpoint belongs to it.
+"""Keyed tables with last-write-wins updates, in versions that are seen whole or not at all.
+
+Plain Parquet has no MERGE and no transaction. A batch reads the rows of the parts it touches,
+merges its own in, and writes those parts anew into folders that nobody has read or written
+before. Nothing refers to them until the batch commits: a commit is one small table that names,
+for every part of every table of the store, the folder of its rows, and it comes to be by one
+rename. So a reader sees the tables as some commit left them, also while a batch is at work; a
+batch that is killed before its rename has changed nothing, and one that is run again after it
+does nothing. Folders go when the commits that named them are no longer kept.
+
+Versions are batch ids: a store has one writer, whose checkpoint belongs to it. A batch reads and
+writes the parts it touches, which should be small (a day of rankings).
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,89 +22,192 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.ranking import latest_by_key
-from tidemark.workspace import child_names, delete_folder
+from tidemark.workspace import child_names, delete_folder, move_new, path_segment
+
+ENTRY = "table string, part string, attempt string"
+Entry = tuple[str, str, str]
+
+
+class Commits:
+    """The versions of a store: which attempt holds each part of each table.
+
+    The newest ``keep`` commits and the folders they name stay, so a reader has the time of
+    ``keep - 1`` batches to read what it has opened.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, keep: int = 2):
+        if keep < 2:
+            raise ValueError("keep must be at least 2: a batch that runs again reads the commit before it")
+        self.spark = spark
+        self.path = path
+        self.keep = keep
+        self.tables: dict[str, ChangeLog] = {}
+
+    def versions(self) -> list[int]:
+        names = child_names(self.spark, self.path)
+        return sorted(int(n) for n in names if n.isdigit())
+
+    def newest(self, before: int | None = None) -> int | None:
+        return max((v for v in self.versions() if before is None or v < before), default=None)
+
+    def done(self, version: int) -> bool:
+        """Whether this version, or a later one, is committed."""
+        newest = self.newest()
+        return newest is not None and newest >= version
+
+    def entries(self, version: int | None) -> DataFrame:
+        """``table``, ``part``, ``attempt`` as of a version; nothing of None."""
+        if version is None:
+            return self.spark.createDataFrame([], ENTRY)
+        return self.spark.read.schema(ENTRY).parquet(self._folder(version))
+
+    def commit(self, version: int, changed: Sequence[Entry]) -> None:
+        """Make ``version``: the entries of the version before, with the changed ones in their place."""
+        if self.done(version):
+            return
+        new = self.spark.createDataFrame(list(changed), ENTRY)
+        old = self.entries(self.newest()).join(new, ["table", "part"], "left_anti")
+        draft = f"{self.path}/.draft-{uuid.uuid4().hex}"
+        old.unionByName(new).coalesce(1).write.parquet(draft)
+        move_new(self.spark, draft, self._folder(version))
+        self._forget()
+
+    def _forget(self) -> None:
+        """Drop commits beyond those kept, and the folders that only they name."""
+        versions = self.versions()
+        for version in versions[: -self.keep]:
+            kept = self.entries(versions[-self.keep])
+            for later in versions[1 - self.keep :]:
+                kept = kept.unionByName(self.entries(later))
+            for table, part, attempt in self.entries(version).join(kept, ["table", "part", "attempt"], "left_anti").collect():
+                delete_folder(self.spark, self.tables[table].folder(part, attempt))
+            delete_folder(self.spark, self._folder(version))
+
+    def _folder(self, version: int) -> str:
+        return f"{self.path}/{version:020d}"
 
 
 class ChangeLog:
     """One table: its schema, its key, and the column that splits it into parts.
 
-    Readers name the parts they need, so listing and reading stay proportional to those.
+    A table by itself keeps its own commits. Tables given the same ``commits`` and different names
+    change together: each stages its rows, then one commit takes the entries of all. Rows whose part
+    is null or empty are in the part ``none``.
     """
 
     def __init__(
-        self, spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], part: str
+        self,
+        spark: SparkSession,
+        path: str,
+        schema: T.StructType,
+        keys: Sequence[str],
+        part: str,
+        *,
+        commits: Commits | None = None,
+        name: str = "rows",
     ):
         self.spark = spark
-        self.path = path
+        self.path = f"{path}/{name}"
+        self.name = name
         self.keys = list(keys)
         self.part = part
+        self.commits = commits or Commits(spark, f"{path}/commits")
+        self.commits.tables[name] = self
         self.schema = T.StructType([*schema.fields, T.StructField("version", T.LongType())])
 
     def merge(self, rows: DataFrame, version: int, seq: Sequence[str | Column]) -> None:
         """Upsert one batch's rows: of a key's rows the last by ``seq`` stays, of equal ones the new."""
+        if not self.commits.done(version):
+            self.commits.commit(version, self.stage(rows, version, seq))
+
+    def stage(self, rows: DataFrame, version: int, seq: Sequence[str | Column]) -> list[Entry]:
+        """Write what `merge` would, and leave it to a commit to make it seen."""
         rows = rows.persist()
         try:
             parts = self.touched(rows)
             new = self._typed(rows).withColumn("_new", F.lit(1))
             old = self.newest(parts, before=version).drop("version").withColumn("_new", F.lit(0))
             both = latest_by_key(old.unionByName(new), self.keys, [*seq, "_new"])
-            self.replace(both.drop("_new"), version, parts)
+            return self._write(both.drop("_new"), version, parts)
         finally:
             rows.unpersist()
 
     def replace(self, rows: DataFrame, version: int, parts: Sequence[str]) -> None:
-        """Write ``parts`` whole as of ``version``, and drop what is older than the version before.
-
-        Rebalancing by part keeps files few without forcing a large part into one task.
-        """
+        """Put ``rows`` in place of all rows of ``parts``."""
+        if not self.commits.done(version):
+            self.commits.commit(version, self._write(rows, version, parts))
+
+    def _write(self, rows: DataFrame, version: int, parts: Sequence[str]) -> list[Entry]:
+        """Rebalancing by part keeps files few without forcing a large part into one task."""
+        if not parts:
+            return []
+        attempt = f"{version}-{uuid.uuid4().hex}"
         (
             self._typed(rows)
-            .withColumn("version", F.lit(version).cast("bigint"))
+            .withColumns({"version": F.lit(version).cast("bigint"), "attempt": F.lit(attempt)})
             .hint("rebalance", F.col(self.part))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(self.part, "version")
+            .write.mode("append")
+            .partitionBy(self.part, "attempt")
             .parquet(self.path)
         )
-        for part in parts:
-            for old in self.versions(part, before=version)[:-1]:
-                delete_folder(self.spark, self._folder(part, old))
+        return [(self.name, part, attempt) for part in parts]
 
     def touched(self, rows: DataFrame) -> list[str]:
         """The parts of a batch's rows."""
-        return [row[0] for row in rows.select(self.part).distinct().collect()]
+        return [row[0] for row in rows.select(self._part(rows)).distinct().collect()]
 
-    def versions(self, part: str, before: int | None = None) -> list[int]:
-        names = child_names(self.spark, f"{self.path}/{self.part}={part}")
-        found = sorted(int(n.removeprefix("version=")) for n in names if n.startswith("version="))
-        return found if before is None else [v for v in found if v < before]
+    def _part(self, rows: DataFrame) -> Column:
+        part = rows[self.part].cast("string")
+        return F.when(part != "", part).otherwise("none").alias(self.part)
+
+    def versions(self, part: str) -> list[int]:
+        """The versions that wrote rows of a part which are still there."""
+        names = child_names(self.spark, f"{self.path}/{path_segment(self.spark, self.part, part)}")
+        return sorted(int(n.removeprefix("attempt=").split("-")[0]) for n in names if n.startswith("attempt="))
 
     def newest(self, parts: Sequence[str], before: int | None = None) -> DataFrame:
-        """The newest snapshot of each named part, below ``before`` if given."""
-        last = [(p, self.versions(p, before)[-1:]) for p in parts]
-        return self._read([self._folder(p, v[0]) for p, v in last if v])
+        """The rows of the named parts as of the newest version, or the newest below ``before``."""
+        return self._read(self._named(parts, self.commits.newest(before)))
 
     def at(self, parts: Sequence[str], version: int) -> DataFrame:
-        """The named parts as one version wrote them."""
-        return self._read([self._folder(p, version) for p in parts if version in self.versions(p)])
+        """The rows of those named parts that a version wrote."""
+        known = version if version in self.commits.versions() else None
+        return self._read([(p, a) for p, a in self._named(parts, known) if a.startswith(f"{version}-")])
 
     def current(self, parts: Sequence[str] | None = None) -> DataFrame:
-        """The newest row of each key."""
-        if parts is None:
-            prefix = f"{self.part}="
-            names = child_names(self.spark, self.path)
-            parts = [n.removeprefix(prefix) for n in names if n.startswith(prefix)]
-        return self.newest(parts)
-
-    def _folder(self, part: str, version: int) -> str:
-        return f"{self.path}/{self.part}={part}/version={version}"
-
-    def _read(self, paths: Sequence[str]) -> DataFrame:
-        if not paths:
+        """The newest row of each key, of all parts unless some are named.
+
+        The commit is joined to the files by their part and attempt, so only files it names are
+        read, and the driver goes through no list of parts.
+        """
+        version = self.commits.newest()
+        if parts is not None:
+            return self.newest(parts)
+        named = self.commits.entries(version).filter(F.col("table") == self.name)
+        if version is None or named.isEmpty():
+            return self._read([])
+        files = self.spark.read.schema(self._stored()).parquet(self.path)
+        named = named.select(F.col("part").alias(self.part), "attempt")
+        return files.join(named, [self.part, "attempt"], "left_semi").select(*self.schema.names)
+
+    def folder(self, part: str, attempt: str) -> str:
+        return f"{self.path}/{path_segment(self.spark, self.part, part)}/attempt={attempt}"
+
+    def _named(self, parts: Sequence[str], version: int | None) -> list[tuple[str, str]]:
+        """The attempts that hold the named parts as of a version."""
+        wanted = (F.col("table") == self.name) & F.col("part").isin(list(parts))
+        return [(r.part, r.attempt) for r in self.commits.entries(version).filter(wanted).collect()]
+
+    def _stored(self) -> T.StructType:
+        return T.StructType([*self.schema.fields, T.StructField("attempt", T.StringType())])
+
+    def _read(self, named: Sequence[tuple[str, str]]) -> DataFrame:
+        if not named:
             nothing = (F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields)
             return self.spark.range(0).select(*nothing)
-        return self.spark.read.schema(self.schema).option("basePath", self.path).parquet(*paths)
+        reader = self.spark.read.schema(self._stored()).option("basePath", self.path)
+        return reader.parquet(*(self.folder(p, a) for p, a in named)).select(*self.schema.names)
 
     def _typed(self, rows: DataFrame) -> DataFrame:
         fields = [f for f in self.schema.fields if f.name != "version"]
-        return rows.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in fields))
+        return rows.select(*(self._part(rows) if f.name == self.part else F.col(f.name).cast(f.dataType).alias(f.name) for f in fields))

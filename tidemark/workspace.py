@@ -16,7 +16,7 @@ def shared_root(spark: SparkSession) -> str:
     if root:
         return root.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not (context.master == "local" or context.master.startswith("local[")):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     if context.applicationId not in _local_roots:
         _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="tidemark-")
@@ -67,3 +67,22 @@ def is_single_file(spark: SparkSession, path: str) -> bool:
 def delete_folder(spark: SparkSession, path: str) -> None:
     filesystem, location = _located(spark, path)
     filesystem.delete(location, True)
+
+
+def move_new(spark: SparkSession, path: str, target: str) -> None:
+    """Rename a folder to a name that nothing has yet, at once; it is an error if something has.
+
+    The file system must rename atomically, as local disks and HDFS do.
+    """
+    jvm, names = spark._jvm, spark._jvm.org.apache.hadoop.fs
+    source, to = names.Path(path), names.Path(target)
+    conf = spark._jsc.hadoopConfiguration()
+    context = names.FileContext.getFileContext(source.getFileSystem(conf).getUri(), conf)
+    plain = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    context.rename(source, to, plain)
+
+
+def path_segment(spark: SparkSession, column: str, value: str | None) -> str:
+    """The name of the folder that Spark gives a value of a partition column."""
+    utils = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return utils.getPartitionPathString(column, value)
