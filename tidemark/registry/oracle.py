@@ -127,6 +127,35 @@ ranked AS (
   WHERE rank <= 10
 ) {_RANKED_ROWS}"""
 
+def _either(rows: str, keys: str, every: int, seconds: int) -> str:
+    """Panes as a chain: each opens where the one before ended."""
+    per = f"PARTITION BY {keys}" if keys else ""
+    listed, same = (f"{keys}, ", f"USING ({keys}, i)") if keys else ("", "USING (i)")
+    firing = f"USING ({keys}, i)" if keys else "USING (i)"
+    last = f"JOIN (SELECT {listed}count(*) AS total FROM sequence GROUP BY ALL) " + (f"USING ({keys})" if keys else "ON true")
+    return f"""{rows},
+sequence AS (SELECT {listed}ts, row_number() OVER ({per} ORDER BY ts) AS i FROM source),
+jumps AS (
+  SELECT *, least(i + {every}, coalesce(due, total + 1)) AS next, i + {every} <= coalesce(due, total + 1) AS counted
+  FROM (SELECT *, min(i) OVER ({per} ORDER BY ts RANGE BETWEEN INTERVAL {seconds} SECOND FOLLOWING AND UNBOUNDED FOLLOWING) AS due
+        FROM sequence) {last}
+),
+chain AS (
+  SELECT {listed}i, next FROM jumps WHERE i = 1
+  UNION ALL
+  SELECT {", ".join(f"jumps.{k.strip()}" for k in keys.split(",")) + ", " if keys else ""}jumps.i, jumps.next FROM chain
+  JOIN jumps ON jumps.i = chain.next{"".join(f" AND jumps.{k.strip()} = chain.{k.strip()}" for k in keys.split(",")) if keys else ""}
+),
+panes AS (
+  SELECT {listed}CAST(jumps.next - 1 AS BIGINT) AS running_count, CASE WHEN counted THEN 'count' ELSE 'time' END AS fired_by,
+         CASE WHEN counted THEN ended.ts ELSE jumps.ts + INTERVAL {seconds} SECOND END AS fired
+  FROM chain JOIN jumps {same}
+  LEFT JOIN (SELECT {listed}i - {every} + 1 AS i, ts FROM sequence) ended {firing}
+)"""
+
+
+_COUNTER_EITHER = _either("WITH RECURSIVE source AS (SELECT ts FROM events WHERE user_id % 4 <> 0)", "", 2, 30)
+
 ORACLE: dict[str, str] = {
     "venue_events_count": f"{_COUNT} HAVING count(*) > 0",
     "hot_topics_10min": _hot_topics(_TEN_MINUTES),
@@ -165,6 +194,18 @@ SELECT window_start, window_end, topic_key, topic_name,
 FROM panes GROUP BY ALL""",
     "counter_panes": "WITH " + _COUNTER_PANES.format(columns=""),
     "counter_panes_fired": "WITH " + _COUNTER_PANES.format(columns="event_id,"),
+    "counter_panes_either": f"{_COUNTER_EITHER} SELECT running_count, fired_by, {_text('fired')} AS fired_at FROM panes",
+    "stream_counter_either": f"""{_COUNTER_EITHER} SELECT running_count, fired_by, {_text("fired")} AS fired_at FROM panes
+WHERE fired <= (SELECT max(ts) FROM source)""",
+    "topic_panes_either": _either(
+        f"""WITH RECURSIVE {_MENTIONS.strip()},
+source AS (SELECT {_window(_DAY)} AS window_start, topic_key, topic_name, ts FROM mentions)""",
+        "window_start, topic_key, topic_name", 5, 3600,
+    )
+    + f"""
+SELECT {_text("window_start")} AS window_start, {_text("window_start + INTERVAL 1 DAY")} AS window_end, topic_key, topic_name,
+       running_count, fired_by, {_text("fired")} AS fired_at
+FROM panes""",
     "envelope_projection": """
 SELECT event_id, epoch_us(ts) // 1000 AS timestamp,
        '{"event_id":' || event_id || ',"timestamp":' || (epoch_us(ts) // 1000)

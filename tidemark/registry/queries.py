@@ -34,6 +34,7 @@ from tidemark.operators.shaping import (
     routed_hot_topics,
 )
 from tidemark.operators.tables import schema_ddl, schema_string, stream_to_table, write_table
+from tidemark.operators.triggers import either_panes
 from tidemark.plans import trending
 from tidemark.schemas import GLOBAL_EVENTS, HOT_TOPICS, MESSAGE
 from tidemark.session import prepare
@@ -41,7 +42,7 @@ from tidemark.sources.event_records import attributed_messages_from_events, mess
 from tidemark.sources.messages import read_json_lines, read_table, splits, spread
 from tidemark.sources.records import project_records, with_attributes
 from tidemark.streaming import jobs, sinks
-from tidemark.streaming.panes import stream_count_panes
+from tidemark.streaming.panes import stream_count_panes, stream_either_panes
 from tidemark.workspace import child_names, path_exists, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -151,6 +152,10 @@ def _with_text_window(df: DataFrame) -> DataFrame:
     return df.withColumns({c: format_time(F.col(c)) for c in ("window_start", "window_end")})
 
 
+def _with_text_firing(panes: DataFrame) -> DataFrame:
+    return panes.withColumn("fired_at", format_time(F.col("fired_at")))
+
+
 def _ranked_rows(ranked: DataFrame) -> DataFrame:
     rows = ranked.withColumn("record_timestamp", pane_timestamp(F.col("window_end")))
     return _with_text_window(rows)
@@ -247,6 +252,20 @@ def counter_panes_fired(spark: SparkSession, folder: str) -> DataFrame:
     return fired_panes(kept, [], 2, [F.col("publish_ts"), F.col("event_id")]).drop("publish_ts")
 
 
+@query
+def counter_panes_either(spark: SparkSession, folder: str) -> DataFrame:
+    """The counter's panes: two messages, or 30 seconds after the first, whichever is first."""
+    kept = trending.venue_messages(_messages(spark, folder)).select("publish_ts")
+    return _with_text_firing(either_panes(kept, [], 2, 30, "publish_ts"))
+
+
+@query
+def topic_panes_either(spark: SparkSession, folder: str) -> DataFrame:
+    """A topic's panes of a day: five mentions, or an hour after the first."""
+    panes = either_panes(_daily_mentions(_messages(spark, folder)), TOPIC_WINDOW, 5, 3600, "publish_ts")
+    return _with_text_firing(_with_text_window(panes))
+
+
 # --- intake ------------------------------------------------------------------------------
 
 
@@ -640,6 +659,15 @@ def stream_counter_panes(spark: SparkSession, folder: str) -> DataFrame:
     return _run_to_files(panes, scratch_path(spark, "counter-panes"), replay.batches)
 
 
+@query
+def stream_counter_either(spark: SparkSession, folder: str) -> DataFrame:
+    """The panes that `counter_panes_either` has up to the newest message."""
+    replay = _message_replay(spark, folder)
+    kept = trending.venue_messages(replay.stream).select("publish_ts")
+    panes = stream_either_panes(kept, [], 2, 30, time="publish_ts")
+    return _with_text_firing(_run_to_files(panes, scratch_path(spark, "either-panes"), replay.batches))
+
+
 @query
 def stream_counter_timed(spark: SparkSession, folder: str) -> DataFrame:
     """The counter with a count trigger that is never reached: its timer shows the total."""

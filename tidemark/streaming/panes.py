@@ -10,6 +10,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
 
+from tidemark.operators import triggers
 from tidemark.operators.panes import expand_counts
 from tidemark.session import use_rocksdb_state
 
@@ -75,6 +77,92 @@ def stream_count_panes(
     return panes.select(*given, name, "fired_by")
 
 
+def stream_either_panes(
+    df: DataFrame,
+    keys: Sequence[str],
+    every: int,
+    after_seconds: float,
+    *,
+    time: str,
+    delay: str = "0 seconds",
+    name: str = "running_count",
+) -> DataFrame:
+    """`tidemark.operators.triggers.either_panes` on a stream, by the rows' own times.
+
+    A pane whose deadline comes first is fired when the watermark, ``delay`` behind the newest
+    row, has passed it. Batches in the order of time give the panes of the batch form, but for the
+    one still open. A row that comes later than that is counted in the pane then open, never lost.
+
+    The rows of a key in an Arrow batch travel as one array of times.
+    """
+    use_rocksdb_state(df.sparkSession)
+    inner = [f"k{i}" for i in range(len(keys))] or ["all_rows"]
+    columns = [F.col(c).alias(k) for c, k in zip(keys, inner)] or [F.lit(0).alias("all_rows")]
+    micros = F.coalesce(F.unix_micros(time), F.lit(triggers.NO_TIME))
+    rows = df.withWatermark(time, delay).select(*columns, micros.alias("micros"))
+    own = [rows.schema[k] for k in inner]
+    packed = rows.mapInArrow(_pack_times(inner), T.StructType([*own, T.StructField("times", T.ArrayType(T.LongType()))]))
+    fired = packed.groupBy(*inner).transformWithStateInPandas(
+        statefulProcessor=EitherTrigger(inner, every, int(after_seconds * 1_000_000)),
+        outputStructType=T.StructType([*own, *T.StructType.fromDDL("running_count long, fired_by string, micros long")]),
+        outputMode="append",
+        timeMode="EventTime",
+    )
+    fired_at = F.when(F.col("micros") > triggers.NO_TIME // 2, F.timestamp_micros("micros")).alias("fired_at")
+    return fired.select(*(F.col(k).alias(c) for c, k in zip(keys, inner)), F.col("running_count").alias(name), "fired_by", fired_at)
+
+
+def _pack_times(keys: list[str]):
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            grouped = pa.Table.from_batches([batch]).group_by(keys).aggregate([("micros", "list")])
+            yield from grouped.select([*keys, "micros_list"]).rename_columns([*keys, "times"]).to_batches()
+
+    return pack
+
+
+class EitherTrigger(StatefulProcessor):
+    """Per key: the rows so far, and the open pane with a timer at its deadline."""
+
+    def __init__(self, keys: list[str], every: int, after: int):
+        self.keys, self.every, self.after = keys, every, after
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.progress = handle.getValueState("progress", "total bigint, held bigint, deadline bigint")
+
+    def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803
+        times = np.sort(np.concatenate([np.asarray(t, np.int64) for frame in rows for t in frame["times"]]))
+        total, *open_pane = self.progress.get() or (0, *triggers.NOTHING)
+        panes, open_pane = triggers.panes_of(times, self.every, self.after, tuple(open_pane), total)
+        self.progress.update((total + len(times), *open_pane))
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(_millis(timer))
+        if open_pane[0]:
+            self.handle.registerTimer(self._due(open_pane[1]))
+        if panes:
+            yield self._frame(key, panes)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # noqa: N802, N803
+        total, held, deadline = self.progress.get() or (0, *triggers.NOTHING)
+        if held and self._due(deadline) <= expiredTimerInfo.getExpiryTimeInMs():
+            self.progress.update((total, *triggers.NOTHING))
+            yield self._frame(key, [(total, "time", deadline)])
+
+    def close(self) -> None:
+        pass
+
+    def _due(self, deadline: int) -> int:
+        """The first whole millisecond that is not before the deadline; 0 where there is no time."""
+        return max(0, -(-deadline // 1000))
+
+    def _frame(self, key, panes: list[tuple[int, str, int]]) -> pd.DataFrame:
+        frame = pd.DataFrame(panes, columns=["running_count", "fired_by", "micros"])
+        for place, (name, value) in enumerate(zip(self.keys, key, strict=True)):
+            frame.insert(place, name, value)
+        return frame
+
+
 def _field(name: str) -> T.StructField:
     return T.StructField(name, T.LongType())
 
