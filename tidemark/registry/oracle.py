@@ -279,6 +279,12 @@ FROM events WHERE user_id % 4 <> 0""",
 SELECT o_custkey, string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY rank) AS orders
 FROM ({_top("orders", "o_custkey, o_orderkey", "o_totalprice DESC, o_orderkey", 3, "o_custkey")})
 GROUP BY o_custkey""",
+    "top_n_comparator": """
+WITH told AS (SELECT o_custkey, o_orderkey, CAST(o_orderkey AS VARCHAR) AS name FROM orders)
+SELECT a.o_custkey, a.o_orderkey, CAST(1 + count(b.o_orderkey) AS BIGINT) AS rank
+FROM told a LEFT JOIN told b ON a.o_custkey = b.o_custkey
+  AND (b.name || a.name > a.name || b.name OR (b.name || a.name = a.name || b.name AND b.o_orderkey < a.o_orderkey))
+GROUP BY a.o_custkey, a.o_orderkey HAVING count(b.o_orderkey) < 3""",
     "latest_by_key": """
 SELECT o_custkey, o_orderkey, o_totalprice FROM (
   SELECT *, row_number() OVER (PARTITION BY o_custkey

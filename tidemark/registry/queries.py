@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.times import event_time, format_time, pane_timestamp
 from tidemark.operators import ranking
+from tidemark.operators.comparing import top_n_compared
 from tidemark.operators.counts import count_per_window
 from tidemark.operators.intake import (
     decode_messages,
@@ -483,6 +484,17 @@ def resorted_list(spark: SparkSession, folder: str) -> DataFrame:
     return listed.select("o_custkey", F.concat_ws(",", resorted.cast("array<string>")).alias("orders"))
 
 
+@query
+def top_n_comparator(spark: SparkSession, folder: str) -> DataFrame:
+    """Per customer, the three orders whose numbers come first when they are to spell the largest number together."""
+    orders = read_table(spark, folder, "orders").select("o_custkey", "o_orderkey")
+
+    def less_than(a: dict, b: dict) -> bool:
+        return f"{a['o_orderkey']}{b['o_orderkey']}" < f"{b['o_orderkey']}{a['o_orderkey']}"
+
+    return top_n_compared(orders, 3, less_than, per=["o_custkey"], ties=["o_orderkey"])
+
+
 @query
 def latest_by_key(spark: SparkSession, folder: str) -> DataFrame:
     orders = read_table(spark, folder, "orders").select(
