@@ -368,6 +368,32 @@ def test_rows_dropped_as_late_are_reported(spark, tmp_path):
     assert jobs.late_rows(query) == 1
 
 
+def test_late_rows_are_kept_apart(spark, tmp_path):
+    """Rows kept and rows late make up rows read, one without a time among them."""
+    path = str(tmp_path / "m")
+    for batch in ([0, 5], [7200], [7300, 60, None], [100, 7250, 9000], [20000]):
+        payloads = [(message([("a", "A")]), s) for s in batch if s is not None]
+        frame = messages(spark, payloads)
+        if None in batch:
+            frame = frame.unionByName(frame.limit(1).withColumn("timestamp", F.lit(None).cast("timestamp")))
+        frame.coalesce(1).write.mode("append").parquet(path)
+        time.sleep(0.05)
+    source = read_message_files(spark, path, streaming=True, max_files_per_trigger=1)
+    query = jobs.start_final_hot_topics(
+        source, sinks.publish_files(str(tmp_path / "o")), checkpoint=str(tmp_path / "c"), watermark="10 minutes",
+        late=sinks.store_late(str(tmp_path / "late")), trigger=NOW,
+    )
+    query.awaitTermination()
+    late = spark.read.parquet(str(tmp_path / "late"))
+    assert rows(late.select(as_text("window_start"), "topic_key", "rows", "batch")) == sorted(
+        [("2024-05-01 12:00:00", "a", 1, 2), (None, "a", 1, 2), ("2024-05-01 12:00:00", "a", 1, 3)], key=repr
+    )
+    records = spark.read.text(str(tmp_path / "o")).select(F.from_json("value", "output struct<topics array<struct<score bigint>>>").alias("r"))
+    scores = rows(records.select(F.explode("r.output.topics.score")))
+    assert scores == [(1,), (2,), (3,)]
+    assert sum(s for s, in scores) + late.count() + 1 == spark.read.parquet(path).count()  # the newest window is still open
+
+
 def test_texts_and_folders_are_in_utc_whatever_the_session(spark, stream, batch, tmp_path):
     expected = rows(trending.hot_topics_envelopes(trending.hot_topics(batch, n=3)))
     zone = "spark.sql.session.timeZone"

@@ -318,6 +318,13 @@ SELECT 0, NULL, NULL, events FROM ({_COUNT})""",
     "stream_final_hot_topics": f"""WITH {_documents(_DAY)}
 SELECT {_DOCUMENT_MESSAGE} AS value FROM documents
 WHERE window_end <= (SELECT max(ts) FROM kept) - INTERVAL 1 HOUR""",
+    "stream_late_rows": f"""WITH {_MENTIONS},
+closed AS (SELECT epoch_ms(max(ts)) - 3600000 AS until FROM mentions WHERE event_id % 10 <> 0),
+days AS (SELECT *, {_window(_DAY)} AS window_start, {_window(_DAY)} + INTERVAL 1 DAY AS window_end FROM mentions)
+SELECT {_text("window_start")} AS window_start, {_text("window_end")} AS window_end, topic_key, topic_name,
+       count(*) FILTER (event_id % 10 <> 0 OR epoch_ms(window_end) > until) AS kept,
+       count(*) FILTER (event_id % 10 = 0 AND epoch_ms(window_end) <= until) AS late
+FROM days CROSS JOIN closed GROUP BY ALL""",
     "stream_topic_panes": f"""WITH {_PANES}
 SELECT window_start, window_end, topic_key, topic_name, running_count, 'count' AS fired_by
 FROM panes""",

@@ -43,6 +43,7 @@ from tidemark.sources.event_records import attributed_messages_from_events, mess
 from tidemark.sources.messages import read_json_lines, read_table, splits, spread
 from tidemark.sources.records import project_records, with_attributes
 from tidemark.streaming import jobs, sinks
+from tidemark.streaming.lateness import CLOSED, KEPT, LATE, stream_window_counts
 from tidemark.streaming.panes import stream_count_panes, stream_either_panes
 from tidemark.workspace import child_names, path_exists, scratch_path
 
@@ -657,6 +658,22 @@ def stream_final_hot_topics(spark: SparkSession, folder: str) -> DataFrame:
     return _published(spark, f"{out}/values")
 
 
+@query
+def stream_late_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Mentions per day and topic that were counted, and that came after their day was closed.
+
+    Every tenth event is held back and comes in a last batch.
+    """
+    events = read_table(spark, folder, "events").select(*EVENT_COLUMNS)
+    held_back = F.coalesce(F.col("event_id") % 10 == 0, F.lit(False))
+    replay = _replay(spark, *_time_slices(events.filter(~held_back)), events.filter(held_back))
+    mentions = trending.topic_mentions(messages_from_events(replay.stream))
+    counts = stream_window_counts(mentions, ["topic_key", "topic_name"], size=DAY, delay="1 hour")
+    rows = _run_to_files(counts, scratch_path(spark, "late"), replay.batches).filter(F.col("kind") != CLOSED)
+    sums = [F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("rows"))), F.lit(0)).alias(kind) for kind in (KEPT, LATE)]
+    return _with_text_window(rows.groupBy(*TOPIC_WINDOW).agg(*sums))
+
+
 @query
 def stream_topic_panes(spark: SparkSession, folder: str) -> DataFrame:
     replay = _message_replay(spark, folder)

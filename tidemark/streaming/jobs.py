@@ -26,6 +26,7 @@ from tidemark.plans.trending import (
 )
 from tidemark.schemas import RANKED_TOPIC
 from tidemark.session import use_rocksdb_state
+from tidemark.streaming.lateness import CLOSED, LATE, stream_window_counts
 from tidemark.streaming.panes import stream_count_panes
 from tidemark.streaming.sinks import Publisher, ResultStore, tap
 from tidemark.streaming.store import ChangeLog
@@ -146,18 +147,35 @@ def start_final_hot_topics(
     n: int = TOP,
     size: str = WINDOW,
     watermark: str,
+    late: Publisher | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """One record per window, when the watermark has passed its end.
 
     A closing window leaves the state whole, in one batch, so ranking that batch is exact.
+
+    With ``late``, mentions behind the watermark are not dropped: each batch hands them to it, by
+    window and topic with their number (see `tidemark.streaming.lateness`), those without a time
+    too; `sinks.store_late` keeps them in a table.
     """
     use_rocksdb_state(messages.sparkSession)
-    scores = topic_scores(topic_mentions(messages), size=size, watermark=watermark)
+    mentions = topic_mentions(messages)
 
     def step(closed: DataFrame, batch_id: int) -> None:
         publish(hot_topics_envelopes(rank_topics(closed, n)), batch_id)
 
+    def step_with_late(counts: DataFrame, batch_id: int) -> None:
+        counts = counts.persist()
+        try:
+            late(counts.filter(F.col("kind") == LATE).drop("kind", "score"), batch_id)
+            step(counts.filter(F.col("kind") == CLOSED).drop("kind", "rows"), batch_id)
+        finally:
+            counts.unpersist()
+
+    if late is not None:
+        counts = stream_window_counts(mentions, ["topic_key", "topic_name"], size=size, delay=watermark)
+        return _start(counts, "append", step_with_late, checkpoint, trigger or {"processingTime": EARLY})
+    scores = topic_scores(mentions, size=size, watermark=watermark)
     return _start(scores, "append", step, checkpoint, trigger or {"processingTime": EARLY})
 
 

@@ -68,6 +68,16 @@ def publish_files(path: str) -> Publisher:
     return publish
 
 
+def store_late(path: str) -> Publisher:
+    """Late rows into a table of their own, one folder per batch that has some; repeating a batch replaces its folder."""
+
+    def store(rows: DataFrame, batch_id: int) -> None:
+        if not rows.isEmpty():
+            rows.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return store
+
+
 def publish_kafka(servers: str, topic: str, **options: str) -> Publisher:
     """Envelopes to a Kafka topic, ``attributes`` as headers. Needs Spark's Kafka package on the classpath."""
 
