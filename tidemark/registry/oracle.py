@@ -331,6 +331,7 @@ FROM panes""",
     "stream_counter_panes": f"""
 SELECT running_count, 'count' AS fired_by FROM (WITH {_COUNTER_PANES.format(columns="")})""",
     "stream_dedup": "SELECT event_id FROM events WHERE user_id % 4 <> 0",
+    "stream_message_log": "SELECT event_id FROM events WHERE user_id % 4 <> 0",
     "stream_counter_timed": "SELECT CAST(count(*) AS BIGINT) AS events FROM events WHERE user_id % 4 <> 0",
     "stream_table_sink": """
 SELECT CAST(event_id AS BIGINT) AS event_id, CASE user_id % 5 WHEN 0 THEN 'us' WHEN 1 THEN 'gb' WHEN 2 THEN 'fr'

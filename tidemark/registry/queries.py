@@ -40,6 +40,7 @@ from tidemark.plans import trending
 from tidemark.schemas import GLOBAL_EVENTS, HOT_TOPICS, MESSAGE
 from tidemark.session import prepare
 from tidemark.sources.event_records import attributed_messages_from_events, messages_from_events, raw_records_from_events
+from tidemark.sources.message_log import append_messages, read_message_log
 from tidemark.sources.messages import read_json_lines, read_table, splits, spread
 from tidemark.sources.records import project_records, with_attributes
 from tidemark.streaming import jobs, sinks
@@ -763,6 +764,21 @@ def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return _run_to_files(once, scratch_path(spark, "dedup"), twice.batches)
 
 
+@query
+def stream_message_log(spark: SparkSession, folder: str) -> DataFrame:
+    """The table appended to a message log span by span, and read by one stream that is started anew after each."""
+    out = scratch_path(spark, "log")
+    path = out.removeprefix("file://") + "/messages"
+    stream = read_message_log(spark, path, streaming=True)
+    kept = trending.venue_messages(stream.select("value", "timestamp", "partition", "offset"))
+    ids = parse_messages(kept, T.StructType([MESSAGE["event_id"]])).select(F.col("event_id").cast("bigint").alias("event_id"))
+    rows = spark.createDataFrame([], ids.schema)
+    for part in _time_slices(read_table(spark, folder, "events").select(*EVENT_COLUMNS)):
+        append_messages(messages_from_events(part), path, partitions=4, segment_rows=1000)
+        rows = _run_to_files(ids, out, 0)
+    return rows
+
+
 @query
 def stream_table_sink(spark: SparkSession, folder: str) -> DataFrame:
     """Message ids and countries streamed into a table of a declared schema."""
