@@ -16,7 +16,8 @@ from tidemark.operators.shaping import (
     routed_counts,
     routed_hot_topics,
 )
-from tidemark.operators.tables import schema_ddl, schema_string, select_schema, write_table
+from tidemark.operators import tables
+from tidemark.operators.tables import schema_ddl, schema_string, select_schema, write_batch, write_table
 from tidemark.plans import trending
 from tidemark.schemas import GLOBAL_EVENTS, HOT_TOPICS, TOPICS_PER_COUNTRY
 from tidemark.streaming.sinks import tap
@@ -201,3 +202,30 @@ def test_each_payload_is_parsed_once(frame):
     for by_country in (False, True):
         plan = trending.hot_topics(frame, by_country=by_country)._jdf.queryExecution().executedPlan()
         assert plan.toString().count("from_json") == 1
+
+
+def test_a_batch_is_appended_once(spark, tmp_path, monkeypatch):
+    schema = {"id": "INTEGER", "name": "STRING"}
+    path, frame = str(tmp_path / "once"), spark.createDataFrame([(1, "a", 9), (2, None, 9)], "id int, name string, x int")
+    try:
+        monkeypatch.setattr(tables, "move_new", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):  # killed before it has its place
+            write_batch(frame, "once_test", schema, "it's 1/2", path=path)
+        monkeypatch.undo()
+        assert not spark.catalog.tableExists("once_test")
+        assert write_batch(frame, "once_test", schema, "it's 1/2", path=path)
+        assert not write_batch(frame.limit(0), "once_test", schema, "it's 1/2", path=path)
+        assert write_batch(frame.filter("id = 2"), "once_test", schema, "b", path=path)
+        expected = [(1, "a", "it's 1/2"), (2, None, "b"), (2, None, "it's 1/2")]
+        assert sorted(map(tuple, spark.table("once_test").collect()), key=repr) == sorted(expected, key=repr)
+        monkeypatch.setattr(tables, "path_exists", lambda spark, at, seen=[]: bool(seen) or seen.append(at))
+        assert not write_batch(frame, "once_test", schema, "b", path=path)  # another writer was first to finish
+        monkeypatch.undo()
+        assert spark.table("once_test").count() == 3
+        spark.sql("DROP TABLE once_test")
+        assert not write_batch(frame, "once_test", schema, "b", path=path)  # the folders are the ledger
+        assert spark.table("once_test").count() == 3
+    finally:
+        spark.sql("DROP TABLE IF EXISTS once_test")
+    with pytest.raises(ValueError):
+        write_batch(frame, "once_test", {"batch": "STRING"}, "b", path=path)

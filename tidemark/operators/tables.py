@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.workspace import delete_folder, move_new, path_exists, path_segment
+
 # Warehouse type name -> Spark type. Fixed values.
 TYPES = {
     "STRING": "string",
@@ -56,6 +60,41 @@ def write_table(
     writer.saveAsTable(table)
 
 
+def write_batch(df: DataFrame, table: str, schema: Mapping[str, str], batch: str, *, path: str) -> bool:
+    """Append a named batch to a catalog table kept at ``path``, once: whether it was not there yet.
+
+    The table has ``batch`` as a further column, which splits its files. A batch is written beside
+    the table and gets its place by one rename, so readers see all of it or nothing, a write that
+    is killed leaves nothing that counts, and the folders are the ledger of what was written. A
+    batch that is there already is left as it is, whatever ``df`` holds now; of two writers of one
+    batch the first to finish counts. ``table`` is made if it is missing, from any folders there.
+    """
+    spark = df.sparkSession
+    if not batch:
+        raise ValueError("a batch needs a name")
+    if "batch" in (column.lower() for column in schema):
+        raise ValueError("batch is a column of the table's own")
+    target = f"{path}/{path_segment(spark, 'batch', batch)}"
+    written = False
+    if not path_exists(spark, target):
+        draft = f"{path}/.draft-{uuid.uuid4().hex}"
+        select_schema(df, schema).write.parquet(draft)
+        try:
+            move_new(spark, draft, target)
+            written = True
+        except Py4JJavaError:
+            delete_folder(spark, draft)
+            if not path_exists(spark, target):
+                raise
+    if not spark.catalog.tableExists(table):
+        columns = f"{schema_ddl(schema)}, `batch` string"
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY (batch) LOCATION '{path}'")
+        spark.sql(f"MSCK REPAIR TABLE {table}")
+    name = batch.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION (batch = '{name}') LOCATION '{target}'")
+    return written
+
+
 def stream_to_table(
     df: DataFrame,
     table: str,

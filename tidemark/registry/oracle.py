@@ -308,6 +308,8 @@ SELECT 'GLOBAL_EVENTS', 0, NULL, 0, NULL, NULL, events FROM ({_COUNT})""",
 SELECT c_custkey, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal,
        'c_custkey:INTEGER, c_nationkey:INTEGER, c_acctbal:FLOAT' AS declared
 FROM customer""",
+    "table_batches_once": """
+SELECT o_orderkey, o_totalprice, o_orderpriority AS batch, CAST(0 AS BIGINT) AS differing FROM orders""",
     "stream_counter": _COUNT,
     "stream_hot_topics": _hot_topics(_TEN_MINUTES),
     "stream_hot_topics_from_panes": _SHOWN_TOPICS,

@@ -34,7 +34,7 @@ from tidemark.operators.shaping import (
     routed_counts,
     routed_hot_topics,
 )
-from tidemark.operators.tables import schema_ddl, schema_string, stream_to_table, write_table
+from tidemark.operators.tables import schema_ddl, schema_string, stream_to_table, write_batch, write_table
 from tidemark.operators.triggers import either_panes
 from tidemark.plans import trending
 from tidemark.schemas import GLOBAL_EVENTS, HOT_TOPICS, MESSAGE
@@ -571,6 +571,22 @@ def table_sink_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return stored.withColumn("declared", F.lit(schema_string(schema)))
 
 
+@query
+def table_batches_once(spark: SparkSession, folder: str) -> DataFrame:
+    """The orders appended in a batch for each priority, every batch twice."""
+    schema = {"o_orderkey": "INTEGER", "o_totalprice": "FLOAT"}
+    path = scratch_path(spark, "batches")
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    orders = read_table(spark, folder, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
+    priorities = sorted(r[0] for r in orders.select("o_orderpriority").distinct().collect())  # five kinds
+    for priority in [*priorities, *priorities]:
+        write_batch(orders.filter(F.col("o_orderpriority") == priority), table, schema, priority, path=path)
+    stored = spark.read.schema(f"{schema_ddl(schema)}, batch string").parquet(path)
+    found = spark.table(table).exceptAll(stored).count() + stored.exceptAll(spark.table(table)).count()
+    spark.sql(f"DROP TABLE {table}")  # the files at its path stay
+    return stored.withColumn("differing", F.lit(found).cast("bigint"))
+
+
 # --- streams, run over all the input there is --------------------------------------------
 
 
