@@ -302,6 +302,27 @@ def test_unknown_category_stores_nothing(spark, tmp_path):
     assert store.hot_topics.current().count() == store.stats.current().count() == 0
 
 
+def test_bad_deliveries_are_set_aside_with_their_reason(spark, tmp_path):
+    store = sinks.ResultStore(spark, str(tmp_path), strict=False)
+    good = _delivery(spark, [_ranking(7, 1), _count(2)])
+    texts = {
+        '{"category":"TOPICS_PER_COUNTRY","output":1}': "unknown category", '{"output":1}': "unknown category", "[1, 2]": "not a JSON object",
+        '{"category":"GLOBAL_EVENTS"': "not a JSON object", '{"category":"GLOBAL_EVENTS","output":"x"}': "unreadable output",
+        '{"category":"GLOBAL_EVENTS","output":1.5}': "unreadable output", '{"category":"GLOBAL_EVENTS"}': "unreadable output",
+        '{"category":"HOT_TOPICS","output":{"topics":[]}}': "unreadable output", '{"category":"HOT_TOPICS","output":3}': "unreadable output",
+    }
+    bad = _delivery(spark, list(texts))
+    raw = spark.createDataFrame([("%%%", START), (None, None), ("/w==", START)], bad.schema)
+    store.apply(good.unionByName(bad).unionByName(raw), 0)
+    assert rows(store.stats.current(), "events") == [(2,)] and rows(store.hot_topics.current(), "timestamp") == [(7,)]
+    aside = store.aside.current()
+    got = {(r.text, r.reason) for r in aside.select(F.unbase64(F.when(F.length("data") > 4, F.col("data"))).cast("string").alias("text"), "reason").collect()}
+    assert got == {*texts.items(), (None, "not base64"), (None, "not UTF-8")} and aside.count() == len(texts) + 3
+    store.apply(raw, 1)
+    store.apply(good, 2)
+    assert rows(store.aside.current().groupBy("batch").count()) == [("0", len(texts) + 3), ("1", 3)]
+
+
 def test_publish_store_pipeline(spark, stream, batch, tmp_path):
     jobs.start_counter(
         stream,

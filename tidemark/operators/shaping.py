@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.once import once
-from tidemark.functions.payload import decode_utf8, encode_json, parse_json
+from tidemark.functions.payload import decode_utf8, encode_json, is_unusable, parse_json
 from tidemark.functions.times import format_time, pane_timestamp
 from tidemark.operators.ranking import ranks_to_list
 from tidemark.schemas import GLOBAL_EVENTS, HOT_TOPICS, HOT_TOPICS_OUTPUT
@@ -58,6 +58,39 @@ def decode_delivery(deliveries: DataFrame, data: str = "data") -> DataFrame:
     return deliveries.select(*others, once(envelope).alias("_envelope")).select(*others, "_envelope.*")
 
 
+def examine_deliveries(
+    deliveries: DataFrame, data: str = "data", known: Sequence[str] = (HOT_TOPICS, GLOBAL_EVENTS)
+) -> DataFrame:
+    """`decode_delivery` for deliveries of any kind: ``data`` and the other columns stay, and beside
+    ``category`` and ``output`` stands a ``reason`` if no store can take the delivery, else null.
+
+    Reasons are ``not base64``, ``not UTF-8``, ``not a JSON object``, ``unknown category`` and ``unreadable
+    output``: a record without topics or time, or a count that is no whole number.
+    """
+    others = [c for c in deliveries.columns if c not in ("category", "output", "reason")]
+    raw = F.try_to_binary(F.col(data), F.lit("base64"))
+    text = decode_utf8(raw)
+    found = F.struct(
+        F.when(raw.isNull(), F.lit("not base64"))
+        .when(text.isNull(), F.lit("not UTF-8"))
+        .when(is_unusable(text), F.lit("not a JSON object"))
+        .alias("broken"),
+        parse_json(text, _ENVELOPE).alias("envelope"),
+    )
+    envelope = deliveries.select(*others, once(found).alias("_found")).select(
+        *others, F.col("_found.envelope.category").alias("category"), F.col("_found.envelope.output").alias("output"), F.col("_found.broken").alias("reason")
+    )
+    record = parse_json(_output_of(HOT_TOPICS), HOT_TOPICS_OUTPUT)
+    unreadable = (
+        F.when(F.col("category") == HOT_TOPICS, record["topics"].isNull() | record["timestamp"].isNull())
+        .when(F.col("category") == GLOBAL_EVENTS, F.col("output").try_cast("bigint").isNull())
+        .otherwise(F.lit(False))
+    )
+    unknown = ~F.coalesce(F.col("category").isin(*known), F.lit(False))
+    reason = F.coalesce(F.col("reason"), F.when(unknown, F.lit("unknown category")).when(unreadable, F.lit("unreadable output")))
+    return envelope.withColumn("reason", reason)
+
+
 def route(
     envelopes: DataFrame, category: str, known: Sequence[str] = (HOT_TOPICS, GLOBAL_EVENTS)
 ) -> DataFrame:

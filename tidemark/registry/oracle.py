@@ -317,6 +317,11 @@ SELECT o_orderkey, o_totalprice, o_orderpriority AS batch, CAST(0 AS BIGINT) AS
 SELECT timestamp, window_start, topics, CAST(0 AS BIGINT) AS events FROM documents
 UNION ALL
 SELECT 0, NULL, NULL, events FROM ({_COUNT})""",
+    "stream_store_aside": """
+SELECT ['unknown category', 'unreadable output', 'not a JSON object', 'not UTF-8', 'not base64'][user_id % 6] AS reason, count(*) AS value
+FROM events WHERE user_id % 6 > 0 GROUP BY reason
+UNION ALL
+SELECT 'stored', event_id FROM events WHERE user_id % 6 = 0 QUALIFY row_number() OVER (ORDER BY ts DESC, event_id DESC) = 1""",
     "stream_final_hot_topics": f"""WITH {_documents(_DAY)}
 SELECT {_DOCUMENT_MESSAGE} AS value FROM documents
 WHERE window_end <= (SELECT max(ts) FROM kept) - INTERVAL 1 HOUR""",

@@ -658,6 +658,22 @@ def stream_store(spark: SparkSession, folder: str) -> DataFrame:
     return together.fillna(0, ["timestamp", "events"])
 
 
+@query
+def stream_store_aside(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts delivered one by one, many of them damaged: what is stored, set aside and why."""
+    out = scratch_path(spark, "aside")
+    events, batches = _replay(spark, *_time_slices(read_table(spark, folder, "events").select(*EVENT_COLUMNS)))
+    category = F.when(F.col("user_id") % 6 == 1, F.lit("TOPICS_PER_COUNTRY")).otherwise(F.lit(GLOBAL_EVENTS))
+    output = F.when(F.col("user_id") % 6 == 2, F.lit('"many"')).otherwise(F.col("event_id").cast("string"))
+    text = F.concat(F.lit('{"category":"'), category, F.lit('","output":'), output, F.when(F.col("user_id") % 6 == 3, F.lit("")).otherwise(F.lit("}")))
+    body = F.when(F.col("user_id") % 6 == 4, F.unhex(F.lit("FF"))).otherwise(F.encode(text, "UTF-8"))
+    data = F.when(F.col("user_id") % 6 == 5, F.lit("%")).otherwise(F.base64(body)).alias("data")
+    store = sinks.ResultStore(spark, f"{out}/tables", strict=False)
+    _finish(jobs.start_store(events.select(data, F.col("ts").alias("publish_ts")), store, checkpoint=f"{out}/state", trigger=AT_ONCE), batches)
+    aside = store.aside.current().groupBy("reason").agg(F.count("*").alias("value"))
+    return aside.unionByName(store.stats.current().select(F.lit("stored").alias("reason"), F.col("events").alias("value")))
+
+
 @query
 def stream_final_hot_topics(spark: SparkSession, folder: str) -> DataFrame:
     """One record per window the watermark has closed."""

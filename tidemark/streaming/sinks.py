@@ -10,9 +10,9 @@ from pyspark.sql import types as T
 
 from tidemark.functions.times import format_time
 from tidemark.operators.ranking import latest_by_key
-from tidemark.operators.shaping import decode_delivery, routed_counts, routed_hot_topics
+from tidemark.operators.shaping import decode_delivery, examine_deliveries, routed_counts, routed_hot_topics
 from tidemark.schemas import HOT_TOPICS_OUTPUT
-from tidemark.streaming.store import ChangeLog, Commits
+from tidemark.streaming.store import ChangeLog, Commits, Entry
 
 #: Envelopes in one published file.
 LINES_PER_FILE = 100_000
@@ -38,6 +38,16 @@ STORED_STATS = T.StructType(
     ]
 )
 
+ASIDE = T.StructType(
+    [
+        T.StructField("data", T.StringType()),
+        T.StructField("publish_ts", T.TimestampType()),
+        T.StructField("category", T.StringType()),
+        T.StructField("reason", T.StringType()),
+        T.StructField("batch", T.StringType()),
+    ]
+)
+
 
 def tap(df: DataFrame, name: str | Observation, time: str | None = None) -> DataFrame:
     """Pass rows through and report their number (and time span) as they flow.
@@ -102,13 +112,17 @@ def as_deliveries(messages: DataFrame) -> DataFrame:
 class ResultStore:
     """The two stored tables: ``hot_topics``, one row per record time, and one-row ``stats``.
 
-    A batch changes both by one commit, so no reader sees one of them ahead of the other.
+    A batch changes both by one commit, so no reader sees one of them ahead of the other. With
+    ``strict`` a delivery that neither can take fails its batch. Otherwise it is set aside, by the
+    same commit, in the table ``aside``: what came, when, and the reason.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, *, strict: bool = True):
+        self.strict = strict
         self.commits = Commits(spark, f"{path}/commits")
         self.hot_topics = ChangeLog(spark, path, STORED_TOPICS, ["timestamp"], "day", commits=self.commits, name="hot_topics")
         self.stats = ChangeLog(spark, path, STORED_STATS, ["id"], "block", commits=self.commits, name="stats")
+        self.aside = ChangeLog(spark, path, ASIDE, [], "batch", commits=self.commits, name="aside")
 
     def apply(self, deliveries: DataFrame, batch_id: int) -> None:
         """Decode one batch of deliveries (``data``, ``publish_ts``) and upsert it by category.
@@ -118,15 +132,24 @@ class ResultStore:
         """
         if self.commits.done(batch_id):
             return
-        envelopes = decode_delivery(deliveries).persist()
+        envelopes = decoded = (decode_delivery(deliveries) if self.strict else examine_deliveries(deliveries)).persist()
         try:
+            entries = []
+            if not self.strict:
+                entries += self._set_aside(envelopes.filter("reason IS NOT NULL"), batch_id)
+                envelopes = envelopes.filter("reason IS NULL").drop("data", "reason")
             topics = _topic_rows(routed_hot_topics(envelopes))
             stats = _stats_rows(routed_counts(envelopes))
-            entries = self.hot_topics.stage(topics, batch_id, ["publish_ts", "mentions"])
+            entries += self.hot_topics.stage(topics, batch_id, ["publish_ts", "mentions"])
             entries += self.stats.stage(stats, batch_id, ["publish_ts", "events"])
             self.commits.commit(batch_id, entries)
         finally:
-            envelopes.unpersist()
+            decoded.unpersist()
+
+    def _set_aside(self, rows: DataFrame, batch_id: int) -> list[Entry]:
+        """All of a batch's bad deliveries are a part of their own, which no other batch touches."""
+        kept = rows.select("data", "publish_ts", "category", "reason", F.lit(str(batch_id)).alias("batch"))
+        return self.aside.put(kept, batch_id)
 
 
 def _topic_rows(records: DataFrame) -> DataFrame:

@@ -137,6 +137,10 @@ class ChangeLog:
         if not self.commits.done(version):
             self.commits.commit(version, self._write(rows, version, parts))
 
+    def put(self, rows: DataFrame, version: int) -> list[Entry]:
+        """Write ``rows`` in place of all rows of the parts they have, for a commit to make seen."""
+        return self._write(rows, version, self.touched(rows))
+
     def _write(self, rows: DataFrame, version: int, parts: Sequence[str]) -> list[Entry]:
         """Rebalancing by part keeps files few without forcing a large part into one task."""
         if not parts:
