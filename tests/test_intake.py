@@ -4,7 +4,7 @@ import pytest
 from helpers import ABSENT, message, messages, rows, texts
 from pyspark.sql import functions as F
 
-from tidemark.functions.payload import encode_json
+from tidemark.functions.payload import at_path, encode_json, variant_state
 from tidemark.functions.times import event_time, format_time, pane_timestamp
 from tidemark.operators.intake import quarantine_groups  # noqa: E402
 from tidemark.operators.intake import (
@@ -17,7 +17,7 @@ from tidemark.operators.intake import (
 )
 from tidemark.operators.topics import explode_topics
 from tidemark.plans import trending
-from tidemark.schemas import GROUP_ONLY
+from tidemark.schemas import GROUP_ONLY, OPEN_MESSAGE
 from tidemark.sources.messages import spread
 from tidemark.sources.records import project_records, with_attributes
 
@@ -173,3 +173,15 @@ def test_unreadable_groups_are_set_aside(spark):
     frame = decode_messages(messages(spark, good + bad + unusable))
     assert rows(quarantine_groups(frame), "text") == sorted([(t,) for t in bad], key=repr)
     assert quarantine_groups(frame).columns == frame.columns
+
+
+def test_opaque_fields_can_be_looked_into(spark):
+    frame = texts(
+        spark, '{"venue":{"city":{"name":"X"},"id":"7"}}', '{"venue":null}', '{"event":1}', '{"venue":[1]}', '{"venue":5}', "broken",
+        '{"venue":{"id":1},"venue":{"id":2,"id":3}}',
+    )
+    parsed = parse_messages(frame, OPEN_MESSAGE).select("venue")
+    found = parsed.select(variant_state(F.col("venue")), at_path(F.col("venue"), "$.id", "int"), at_path(F.col("venue"), "$.city.name", "string"))
+    assert [tuple(r) for r in found.collect()] == [
+        ("object", 7, "X"), ("null", None, None), ("absent", None, None), ("array", None, None), ("scalar", None, None), ("absent", None, None), ("object", 3, None),
+    ]

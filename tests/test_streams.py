@@ -415,6 +415,23 @@ def test_late_rows_are_kept_apart(spark, tmp_path):
     assert sum(s for s, in scores) + late.count() + 1 == spark.read.parquet(path).count()  # the newest window is still open
 
 
+def test_a_tap_notes_batches_and_windows(spark, tmp_path):
+    tap, out = sinks.WindowTap(spark, str(tmp_path / "tap")), []
+    assert tap.report().count() == 0
+    frame = decode_messages(messages(spark, [(message([]), s) for s in (0, 599, 600)])).unionByName(
+        decode_messages(messages(spark, [message([])])).withColumn("publish_ts", F.lit(None).cast("timestamp"))
+    )
+    step = tap.beside(lambda batch, batch_id: out.append((batch_id, batch.count())))
+    for batch_id in (0, 1, 1):
+        step(frame, batch_id)
+    noted = tap.report().select("batch", as_text("window_start"), as_text("window_end"), "rows", as_text("first"), as_text("last"))
+    one = [
+        ("2024-05-01 12:00:00", "2024-05-01 12:10:00", 2, "2024-05-01 12:00:00", "2024-05-01 12:09:59"),
+        ("2024-05-01 12:10:00", "2024-05-01 12:20:00", 1, "2024-05-01 12:10:00", "2024-05-01 12:10:00"), (None, None, 1, None, None),
+    ]
+    assert rows(noted) == sorted([(b, *r) for b in (0, 1) for r in one], key=repr) and out == [(0, 4), (1, 4), (1, 4)]
+
+
 def test_texts_and_folders_are_in_utc_whatever_the_session(spark, stream, batch, tmp_path):
     expected = rows(trending.hot_topics_envelopes(trending.hot_topics(batch, n=3)))
     zone = "spark.sql.session.timeZone"

@@ -47,3 +47,23 @@ def is_unusable(text: Column) -> Column:
 def encode_json(value: Column) -> Column:
     """Struct to JSON text, null fields kept."""
     return F.to_json(value, {"ignoreNullFields": "false"})
+
+
+def variant_state(value: Column) -> Column:
+    """``absent``, ``null``, ``object``, ``array`` or ``scalar``: what a VARIANT field of a message holds."""
+    kind = F.schema_of_variant(value)
+    return (
+        F.when(value.isNull(), F.lit("absent"))
+        .when(F.is_variant_null(value), F.lit("null"))
+        .when(F.startswith(kind, F.lit("OBJECT")), F.lit("object"))
+        .when(F.startswith(kind, F.lit("ARRAY")), F.lit("array"))
+        .otherwise(F.lit("scalar"))
+    )
+
+
+def at_path(value: Column, path: str, kind: str) -> Column:
+    """What stands at a path such as ``$.city.name`` of a VARIANT field, as ``kind``; NULL if nothing does or it cannot be read so.
+
+    Only paths that are asked for are looked up, and the message is parsed once for all of them.
+    """
+    return F.try_variant_get(value, path, kind)

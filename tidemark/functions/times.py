@@ -29,3 +29,13 @@ def format_time(ts: Column) -> Column:
 def pane_timestamp(window_end: Column) -> Column:
     """Id of a window's record; constant per window."""
     return F.unix_timestamp(window_end) + F.lit(_PANE_OFFSET - _LAST_SECOND).cast("bigint")
+
+
+def window_bounds(ts: Column, size: str) -> tuple[Column, Column]:
+    """Start and end of the epoch-aligned window of a fixed ``size`` that holds a time, null without one.
+
+    Unlike a grouping window this keeps rows without a time.
+    """
+    micros = F.expr(f"unix_micros(timestamp'1970-01-01 00:00:00Z' + interval {size})")
+    start = F.unix_micros(ts) - F.pmod(F.unix_micros(ts), micros)
+    return F.timestamp_micros(start), F.timestamp_micros(start + micros)

@@ -231,6 +231,14 @@ SELECT event_id, epoch_us(ts) // 1000 AS timestamp, country,
        'yes' AS response,
        CASE WHEN user_id % 4 > 1 THEN '{{"venue_id":' || user_id || '}}' END AS venue
 FROM kept""",
+    "venue_paths": """
+SELECT event_id, CASE user_id % 4 WHEN 0 THEN 'absent' WHEN 1 THEN 'null' ELSE 'object' END AS venue,
+       CASE WHEN user_id % 4 > 1 THEN user_id END AS venue_id
+FROM events""",
+    "stream_tapped_windows": f"""
+SELECT {_text("window_start")} AS window_start, {_text("window_start + INTERVAL 1 DAY")} AS window_end,
+       CAST(count(*) AS BIGINT) AS rows, {_text("min(ts)")} AS first, {_text("max(ts)")} AS last
+FROM (SELECT ts, {_window(_DAY)} AS window_start FROM events WHERE user_id % 4 <> 0) GROUP BY window_start""",
     "dedup_events": f"""
 SELECT event_id, {_text("ts")} AS published FROM events WHERE user_id % 4 <> 0""",
     "quarantined_messages": """

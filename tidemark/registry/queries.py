@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.payload import at_path, variant_state
 from tidemark.functions.times import event_time, format_time, pane_timestamp
 from tidemark.operators import ranking
 from tidemark.operators.comparing import top_n_compared
@@ -37,7 +38,7 @@ from tidemark.operators.shaping import (
 from tidemark.operators.tables import schema_ddl, schema_string, stream_to_table, write_batch, write_table
 from tidemark.operators.triggers import either_panes
 from tidemark.plans import trending
-from tidemark.schemas import GLOBAL_EVENTS, HOT_TOPICS, MESSAGE
+from tidemark.schemas import GLOBAL_EVENTS, HOT_TOPICS, MESSAGE, OPEN_MESSAGE
 from tidemark.session import prepare
 from tidemark.sources.event_records import attributed_messages_from_events, messages_from_events, raw_records_from_events
 from tidemark.sources.message_log import append_messages, read_message_log
@@ -299,6 +300,17 @@ def parsed_messages(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def venue_paths(spark: SparkSession, folder: str) -> DataFrame:
+    """What the opaque venue of every message holds, and a path into it."""
+    parsed = parse_messages(decode_messages(_messages(spark, folder)), T.StructType([OPEN_MESSAGE["event_id"], OPEN_MESSAGE["venue"]]))
+    return parsed.select(
+        F.col("event_id").cast("bigint").alias("event_id"),
+        variant_state(F.col("venue")).alias("venue"),
+        at_path(F.col("venue"), "$.venue_id", "bigint").alias("venue_id"),
+    )
+
+
 @query
 def dedup_events(spark: SparkSession, folder: str) -> DataFrame:
     """Every third user's messages are delivered again five minutes later."""
@@ -714,6 +726,18 @@ def stream_topic_panes(spark: SparkSession, folder: str) -> DataFrame:
     return _with_text_window(_run_to_files(panes, scratch_path(spark, "panes"), replay.batches))
 
 
+@query
+def stream_tapped_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """What a tap by window has noted of the message flow, over all batches."""
+    out = scratch_path(spark, "tapped")
+    replay = _message_replay(spark, folder)
+    tap = sinks.WindowTap(spark, f"{out}/tap", size=DAY)
+    writer = trending.venue_messages(replay.stream).writeStream.foreachBatch(tap).trigger(**AT_ONCE)
+    _finish(writer.option("checkpointLocation", f"{out}/state").start(), replay.batches)
+    noted = tap.report().groupBy("window_start", "window_end").agg(F.sum("rows").alias("rows"), F.min("first").alias("first"), F.max("last").alias("last"))
+    return _with_text_window(noted).withColumns({c: format_time(F.col(c)) for c in ("first", "last")})
+
+
 @query
 def stream_counter_panes(spark: SparkSession, folder: str) -> DataFrame:
     replay = _message_replay(spark, folder)

@@ -32,6 +32,12 @@ MESSAGE = T.StructType(
     ]
 )
 
+# The same with the opaque fields as VARIANT, for plans that look into them. An absent field is
+# NULL and a JSON null is a variant that holds null.
+OPEN_MESSAGE = T.StructType(
+    [T.StructField(f.name, T.VariantType()) if f.name in ("event", "venue") else f for f in MESSAGE.fields]
+)
+
 # Narrow reads: each plan parses only the fields it uses.
 TOPICS_ONLY = T.StructType(
     [T.StructField("group", T.StructType([T.StructField("group_topics", T.ArrayType(TOPIC))]))]

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
 
+from tidemark.functions.times import window_bounds
 from tidemark.session import use_rocksdb_state
 from tidemark.streaming.panes import _count_rows
 
@@ -36,10 +37,9 @@ def stream_window_counts(df: DataFrame, keys: Sequence[str], *, size: str, delay
     """
     use_rocksdb_state(df.sparkSession)
     inner = [f"k{i}" for i in range(len(keys))]
-    micros = F.expr(f"unix_micros(timestamp'1970-01-01 00:00:00Z' + interval {size})")
-    start = F.unix_micros(time) - F.pmod(F.unix_micros(time), micros)
+    start, end = window_bounds(F.col(time), size)
     rows = df.withWatermark(time, delay).select(
-        start.alias("start"), (start + micros).alias("end"), *(F.col(c).alias(k) for c, k in zip(keys, inner))
+        F.unix_micros(start).alias("start"), F.unix_micros(end).alias("end"), *(F.col(c).alias(k) for c, k in zip(keys, inner))
     )
     grouped = ["start", "end", *inner]
     counted = rows.mapInArrow(_count_rows(grouped), T.StructType([*rows.schema.fields, T.StructField("rows_added", T.LongType())]))

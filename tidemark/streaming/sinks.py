@@ -8,11 +8,12 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.times import format_time
+from tidemark.functions.times import format_time, window_bounds
 from tidemark.operators.ranking import latest_by_key
 from tidemark.operators.shaping import decode_delivery, examine_deliveries, routed_counts, routed_hot_topics
 from tidemark.schemas import HOT_TOPICS_OUTPUT
 from tidemark.streaming.store import ChangeLog, Commits, Entry
+from tidemark.workspace import path_exists
 
 #: Envelopes in one published file.
 LINES_PER_FILE = 100_000
@@ -61,6 +62,44 @@ def tap(df: DataFrame, name: str | Observation, time: str | None = None) -> Data
     return df.observe(name, *measures)
 
 
+class WindowTap:
+    """A step for ``foreachBatch`` that notes what flows by: rows and time span, per batch and window.
+
+    Each batch writes its counts into a folder of its own, which running it again replaces, so the
+    report's sums are exact. Rows without a time are counted under a null window.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, *, time: str = "publish_ts", size: str = "10 minutes"):
+        self.spark, self.path, self.time, self.size = spark, path, time, size
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        start, end = window_bounds(F.col(self.time), self.size)
+        rows = batch.select(F.col(self.time).alias("at"), start.alias("window_start"), end.alias("window_end"))
+        counts = rows.groupBy("window_start", "window_end").agg(F.count(F.lit(1)).alias("rows"), F.min("at").alias("first"), F.max("at").alias("last"))
+        counts.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+
+    def report(self) -> DataFrame:
+        """``window_start, window_end, batch, rows, first, last`` of all batches so far."""
+        schema = T.StructType([*(T.StructField(c, T.TimestampType()) for c in ("window_start", "window_end")), T.StructField("batch", T.LongType()),
+                               T.StructField("rows", T.LongType()), T.StructField("first", T.TimestampType()), T.StructField("last", T.TimestampType())])
+        if not path_exists(self.spark, self.path):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self.path).select(*schema.names)
+
+    def beside(self, step: Publisher) -> Publisher:
+        """``step`` with this tap before it, over one evaluation of the batch."""
+
+        def both(batch: DataFrame, batch_id: int) -> None:
+            batch = batch.persist()
+            try:
+                self(batch, batch_id)
+                step(batch, batch_id)
+            finally:
+                batch.unpersist()
+
+        return both
+
+
 def publish_files(path: str) -> Publisher:
     """Envelopes as JSON lines, one folder per batch; repeating a batch replaces its folder.
 
