@@ -325,6 +325,14 @@ SELECT o_orderkey, o_totalprice, o_orderpriority AS batch, CAST(0 AS BIGINT) AS
 SELECT timestamp, window_start, topics, CAST(0 AS BIGINT) AS events FROM documents
 UNION ALL
 SELECT 0, NULL, NULL, events FROM ({_COUNT})""",
+    "stream_falling_rankings": f"""
+WITH latest AS (
+  SELECT {_window(_DAY)} AS window_start, 'k' || CAST(props->>'$.k' AS BIGINT) % 10 AS topic_key, CAST(props->>'$.k' AS BIGINT) AS score
+  FROM events QUALIFY row_number() OVER (PARTITION BY {_window(_DAY)}, CAST(props->>'$.k' AS BIGINT) % 10 ORDER BY ts DESC) = 1
+)
+SELECT {_text("window_start")} AS window_start, topic_key, score,
+       CAST(row_number() OVER (PARTITION BY window_start ORDER BY score DESC, topic_key) AS BIGINT) AS rank
+FROM latest QUALIFY row_number() OVER (PARTITION BY window_start ORDER BY score DESC, topic_key) <= 3""",
     "stream_store_aside": """
 SELECT ['unknown category', 'unreadable output', 'not a JSON object', 'not UTF-8', 'not base64'][user_id % 6] AS reason, count(*) AS value
 FROM events WHERE user_id % 6 > 0 GROUP BY reason

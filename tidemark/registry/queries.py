@@ -47,6 +47,7 @@ from tidemark.sources.records import project_records, with_attributes
 from tidemark.streaming import jobs, sinks
 from tidemark.streaming.lateness import CLOSED, KEPT, LATE, stream_window_counts
 from tidemark.streaming.panes import stream_count_panes, stream_either_panes
+from tidemark.streaming.rankings import stream_top_n
 from tidemark.workspace import child_names, path_exists, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -644,6 +645,20 @@ def stream_hot_topics_from_panes(spark: SparkSession, folder: str) -> DataFrame:
     return _early_rankings(spark, folder, size=DAY, every=trending.PANE)
 
 
+@query
+def stream_falling_rankings(spark: SparkSession, folder: str) -> DataFrame:
+    """Per day, the three topics with the highest latest value, which falls as often as it rises."""
+    events, batches = _replay(spark, *_time_slices(read_table(spark, folder, "events").select(*EVENT_COLUMNS)))
+    value = F.get_json_object("props", "$.k").cast("bigint")
+    values = trending.with_window(events, DAY, "ts").select(
+        "window_start", F.concat(F.lit("k"), value % 10).alias("topic_key"), value.alias("score"), F.unix_micros("ts").alias("seq")
+    )
+    ranked = stream_top_n(values, 3, per=["window_start"], key="topic_key", score="score", seq="seq")
+    shown = _run_to_files(ranked, scratch_path(spark, "falling"), batches)
+    newest = ranking.top_n(shown, 1, "revision", per=["window_start", "rank"], rank="newest").drop("newest", "revision")
+    return newest.withColumn("window_start", format_time(F.col("window_start")))
+
+
 @query
 def stream_store(spark: SparkSession, folder: str) -> DataFrame:
     """Count and rank, publish, deliver, and upsert: the stored tables at the end."""
