@@ -185,7 +185,8 @@ def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         "simhash-kept",
     )
     same = F.col(id_col) == F.col(name)
-    single = docs.join(kept.where(F.col(times) == 1), same, "left_semi")
+    # the ids grow with the rows, so they are merged with them at every size
+    single = docs.join(kept.where(F.col(times) == 1).hint("merge"), same, "left_semi")
     repeated = docs.join(kept.where(F.col(times) > 1), same, "left_semi").dropDuplicates([id_col])
     nameless = docs.where(F.col(id_col).isNull())
     return single.unionByName(repeated).unionByName(nameless)
