@@ -91,6 +91,29 @@ def test_mix_meets_its_targets(spark):
             assert abs(taken[s] - target[s]) <= longest[s] / 2 + 1e-6
 
 
+def test_certain_documents_and_rescaled_odds(spark):
+    """One source of which a quarter more is wanted: its large documents come twice, others by odds scaled to the rest."""
+    sizes = [400] + [10] * 60 + [1] * 40
+    rows = [(i, " ".join(["w"] * n), "s") for i, n in enumerate(sizes)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    left = 1.5 * sum(sizes) - sum(sizes)
+    certain, rest = [], sorted(set(sizes), reverse=True)
+    scale = lambda out: (left - sum(n for n in sizes if n in out)) / sum(n**1.5 for n in sizes if n not in out)
+    while scale(certain) * math.sqrt(rest[0]) >= 1:
+        certain.append(rest.pop(0))
+    assert certain == [400]
+    taken, chosen = [], Counter()
+    for seed in range(25):
+        got = mixing.mix(docs, weights=(1,), seed=f"s{seed}").collect()
+        assert all(r.copies == 2 for r in got if r.size in certain) and {r.copies for r in got} <= {1, 2}
+        taken.append(sum(r.copies * r.size for r in got))
+        chosen.update(r.size for r in got if r.copies == 2)
+        assert abs(taken[-1] - 1.5 * sum(sizes)) <= 5
+    for n in (10, 1):
+        want = scale(certain) * math.sqrt(n)
+        assert abs(chosen[n] / 25 / sizes.count(n) - want) < 0.05
+
+
 def test_mix_does_not_depend_on_partitions(spark):
     docs = sources(spark)
     once, again = (sorted(map(tuple, mixing.mix(docs.repartition(n)).collect()), key=str) for n in (1, 7))

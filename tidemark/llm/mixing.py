@@ -2,8 +2,14 @@
 
 Each source gets a target number of words. Its documents are first all taken as often as fits
 whole; what is left of the target is a sample without replacement in which a document's
-inclusion probability grows with a power of its size. Documents are ranked by random odds over
-inclusion odds, and the ranking is cut where the words taken come nearest to what is left.
+inclusion probability grows with a power of its size. Documents whose probability would be one or
+more are certain of one more copy; what they take goes off the rest, whose probabilities are
+scaled anew until all are below one. The others are ranked by random odds over inclusion odds,
+and the ranking is cut where the words taken come nearest to what is left.
+
+All that a document's copies depend on beside itself is one row of its source: target, scale and
+cut. So a document is judged where it lies; only those of the narrow slice of the ranking that
+holds the cut are ordered.
 """
 
 from __future__ import annotations
@@ -11,12 +17,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.batches import free_name
 from tidemark.workspace import freeze
 
 WORD = r"[^\x20\x09-\x0D]+"
 SEED = "mix-1"
-MOST_LIKELY = 0.999
 #: The ranking's range is cut into this many slices, and the slice with the cut into as many again.
 SLICES = 256
 
@@ -71,6 +75,88 @@ def _cut(rows: DataFrame, column: str, out: str) -> DataFrame:
     )
 
 
+def _affinity(size: Column, size_power: float) -> Column:
+    size = size.cast("double")
+    return F.sqrt(size) if size_power == 0.5 else F.pow(size, F.lit(size_power))
+
+
+def _scales(sized: DataFrame, plan: DataFrame, size_power: float) -> DataFrame:
+    """``plan`` with ``left`` and ``spread`` of what is not certain, and ``open``, its largest affinity.
+
+    From the largest affinity down, one whose documents would have probability one or more, given
+    that all larger ones are certain, is certain; the first that would not ends the search. A row
+    for each source and size is ordered.
+    """
+    per_size = (
+        sized.where("size > 0").withColumn("affinity", _affinity(F.col("size"), size_power))
+        .groupBy("source", "affinity").agg(F.sum("size").alias("words"))
+    )
+    down = Window.partitionBy("of").orderBy(F.desc("affinity"))
+    larger, smaller = down.rowsBetween(Window.unboundedPreceding, -1), down.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    tried = (
+        per_size.join(plan.where("left > 0").select("of", "left"), F.col("source").eqNullSafe(F.col("of")))
+        .withColumn("left", F.col("left") - F.coalesce(F.sum("words").over(larger), F.lit(0)))
+        .withColumn("spread", F.sum(F.col("affinity") * F.col("words")).over(smaller))
+        .where(F.col("left") * F.col("affinity") < F.col("spread"))
+    )
+    scales = tried.groupBy("of").agg(F.max_by(F.struct("left", "spread", F.col("affinity").alias("open")), "affinity").alias("scale"))
+    found = scales.select(F.col("of").alias("scale_of"), "scale.*")
+    return plan.drop("left").join(found, F.col("of").eqNullSafe(F.col("scale_of")), "left").drop("scale_of")
+
+
+def _placed(rows: DataFrame, size_power: float, seed: str) -> DataFrame:
+    """Rows of ``doc_id, size`` and their source's ``more, left, spread, open`` with ``certain``, ``odds`` and ``fine``, the slice of the ranking."""
+    affinity = _affinity(F.col("size"), size_power)
+    taken = (F.col("size") > 0) & F.col("more")
+    chance = F.when(taken & (affinity <= F.col("open")), F.col("left") * affinity / F.col("spread"))
+    share = random_share(F.col("doc_id"), seed)
+    odds = (share / (1 - share)) / (chance / (1 - chance))
+    return rows.withColumn("certain", F.coalesce(taken & (F.col("open").isNull() | (affinity > F.col("open"))), F.lit(False))).withColumn("odds", odds).withColumn(
+        "fine", F.floor(F.col("odds") / (1 + F.col("odds")) * SLICES * SLICES)
+    )
+
+
+def _sizes(docs: DataFrame, text_col: str) -> Column:
+    return F.coalesce(F.regexp_count(docs[text_col].cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
+
+
+class Mix:
+    """The sizes of all documents, frozen, and per source what its documents are judged by."""
+
+    def __init__(self, docs: DataFrame, id_col: str, text_col: str, source_col: str, weights: tuple, share: float, cap: float, size_power: float, seed: str):
+        self.size_power, self.seed = size_power, seed
+        sized = freeze(
+            docs.select(docs[id_col].alias("doc_id"), docs[source_col].alias("source"), _sizes(docs, text_col).alias("size")), "mix-sizes"
+        )
+        plan = (
+            targets(sized, weights, share, cap).withColumnRenamed("source", "of")
+            .withColumn("whole", F.coalesce(F.floor(F.col("target") / F.nullif("source_size", F.lit(0))), F.lit(0)))
+            .withColumn("left", F.col("target") - F.col("whole") * F.col("source_size"))
+            .withColumn("more", F.col("left") > 0)
+        )
+        plan = freeze(_scales(sized, freeze(plan, "mix-targets"), size_power), "mix-plan")
+        self.ranked = freeze(_placed(sized.join(plan, F.col("source").eqNullSafe(F.col("of"))).drop("of"), size_power, seed), "mix-ranked")
+        drawn = self.ranked.where("odds IS NOT NULL").withColumn("before", F.lit(0).cast("long")).withColumn("slice", F.floor(F.col("fine") / SLICES))
+        coarse = _cut(drawn, "slice", "at_slice")
+        near = drawn.drop("before").join(coarse, F.col("source").eqNullSafe(F.col("of"))).where("slice = at_slice").drop("of")
+        cuts = _cut(near, "fine", "at_fine").withColumnRenamed("of", "cut_of")
+        self.plan = freeze(plan.join(cuts, F.col("of").eqNullSafe(F.col("cut_of")), "left").drop("cut_of"), "mix-cuts")
+
+    def settled(self, rows: DataFrame) -> DataFrame:
+        """Placed rows with ``drawn``; null where the cut's own slice decides."""
+        return rows.withColumn(
+            "drawn",
+            F.when(F.col("odds").isNull(), F.col("certain")).when(F.col("at_fine").isNull(), True).when(F.col("fine") != F.col("at_fine"), F.col("fine") < F.col("at_fine")),
+        )
+
+    def edge(self) -> DataFrame:
+        """``doc_id, source, size, drawn`` of the documents in the cut's slice, ordered there."""
+        cuts = self.plan.where("at_fine IS NOT NULL").select("of", "at_fine", "before")
+        near = self.ranked.join(cuts, F.col("source").eqNullSafe(F.col("of")) & (F.col("fine") == F.col("at_fine"))).where("odds IS NOT NULL")
+        order = Window.partitionBy("source").orderBy("odds", F.col("doc_id").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return near.withColumn("drawn", F.col("before") + F.sum("size").over(order) - F.col("size") / 2 <= F.col("left"))
+
+
 def mix(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -94,54 +180,13 @@ def mix(
     No source is gathered: the cut is found from word counts of slices of the ranking, then of
     slices of the slice that holds it, and only the documents in one of those are ordered.
     """
-    sized = freeze(
-        docs.select(
-            docs[id_col].alias("doc_id"),
-            docs[source_col].alias("source"),
-            F.coalesce(F.regexp_count(docs[text_col].cast("string"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        ),
-        "mix-sizes",
-    )
-    affinity = F.when(F.col("size") > 0, F.pow(F.col("size").cast("double"), F.lit(size_power)))
-    if size_power == 0.5:
-        affinity = F.sqrt(F.col("size").cast("double"))
-    spread = sized.groupBy("source").agg(F.sum(affinity * F.col("size")).alias("spread"))
-    plan = targets(sized, weights, share, cap).alias("t").join(spread.alias("s"), F.col("t.source").eqNullSafe(F.col("s.source")))
-    plan = freeze(
-        plan.select("t.source", "source_size", "target", "spread")
-        .withColumn("whole", F.coalesce(F.floor(F.col("target") / F.nullif("source_size", F.lit(0))), F.lit(0)))
-        .withColumn("left", F.col("target") - F.col("whole") * F.col("source_size")),
-        "mix-targets",
-    ).withColumnRenamed("source", "of")
-    chance = F.least(F.lit(MOST_LIKELY), F.col("left") * affinity / F.col("spread"))
-    share_of = random_share(F.col("doc_id"), seed)
-    odds = (share_of / (1 - share_of)) / (F.col("chance") / (1 - F.col("chance")))
-    ranked = freeze(
-        sized.join(plan, F.col("source").eqNullSafe(F.col("of")))
-        .withColumn("chance", F.when((F.col("size") > 0) & (F.col("left") > 0), chance))
-        .withColumn("odds", odds)
-        .withColumn("place", F.col("odds") / (1 + F.col("odds")))
-        .withColumn("slice", F.floor(F.col("place") * SLICES))
-        .withColumn("fine", F.floor(F.col("place") * SLICES * SLICES))
-        .drop("of", "spread", "chance"),
-        "mix-ranked",
-    )
-    drawn = ranked.where("odds IS NOT NULL").withColumn("before", F.lit(0).cast("long"))
-    coarse = _cut(drawn, "slice", "at_slice")
-    near = drawn.drop("before").join(coarse, F.col("source").eqNullSafe(F.col("of"))).where("slice = at_slice").drop("of")
-    fine = freeze(_cut(near, "fine", "at_fine").withColumnRenamed("of", "fine_of"), "mix-cuts")
-    order = Window.partitionBy("source").orderBy("odds", F.col("doc_id").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    joined = ranked.join(fine, F.col("source").eqNullSafe(F.col("fine_of")), "left")
-    edge = F.col("fine") == F.col("at_fine")
-    settled = joined.where("odds IS NULL OR at_fine IS NULL OR fine <> at_fine").withColumn(
-        "drawn", F.coalesce(F.when(F.col("odds").isNull(), False).when(F.col("at_fine").isNull(), True).otherwise(F.col("fine") < F.col("at_fine")), F.lit(False))
-    )
-    at_edge = joined.where(F.col("odds").isNotNull() & edge).withColumn(
-        "drawn", F.col("before") + F.sum("size").over(order) - F.col("size") / 2 <= F.col("left")
-    )
-    return settled.unionByName(at_edge).select(
-        "doc_id", "size", "source_size", "target", (F.col("whole") + F.col("drawn").cast("long")).alias("copies")
+    made = Mix(docs, id_col, text_col, source_col, weights, share, cap, size_power, seed)
+    cuts = made.plan.select("of", "at_fine")
+    settled = made.settled(made.ranked.join(cuts, F.col("source").eqNullSafe(F.col("of")), "left")).where("drawn IS NOT NULL")
+    both = settled.select("doc_id", "size", "source_size", "target", "whole", "drawn").unionByName(
+        made.edge().select("doc_id", "size", "source_size", "target", "whole", "drawn")
     )
+    return both.select("doc_id", "size", "source_size", "target", (F.col("whole") + F.col("drawn").cast("long")).alias("copies"))
 
 
 def digest(mixed: DataFrame) -> DataFrame:
@@ -149,15 +194,31 @@ def digest(mixed: DataFrame) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
-def repeat_documents(docs: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
+def repeat_documents(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    weights: tuple = (5, 2, 1),
+    share: float = 1.5,
+    cap: float = 2.0,
+    size_power: float = 0.5,
+    seed: str = SEED,
+) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it, columns as they were.
 
-    Rows repeated under one id are taken equally often, the least that one of them is.
+    Rows repeated under one id with texts of one size are taken equally often: at the cut, the
+    least that one of them is. Each row is judged in place by its source's row of the plan, so
+    texts are not moved; only rows in the slice with the cut are joined by id.
     """
-    name, times = free_name(docs, "mixed_id"), free_name(docs, "mixed_copies")
-    copies = mix(docs, id_col=id_col, **how).groupBy(F.col("doc_id").alias(name)).agg(F.min("copies").cast("int").alias(times))
-    return (
-        docs.join(copies.where(F.col(times) > 0), F.col(id_col).eqNullSafe(F.col(name)))
-        .withColumn(times, F.explode(F.array_repeat(F.lit(0), F.col(times))))
-        .select(*[docs[c] for c in docs.columns])
-    )
+    made = Mix(docs, id_col, text_col, source_col, weights, share, cap, size_power, seed)
+    held = F.struct(*(docs[c] for c in docs.columns)).alias("row")
+    own = docs.select(held, docs[id_col].alias("doc_id"), docs[source_col].alias("source"), _sizes(docs, text_col).alias("size"))
+    plan = made.plan.select("of", "whole", "left", "spread", "open", "more", "at_fine")
+    placed = made.settled(_placed(own.join(plan, F.col("source").eqNullSafe(F.col("of"))), size_power, seed))
+    edge = made.edge().groupBy(F.col("doc_id").alias("edge_id"), F.col("size").alias("edge_size")).agg(F.min("drawn").alias("edge_drawn"))
+    same = F.col("doc_id").eqNullSafe(F.col("edge_id")) & (F.col("size") == F.col("edge_size"))
+    at_edge = placed.where("drawn IS NULL").drop("drawn").join(edge, same).withColumnRenamed("edge_drawn", "drawn")
+    both = placed.where("drawn IS NOT NULL").select("row", "whole", "drawn").unionByName(at_edge.select("row", "whole", "drawn"))
+    copies = (F.col("whole") + F.col("drawn").cast("long")).cast("int")
+    return both.where(copies > 0).select("row", F.explode(F.array_repeat(F.lit(0), copies))).select("row.*")
