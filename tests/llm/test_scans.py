@@ -92,6 +92,30 @@ def test_confirmed_structures(candidate, kind):
         assert kind not in {k for k, _, _ in secrets.find_spans(broken)}
 
 
+LOCKED = "-----BEGIN RSA PRIVATE KEY-----{0}Proc-Type: 4,ENCRYPTED{0}DEK-Info: AES-128-CBC,{1}{0}{0}{2}{0}-----END RSA PRIVATE KEY-----"
+
+
+@pytest.mark.parametrize("line_break", ("\n", "\r\n", "\\n"))
+def test_encrypted_keys_with_header_lines(line_break):
+    body = line_break.join([b64(b"q" * 48), b64(b"w" * 40)])
+    candidate = LOCKED.format(line_break, "00112233445566778899AABBCCDDEEFF", body)
+    assert ("pem_key", 2, 2 + len(candidate)) in secrets.find_spans(f"é {candidate} .")
+    for broken in (candidate.replace("AABB", "AAB"), candidate.replace("4,ENCRYPTED", "5,MIC"), candidate.replace(body, ""), candidate.replace("END RSA", "END EC")):
+        assert "pem_key" not in {kind for kind, _, _ in secrets.find_spans(broken)}
+
+
+@pytest.mark.parametrize("before", ("\\n", "\\r", " ", '"'))
+def test_keys_behind_escaped_line_breaks(before):
+    key = b64(PKCS8)
+    assert ("der_key", len(before), len(before) + len(key)) in secrets.find_spans(before + key)
+    assert "der_key" not in {kind for kind, _, _ in secrets.find_spans("n" + key)}
+
+
+def test_armour_without_an_end_takes_linear_time():
+    text = "-----BEGIN PRIVATE KEY-----" + "\n" * 200_000
+    assert secrets.find_spans(text * 3) == []
+
+
 @pytest.mark.parametrize("harmless", [b64(CERTIFICATE), b64(b"just some ordinary text, nothing else at all, really"), "M" * 80, "eyJh.eyJi.x", "MIIB" * 20])
 def test_what_does_not_parse_is_not_reported(harmless):
     assert [s for s in secrets.find_spans(f"x {harmless} y") if s[0] in secrets.KINDS[3:]] == []

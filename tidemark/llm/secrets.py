@@ -30,10 +30,15 @@ ASSIGN = re.compile(
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
-PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----([A-Za-z0-9+/=\s\\rn]*?)-----END \1-----")
+#: A key in armour: its label, header lines as of RFC 1421 if any, and the body. Line breaks may be escaped.
+PEM = re.compile(
+    r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----(?:\s|\\[rn])*+((?:[A-Za-z][A-Za-z0-9-]*+: ?[A-Za-z0-9,=+/.-]*+(?:\s|\\[rn])++)*+)"
+    r"([A-Za-z0-9+/=\s\\rn]*?)-----END \1-----"
+)
+DEK_INFO = re.compile(r"DEK-Info: ?[A-Z0-9-]+,((?:[0-9A-Fa-f]{2}){8,})(?![0-9A-Fa-f])")
 TOKEN = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)(?![A-Za-z0-9_-])")
 #: A DER sequence starts with byte 0x30 and an OpenSSH key with its magic: M, 30 and b3Blb in text.
-BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:M[A-Za-z0-9+/_-]{39,}|b3Blb[A-Za-z0-9+/_-]{35,})={0,2}(?![A-Za-z0-9+/_=-])")
+BASE64 = re.compile(r"(?:(?<![A-Za-z0-9+/_-])|(?<=\\[rn]))(?:M[A-Za-z0-9+/_-]{39,}|b3Blb[A-Za-z0-9+/_-]{35,})={0,2}(?![A-Za-z0-9+/_=-])")
 HEX_DER = re.compile(r"(?<![0-9A-Fa-f])30[0-9A-Fa-f]{62,}(?![0-9A-Fa-f])")
 
 SEQUENCE, INTEGER, OCTETS, OBJECT_ID = 0x30, 0x02, 0x04, 0x06
@@ -58,8 +63,9 @@ def confirmed(text: str) -> list[tuple[str, int, int]]:
     found = []
     if "PRIVATE KEY-----" in text:
         for m in PEM.finditer(text):
-            kind = key_kind(_base64(re.sub(r"\s|\\[rn]", "", m[2])))
-            if kind or m[1].startswith("ENCRYPTED") and is_nested_der(_base64(re.sub(r"\s|\\[rn]", "", m[2]))):
+            body = _base64(re.sub(r"\s|\\[rn]", "", m[3]))
+            locked = "Proc-Type: 4,ENCRYPTED" in m[2] and DEK_INFO.search(m[2]) and body
+            if locked or key_kind(body) or m[1].startswith("ENCRYPTED") and is_nested_der(body):
                 found.append(("pem_key", *m.span()))
     if "eyJ" in text:
         found += [("signed_token", *m.span()) for m in TOKEN.finditer(text) if is_token_header(m[1])]
