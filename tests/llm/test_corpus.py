@@ -277,6 +277,17 @@ def test_repeated_queries_and_ties_in_one_shard(spark):
     assert got == sorted([(50, 1, 50), (50, 2, 50), (50, 3, 1), (50, 1, 50), (50, 2, 1), (50, 3, 60), (50, 4, 61)])
 
 
+@pytest.mark.parametrize("kind", ("smallint", "decimal(9,0)", "date"))
+def test_ids_of_other_types(spark, kind):
+    from pyspark.sql import functions as F
+
+    number = F.expr("date_add(date'2024-01-01', doc_id)") if kind == "date" else F.col("doc_id").cast(kind)
+    frame = spark.createDataFrame([(50, "a b"), (1, "a c")], "doc_id int, text string").withColumn("doc_id", number)
+    assert katz.score_documents(frame).dtypes[0] == ("doc_id", kind) and katz.score_documents(frame).count() == 2
+    got = bm25.top_k(frame, F.lit(True), k=1)
+    assert got.dtypes[0] == ("query_id", kind) and all(r.query_id == r.doc_id for r in got.collect())
+
+
 def test_repeated_documents_keep_columns_of_any_name(spark):
     frame = spark.createDataFrame([(i, "a b c", "s", i, "x") for i in range(5)], "doc_id long, text string, source string, mixed_copies int, Mixed_ID string")
     assert mixing.repeat_documents(frame).columns == frame.columns

@@ -134,3 +134,26 @@ def test_a_wrong_dictionary_is_noticed(spark, tmp_path):
     spark.createDataFrame([(stored["dictionary"], b"other")], "dictionary string, data binary").write.mode("overwrite").parquet(f"{path}/dictionary")
     with pytest.raises(Exception, match="missing or damaged"):
         token_files.read_token_files(spark, path).agg(F.sum("n_tokens")).collect()
+
+
+def test_dictionary_samples_come_from_anywhere_in_a_text():
+    data = bytes(range(256)) * 4000
+    pieces = token_files.sample_pieces("7", data)
+    assert len(pieces) == token_files.PIECES and all(len(p) == token_files.PIECE_BYTES for p in pieces)
+    starts = {place for key in "abcdefgh" for place in _places(key, len(data))}
+    assert max(starts) > len(data) // 2 and len(starts) > token_files.PIECES
+    assert token_files.sample_pieces("7", b"short") == [b"short"] and token_files.sample_pieces("7", b"") == []
+
+
+def _places(key, size):
+    marked = b"".join(at.to_bytes(4, "little") * (token_files.PIECE_BYTES // 4) for at in range(0, size, token_files.PIECE_BYTES))
+    return [int.from_bytes(p[:4], "little") for p in token_files.sample_pieces(key, marked)]
+
+
+def test_ids_of_any_whole_type(spark, tmp_path):
+    frame = spark.createDataFrame([(3, "b c"), (1, "a")], "doc_id int, text string")
+    for kind in ("smallint", "bigint", "string", "decimal(9,0)"):
+        path = str(tmp_path / kind.split("(")[0])
+        token_files.write_token_files(frame.withColumn("doc_id", frame["doc_id"].cast(kind)), path, WORDS, 2)
+        read = token_files.digest(token_files.read_token_files(spark, path))
+        assert dict(read.dtypes)["doc_id"] == kind and sorted(int(r.doc_id) for r in read.collect()) == [1, 3]

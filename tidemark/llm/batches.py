@@ -8,6 +8,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 #: Bytes of text handled at once inside a task; a longer single text is handled alone.
 SLICE_BYTES = 4 << 20
@@ -64,6 +66,11 @@ def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"))
 
 
+def arrow_type(kind: str) -> pa.DataType:
+    """The Arrow type of a Spark type named as in ``simpleString``; for the driver."""
+    return to_arrow_type(T.DataType.fromDDL(kind))
+
+
 def free_name(frame: DataFrame, name: str) -> str:
     """``name``, with underscores before it until no column of ``frame`` has it in any case."""
     taken = {c.lower() for c in frame.columns}

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.batches import in_fold, slices, text_bytes
+from tidemark.llm.batches import arrow_type, in_fold, slices, text_bytes
 from tidemark.workspace import delete_folder, freeze, scratch_path
 
 #: Counts up to this are discounted.
@@ -154,7 +154,7 @@ def _chunks(docs: DataFrame, kind: str, most_tokens: int):
         if held:
             yield _chunk_row(part << 32 | seq, held, number, tokens, key_type)
 
-    key_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
+    key_type = arrow_type(kind)
     return docs.mapInArrow(run, f"chunk long, doc_ids array<{kind}>, trained array<boolean>, lengths array<int>, words binary, counts binary, tokens binary")
 
 
@@ -372,7 +372,7 @@ def _weigh_histories(replies: DataFrame, pairs: DataFrame, unigrams: Unigrams, p
 
 
 def _score(chunks: DataFrame, words: DataFrame, pairs: DataFrame, weights: DataFrame, start: tuple, unigrams: Unigrams, pair_d: np.ndarray, buckets: int, kind: str) -> DataFrame:
-    key_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
+    key_type = arrow_type(kind)
     tokens_trained, kinds = unigrams.level.tokens, unigrams.level.kinds
 
     def run(batches):

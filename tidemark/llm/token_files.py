@@ -22,18 +22,19 @@ from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm.batches import id_and_text, slices, texts
+from tidemark.llm.batches import arrow_type, id_and_text, slices, texts
 from tidemark.llm.bpe import COMMON, tokenizer_content
 from tidemark.llm.wordcache import WordCache
 
-#: The dictionary is trained on the starts of at most so many documents; it changes sizes, not results.
-SAMPLE_DOCUMENTS, SAMPLE_BYTES, DICTIONARY_BYTES = 1000, 16 << 10, 64 << 10
+#: The dictionary is trained on at most so many pieces, of so many bytes, of so many documents; it changes sizes, not results.
+SAMPLE_DOCUMENTS, PIECES, PIECE_BYTES, DICTIONARY_BYTES = 1000, 4, 4 << 10, 64 << 10
 LEVEL, BLOCK_DOCUMENTS, BLOCK_BYTES = 3, 1024, 1 << 20
 CACHED_WORDS, CACHED_CHARS, WORDS_IN_CALL = 500_000, 16 << 20, 256
 
@@ -98,28 +99,35 @@ def _documents(batches, content: bytes, end_id: int):
             yield key, ids[offsets[i] : offsets[i + 1]].tobytes() + end_id.to_bytes(4, "little")
 
 
+def sample_pieces(key: str, data: bytes) -> list[bytes]:
+    """At most ``PIECES`` pieces of the ids, at places that depend on the document's id."""
+    places = range(0, len(data), PIECE_BYTES)
+    chosen = sorted(places, key=lambda at: xxhash.xxh64_intdigest(f"{key}:{at}"))[:PIECES]
+    return [data[at : at + PIECE_BYTES] for at in sorted(chosen)]
+
+
 def train_dictionary(docs: DataFrame, content: bytes, end_id: int) -> bytes:
     """Trained in one task on a fixed number of documents, those whose hashed ids are smallest.
 
-    Empty if they are too few to train on.
+    Of a long one, pieces from anywhere in it are taken. Empty if they are too few to train on.
     """
     chosen = docs.select(F.col("doc_id").alias("chosen_id")).orderBy(F.xxhash64("chosen_id"), "chosen_id").limit(SAMPLE_DOCUMENTS)
     # SAMPLE_DOCUMENTS ids at most
     sample = docs.join(F.broadcast(chosen.distinct()), F.col("doc_id").eqNullSafe(F.col("chosen_id")), "left_semi")
 
-    def starts(batches):
-        for _, data in _documents(batches, content, end_id):
-            yield pa.RecordBatch.from_arrays([pa.array([data[:SAMPLE_BYTES]], pa.binary())], ["data"])
+    def cut(batches):
+        for key, data in _documents(batches, content, end_id):
+            yield pa.RecordBatch.from_arrays([pa.array(sample_pieces(str(key), data), pa.binary())], ["data"])
 
     def train(batches):
-        samples = sorted(x for batch in batches for x in batch.column("data").to_pylist())[:SAMPLE_DOCUMENTS]
+        samples = sorted(x for batch in batches for x in batch.column("data").to_pylist())[: SAMPLE_DOCUMENTS * PIECES]
         try:
             made = zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
         except zstandard.ZstdError:
             made = b""
         yield pa.RecordBatch.from_arrays([pa.array([made], pa.binary())], ["data"])
 
-    row = sample.mapInArrow(starts, "data binary").repartition(1).mapInArrow(train, "data binary").first()
+    row = sample.mapInArrow(cut, "data binary").repartition(1).mapInArrow(train, "data binary").first()
     return bytes(row["data"]) if row else b""
 
 
@@ -163,7 +171,7 @@ def write_token_files(
         row = [part, block, keys[0], keys[-1], before, sum(sizes), name, keys, sizes, offsets, b"".join(frames)]
         return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, types)], names)
 
-    key, longs = _arrow_type(kind), pa.list_(pa.int64())
+    key, longs = arrow_type(kind), pa.list_(pa.int64())
     types = [pa.int32(), pa.int32(), key, key, pa.int64(), pa.int64(), pa.string(), pa.list_(key), longs, longs, pa.binary()]
     names = ["part", "block", "first_id", "last_id", "before", "total", "dictionary", "doc_ids", "n_tokens", "offsets", "frames"]
     schema = (
@@ -174,10 +182,6 @@ def write_token_files(
     ordered.mapInArrow(pack, schema).write.parquet(f"{path}/blocks")
 
 
-def _arrow_type(kind: str) -> pa.DataType:
-    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
-
-
 def _dictionaries(spark: SparkSession, path: str) -> dict[str, bytes]:
     return {r["dictionary"]: bytes(r["data"]) for r in spark.read.parquet(f"{path}/dictionary").collect()}
 
@@ -204,7 +208,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
         .select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("part_start"))
     )
     kind = stored.schema["first_id"].dataType.simpleString()
-    key = _arrow_type(kind)
+    key = arrow_type(kind)
 
     def unpack(batches):
         for batch in batches:
