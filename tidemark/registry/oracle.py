@@ -354,6 +354,7 @@ FROM panes""",
     "stream_counter_panes": f"""
 SELECT running_count, 'count' AS fired_by FROM (WITH {_COUNTER_PANES.format(columns="")})""",
     "stream_dedup": "SELECT event_id FROM events WHERE user_id % 4 <> 0",
+    "stream_dedup_exact": f"SELECT event_id, {_text('ts')} AS published FROM events WHERE user_id % 4 <> 0",
     "stream_message_log": "SELECT event_id FROM events WHERE user_id % 4 <> 0",
     "stream_counter_timed": "SELECT CAST(count(*) AS BIGINT) AS events FROM events WHERE user_id % 4 <> 0",
     "stream_table_sink": """

@@ -48,6 +48,7 @@ from tidemark.streaming import jobs, sinks
 from tidemark.streaming.lateness import CLOSED, KEPT, LATE, stream_window_counts
 from tidemark.streaming.panes import stream_count_panes, stream_either_panes
 from tidemark.streaming.rankings import stream_top_n
+from tidemark.streaming.seen import SeenIds
 from tidemark.workspace import child_names, path_exists, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -835,6 +836,25 @@ def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return _run_to_files(once, scratch_path(spark, "dedup"), twice.batches)
 
 
+@query
+def stream_dedup_exact(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages kept once by id although all of them come again, and again, weeks later."""
+    out = scratch_path(spark, "exact")
+    slices = _time_slices(read_table(spark, folder, "events").select(*EVENT_COLUMNS))
+    again = [part.withColumn("ts", F.expr("ts + INTERVAL 30 DAYS")) for part in slices]
+    replay = _replay(spark, *slices, *again, *slices)
+    seen = SeenIds(spark, f"{out}/seen", buckets=8, fan=4)
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        new = seen.first_seen(batch, batch_id, "event_id", ["publish_ts"])
+        new.select("event_id", format_time(F.col("publish_ts")).alias("published")).write.mode("overwrite").parquet(f"{out}/rows/batch={batch_id}")
+
+    kept = parse_messages(trending.venue_messages(messages_from_events(replay.stream)), T.StructType([MESSAGE["event_id"]]))
+    writer = kept.withColumn("event_id", F.col("event_id").cast("bigint")).writeStream.foreachBatch(step).trigger(**AT_ONCE)
+    _finish(writer.option("checkpointLocation", f"{out}/state").start(), replay.batches)
+    return spark.read.schema("event_id bigint, published string").parquet(f"{out}/rows").select("event_id", "published")
+
+
 @query
 def stream_message_log(spark: SparkSession, folder: str) -> DataFrame:
     """The table appended to a message log span by span, and read by one stream that is started anew after each."""

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from typing import Protocol
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,12 @@ ENTRY = "table string, part string, attempt string"
 Entry = tuple[str, str, str]
 
 
+class Table(Protocol):
+    """What commits need to know of a table."""
+
+    def folder(self, part: str, attempt: str) -> str: ...
+
+
 class Commits:
     """The versions of a store: which attempt holds each part of each table.
 
@@ -41,7 +48,7 @@ class Commits:
         self.spark = spark
         self.path = path
         self.keep = keep
-        self.tables: dict[str, ChangeLog] = {}
+        self.tables: dict[str, Table] = {}
 
     def versions(self) -> list[int]:
         names = child_names(self.spark, self.path)
@@ -61,12 +68,13 @@ class Commits:
             return self.spark.createDataFrame([], ENTRY)
         return self.spark.read.schema(ENTRY).parquet(self._folder(version))
 
-    def commit(self, version: int, changed: Sequence[Entry]) -> None:
-        """Make ``version``: the entries of the version before, with the changed ones in their place."""
+    def commit(self, version: int, changed: Sequence[Entry], dropped: Sequence[Entry] = ()) -> None:
+        """Make ``version``: the entries of the version before without the dropped ones, and with the changed ones in their place."""
         if self.done(version):
             return
         new = self.spark.createDataFrame(list(changed), ENTRY)
-        old = self.entries(self.newest()).join(new, ["table", "part"], "left_anti")
+        gone = new.unionByName(self.spark.createDataFrame(list(dropped), ENTRY))
+        old = self.entries(self.newest()).join(gone, ["table", "part"], "left_anti")
         draft = f"{self.path}/.draft-{uuid.uuid4().hex}"
         old.unionByName(new).coalesce(1).write.parquet(draft)
         move_new(self.spark, draft, self._folder(version))
