@@ -246,6 +246,7 @@ def test_search_query_agrees_with_brute_force(spark):
 def test_search_over_many_shards_and_ranges(spark, monkeypatch):
     monkeypatch.setattr(bm25, "RANGE", 4)
     monkeypatch.setattr(bm25, "VISITED_FIRST", 1)
+    monkeypatch.setattr(bm25, "VISITED", 2)
     monkeypatch.setattr(bm25, "GROUP_QUERIES", 3)
     monkeypatch.setattr(bm25, "SHARD_DOCUMENTS", 23)
     monkeypatch.setattr(bm25, "BUCKET_BYTES", 20000)
@@ -254,13 +255,22 @@ def test_search_over_many_shards_and_ranges(spark, monkeypatch):
     same_hits(bm25.top_k(docs, docs["doc_id"] % 20 == 0, k=4).collect(), plain_search(rows, lambda i: i % 20 == 0, 4))
 
 
-def test_pruning_leaves_ranges_out(spark):
-    docs = table(spark).where("doc_id % 3 = 0")
-    row = bm25._index_rows(docs.select("doc_id", "text").coalesce(1), "bigint").first().asDict()
-    shard = bm25.Shard(row, 500.0)
-    first = shard.terms[:1]
-    places, scores = shard.search(first, np.ones(1), 1)
-    assert len(places) >= 1 and np.all(scores == scores.max())
+def test_pruning_leaves_ranges_out(spark, monkeypatch):
+    """Once the best document is known, a range is skipped if its bound is below."""
+    texts = ["rare common"] + ["common filler"] * 900
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    shard = bm25.Shard(bm25._index_rows(frame, "bigint").first().asDict(), 2.0)
+    visited = []
+    plain = bm25.Shard._scored
+    monkeypatch.setattr(bm25, "VISITED_FIRST", 1)
+    monkeypatch.setattr(bm25, "VISITED", 2)
+    monkeypatch.setattr(bm25.Shard, "_scored", lambda self, ranges, *rest: visited.extend(ranges) or plain(self, ranges, *rest))
+    terms = katz.word_numbers([b"rare", b"common"])
+    best = shard.search(terms, np.array([5.0, 0.1]), 1, [])
+    assert [b[2] for b in best] == [0] and visited == [0]
+    best = shard.search(terms[1:], np.array([0.1]), 3, [])
+    assert [b[2] for b in best] == [0, 1, 2] and sorted(visited[1:]) == list(range(15))
+    assert shard.search(terms, np.array([5.0, 0.1]), 1, [(-100.0, (False, 7), 7)]) == [(-100.0, (False, 7), 7)]
 
 
 def test_search_odd_rows(spark):
