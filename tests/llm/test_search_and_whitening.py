@@ -184,7 +184,7 @@ def test_whitening_odd_rows(spark):
 
 
 def test_deviations_beyond_a_long_are_null(spark):
-    rows = [(1, [1e9, 0.0]), (2, [-1e9, 1.0]), (3, [0.5, 2.0])]
+    rows = [(1, [3e16, 0.0]), (2, [-3e16, 1.0]), (3, [0.5, 2.0])]
     out = whitening.whiten(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
     grid = {i: [math.floor(64 * c) + 1_000_000 for c in v] for i, v in rows}
     sums = [sum(x[j] for x in grid.values()) for j in (0, 1)]

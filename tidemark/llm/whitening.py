@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from tidemark.workspace import freeze
 
 GRID, OFFSET = 64.0, 1_000_000
-#: Whole numbers beyond this are not exact as doubles.
-LARGEST = float(1 << 53)
+#: Grid numbers stay below this, so that their differences fit 64 bits.
+LARGEST = float(1 << 62)
 #: Bytes of vectors multiplied at once, and shares in which products of tasks are summed first.
 BLOCK_BYTES, SHARES = 8 << 20, 64
 #: Sums are kept in two halves, so that they stay whole numbers of 64 bits.
@@ -64,7 +64,7 @@ class Model:
 
 
 def grid_vector(vector: Column) -> Column:
-    """``floor(64 c) + 1000000`` of each entry; null if one is null, not finite or too large for a whole double."""
+    """``floor(64 c) + 1000000`` of each entry; null if one is null, not finite or too large for 64 bits."""
     fine = F.coalesce(F.forall(vector, lambda c: F.abs(c.cast("double")) * F.lit(GRID) < F.lit(LARGEST)), F.lit(False))
     return F.when(fine, F.transform(vector, lambda c: F.floor(c.cast("double") * F.lit(GRID)) + F.lit(OFFSET)))
 
@@ -221,7 +221,7 @@ def whiten(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
     """``vec_id``, ``component``, ``n``, ``deviation``, ``whitened``, ``explained``, ``identity_error``.
 
     Rows whose vector is null, or has an entry that is null, not finite or so large that 64 times
-    it is no whole double, are dropped. Each other row has a row for each of the ``most`` largest
+    it needs over 62 bits, are dropped. Each other row has a row for each of the ``most`` largest
     components. ``n`` is the total fit weight: the number of distinct grid vectors, or with
     ``counted`` of all. ``deviation`` sums ``(n x - S)^2`` over the entries, null if no long holds it;
     ``whitened`` is the centred grid vector on the component over the root of the eigenvalue,
