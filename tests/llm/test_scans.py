@@ -244,6 +244,17 @@ def test_labels_of_the_held_out_fold_are_not_learned(spark):
     assert a.languages == b.languages and np.array_equal(a.table, b.table)
 
 
+def test_the_sample_of_a_hot_language_is_its_lowest_hashes(spark):
+    """Many documents of one language, each with a word of its own: the model has seen those of the lowest hashes."""
+    from pyspark.sql import functions as F
+
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij")).alias("text"), F.when(F.col("id") < 2990, "aa").otherwise("bb").alias("lang"))
+    lowest = docs.where("lang = 'aa'").orderBy(F.xxhash64("doc_id"), "doc_id").limit(20)
+    small = lowest.unionByName(docs.where("lang = 'bb'"))
+    a, b = language.fit(docs, "lang", per_language=20), language.fit(small, "lang", per_language=20)
+    assert a.languages == b.languages == ["aa", "bb"] and np.array_equal(a.table, b.table)
+
+
 def test_spans_of_mixed_text(spark):
     docs = table(spark)
     model = language.fit_on_folds(docs)
