@@ -283,6 +283,16 @@ def test_a_second_writer_of_a_version_is_refused(spark, tmp_path):
     assert log.current().count() == 3
 
 
+def test_a_part_replaced_by_nothing_is_empty(spark, tmp_path):
+    schema = "id long, part string"
+    log = ChangeLog(spark, str(tmp_path), spark.createDataFrame([], schema).schema, ["id"], "part")
+    log.merge(spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], schema), 0, [])
+    log.replace(spark.createDataFrame([(4, "b")], schema), 1, ["a", "b"])
+    assert rows(log.current(), "id") == rows(log.newest(["a", "b", "c"]), "id") == [(3,), (4,)]
+    log.merge(spark.createDataFrame([(5, "a")], schema), 2, [])
+    assert rows(log.current(), "id") == [(3,), (4,), (5,)]
+
+
 def test_current_reads_only_committed_files(spark, tmp_path):
     """Without a list of parts in the driver: the commit prunes the partitions of the files."""
     schema = "id long, part string"

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.ranking import latest_by_key
-from tidemark.workspace import child_names, delete_folder, move_new, path_segment
+from tidemark.workspace import child_names, delete_folder, move_new, path_exists, path_segment
 
 ENTRY = "table string, part string, attempt string"
 Entry = tuple[str, str, str]
@@ -141,16 +141,18 @@ class ChangeLog:
             rows.unpersist()
 
     def replace(self, rows: DataFrame, version: int, parts: Sequence[str]) -> None:
-        """Put ``rows`` in place of all rows of ``parts``."""
+        """Put ``rows`` in place of all rows of ``parts``; a part that gets none is empty from then on."""
         if not self.commits.done(version):
-            self.commits.commit(version, self._write(rows, version, parts))
+            entries = self._write(rows, version, parts)
+            written = {part for _, part, _ in entries}
+            self.commits.commit(version, entries, [(self.name, part, "") for part in parts if part not in written])
 
     def put(self, rows: DataFrame, version: int) -> list[Entry]:
         """Write ``rows`` in place of all rows of the parts they have, for a commit to make seen."""
         return self._write(rows, version, self.touched(rows))
 
     def _write(self, rows: DataFrame, version: int, parts: Sequence[str]) -> list[Entry]:
-        """Rebalancing by part keeps files few without forcing a large part into one task."""
+        """Entries of the parts that got rows. Rebalancing by part keeps files few without forcing a large part into one task."""
         if not parts:
             return []
         attempt = f"{version}-{uuid.uuid4().hex}"
@@ -162,7 +164,7 @@ class ChangeLog:
             .partitionBy(self.part, "attempt")
             .parquet(self.path)
         )
-        return [(self.name, part, attempt) for part in parts]
+        return [(self.name, part, attempt) for part in parts if path_exists(self.spark, self.folder(part, attempt))]
 
     def touched(self, rows: DataFrame) -> list[str]:
         """The parts of a batch's rows."""
