@@ -4,6 +4,7 @@ import base64
 import hashlib
 import itertools
 import json
+import random
 import re
 import re._parser as sre_parser
 import struct
@@ -13,7 +14,7 @@ import numpy as np
 import pytest
 
 from tidemark.llm import language, licenses, secrets
-from tidemark.llm.license_rules import parse, prefilter
+from tidemark.llm.license_rules import RULES_TEXT, parse, prefilter
 from tidemark.llm.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -157,6 +158,39 @@ def test_licence_query_keeps_the_base(spark):
     assert any(r.n_base for r in rows)
 
 
+def plain_detections(text):
+    """Every rule tried on every text, and what an earlier match of equal or higher priority contains left out one by one."""
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = " ".join(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered))
+    found = []
+    for order, label, priority, _, pattern in parse():
+        for m in re.finditer(pattern, words):
+            start = words[: m.start()].count(" ")
+            found.append((start, -(start + m[0].count(" ") + 1), -priority, order, label))
+    found.sort()
+    kept = [f for i, f in enumerate(found) if not any(g[1] <= f[1] and g[2] <= f[2] for g in found[:i])]
+    return [(a, -b, -p, label) for a, b, p, _, label in kept]
+
+
+def test_licence_query_agrees_with_a_plain_version(spark):
+    texts = dict(table(spark).select("doc_id", "text").collect())
+    rng = random.Random(3)
+    phrases = [t.split("|", 3)[3] for t in RULES_TEXT.strip().splitlines()]
+    made = [" ".join(rng.choice([*matched_texts(sre_parser.parse(rng.choice(phrases))), "so", "the", "2 0"]) for _ in range(rng.randrange(12))) for _ in range(150)]
+    texts |= {10**6 + i: t for i, t in enumerate(made)}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    seen = 0
+    for r in licenses.license_spans(frame).collect():
+        want = plain_detections(texts[r.doc_id])
+        seen += len(want)
+        assert [tuple(s) for s in r.spans] == want, texts[r.doc_id]
+    assert seen > 300
+    for r in QUERIES["op7_licenses"](spark, FOLDER).collect():
+        want, base = plain_detections(texts[r.doc_id]), plain_licence(texts[r.doc_id])[4]
+        assert r.labels == ",".join(sorted({x[3] for x in want} | set(filter(None, base.split(",")))))
+        assert r.score == max((licenses.CONFIDENCE[x[2]] for x in want), default=0.0)
+
+
 LICENCES = [
     (1, "GNU General-Public  License, version 3.0 or later. MIT\nLicense", "gpl,gpl-3.0,mit"),
     (2, 'Licensed under the Apache License, Version 2.0 (the "License")', "apache,apache-2.0"),
@@ -235,6 +269,40 @@ def test_language_query_on_held_out_documents(spark):
     assert sum(r.lang_pred == lang_of[r.doc_id] for r in held) >= 0.97 * len(held)
 
 
+def plain_label(model, text, penalty):
+    """Language and share of letters of one text: each word scored by itself, the best path by trying every step."""
+    words = (text or "").split()
+    if not words:
+        return language.UNKNOWN, 0.0
+    scores, letters = zip(*(tuple(x[0] for x in model.word_scores([w])) for w in words))
+    names = range(len(model.languages))
+    best, came = [float(x) for x in scores[0]], []
+    for own in scores[1:]:
+        top = max(names, key=lambda a: (best[a], -a))
+        steps = [a if best[a] >= best[top] - penalty else top for a in names]
+        best = [max(best[a], best[top] - penalty) + float(own[a]) for a in names]
+        came.append(steps)
+    at = max(names, key=lambda a: (best[a], -a))
+    path = [at]
+    for steps in reversed(came):
+        path.append(at := steps[at])
+    held = [sum(int(n) for n, a in zip(letters, reversed(path)) if a == name) for name in names]
+    if not sum(held):
+        return language.UNKNOWN, 0.0
+    most = max(names, key=lambda a: (held[a], -a))
+    return model.languages[most], held[most] / sum(held)
+
+
+def test_language_query_agrees_with_a_plain_version(spark):
+    docs = table(spark)
+    model = language.fit_on_folds(docs)
+    texts = dict(docs.select("doc_id", "text").collect())
+    for r in QUERIES["op9_language"](spark, FOLDER).collect():
+        if len(texts[r.doc_id] or "") < 6000:
+            name, share = plain_label(model, texts[r.doc_id], language.SWITCH_PENALTY)
+            assert r.lang_pred == name and r.score == pytest.approx(share, abs=1e-9)
+
+
 def test_labels_of_the_held_out_fold_are_not_learned(spark):
     from pyspark.sql import functions as F
 
