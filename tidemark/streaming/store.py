@@ -27,6 +27,7 @@ from tidemark.workspace import child_names, delete_folder, move_new, path_exists
 
 ENTRY = "table string, part string, attempt string"
 Entry = tuple[str, str, str]
+FEW = 200
 
 
 class Table(Protocol):
@@ -72,8 +73,8 @@ class Commits:
         """Make ``version``: the entries of the version before without the dropped ones, and with the changed ones in their place."""
         if self.done(version):
             return
-        new = self.spark.createDataFrame(list(changed), ENTRY)
-        gone = new.unionByName(self.spark.createDataFrame(list(dropped), ENTRY))
+        new = self._table(changed)
+        gone = new.unionByName(self._table(dropped))
         old = self.entries(self.newest()).join(gone, ["table", "part"], "left_anti")
         draft = f"{self.path}/.draft-{uuid.uuid4().hex}"
         old.unionByName(new).coalesce(1).write.parquet(draft)
@@ -91,6 +92,13 @@ class Commits:
                 delete_folder(self.spark, self.tables[table].folder(part, attempt))
             delete_folder(self.spark, self._folder(version))
 
+    def _table(self, entries: Sequence[Entry]) -> DataFrame:
+        """Few entries are literals of the plan, which start no Python worker."""
+        if not 0 < len(entries) <= FEW:
+            return self.spark.createDataFrame(list(entries), ENTRY)
+        rows = (F.struct(*(F.lit(v).alias(c) for v, c in zip(entry, ("table", "part", "attempt")))) for entry in entries)
+        return self.spark.range(1).select(F.inline(F.array(*rows)))
+
     def _folder(self, version: int) -> str:
         return f"{self.path}/{version:020d}"
 
