@@ -110,11 +110,12 @@ def fit(docs: DataFrame, lang_col: str, id_col: str = "doc_id", text_col: str =
     labelled = docs.select(docs[id_col].alias("doc_id"), docs[lang_col].alias("lang"), docs[text_col].cast("string").alias("text"))
     usable = labelled.where("lang IS NOT NULL AND text IS NOT NULL")
     by_hash = Window.partitionBy("lang").orderBy("hash", "doc_id")
-    # of a language with many documents only the lowest hashes are ordered: four times as many as wanted, on average
+    # of a language with many documents only the lowest hashes are dealt out and ordered, four times as many as
+    # wanted on average; the shares are a row a language, like the model, and sent to the tasks
     counts = usable.groupBy(F.col("lang").alias("of")).agg((F.lit(4.0 * per_language) / F.count("*")).alias("share"))
     low = F.col("hash").cast("double") / 2.0**64 + 0.5 <= F.col("share")
     chosen = (
-        usable.select("doc_id", "lang", F.xxhash64("doc_id").alias("hash")).join(counts, F.col("lang") == F.col("of")).where(low)
+        usable.select("doc_id", "lang", F.xxhash64("doc_id").alias("hash")).join(F.broadcast(counts), F.col("lang") == F.col("of")).where(low)
         .withColumn("nth", F.row_number().over(by_hash)).where(F.col("nth") <= per_language)
         .select(F.col("doc_id").alias("chosen_id"), F.col("lang").alias("chosen_lang")).distinct()
     )
