@@ -126,7 +126,11 @@ def _replay(spark: SparkSession, *slices: DataFrame) -> Replay:
     reader = spark.readStream.schema(slices[0].schema).option("maxFilesPerTrigger", files)
     # a frame of very few rows has fewer files, and then the batches are no longer the frames
     aligned = written == [files * (i + 1) for i in range(len(written))]
-    return Replay(reader.parquet(path), len(written) if aligned else min(1, len(written)))
+    stream = reader.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    if cores > files:  # a batch reads only so many files: deal its rows to every core
+        stream = stream.repartition(cores)
+    return Replay(stream, len(written) if aligned else min(1, len(written)))
 
 
 def _finish(query, batches: int) -> None:
